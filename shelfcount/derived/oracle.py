@@ -436,7 +436,7 @@ _QUERIES = {
     "scrub_file": """SELECT organization, kind AS mono_multi_serial, local_id,
         CASE WHEN t = 1 AND raw_status = ' CH ' THEN 'CH' END AS status,
         CASE WHEN t = 2 AND raw_condition = 'BRT' THEN 'BRT' END AS condition,
-        CASE WHEN t = 3 THEN CAST(n AS VARCHAR) ELSE '' END AS n_enum,
+        CASE WHEN t = 3 AND NOT regexp_matches(CAST(n AS VARCHAR), '^[12][0-9]{3}') THEN CAST(n AS VARCHAR) ELSE '' END AS n_enum,
         CASE WHEN t = 4 THEN issn_value END AS issn, count(*) AS holdings, CAST(sum(one) AS BIGINT) AS ocn_sum FROM (
           SELECT *, unnest(CASE WHEN form = 3 THEN [n, n + 1] ELSE [n] END) AS one
           FROM judged_lines WHERE ok_ocn AND NOT too_wide) GROUP BY ALL""",

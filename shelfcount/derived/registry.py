@@ -15,7 +15,7 @@ from shelfcount.operators import (changes, clusters, concordance, counts, dimens
                                   frequency, overlap)
 from shelfcount.plans import (cost, deposit, estimate, lookups, non_current, overlap_report,
                               synthetic, trends)
-from shelfcount.session import checkpoint_dir, cut_lineage
+from shelfcount.session import shared_folder
 from shelfcount.sources import files, marcxml, sinks, submissions, tables
 from shelfcount.streaming import ingest
 
@@ -35,10 +35,10 @@ def record_overlap(t: Tables) -> DataFrame:
 
 
 def lookup_model(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Cluster items and overlap rows of the lookup clusters."""
+    """Home items with formats, and overlap rows, of the lookup clusters."""
     placed, ocns = clusters.item_clusters(t.items.drop("cluster_id"), t.concordance)
-    placed = cut_lineage(placed)
-    return placed, overlap.overlap(placed, ocns, t.holdings)
+    parts = overlap.prepare(placed, ocns, t.holdings)
+    return parts.home, overlap.overlap_of(parts)
 
 
 # --- counts and scans --------------------------------------------------------
@@ -202,11 +202,7 @@ def cluster_org_counts(t):
 
 @query
 def orgs_without_enum_match(t):
-    by_enum = overlap.count_by_enum(t.holdings)
-    return overlap.unmatched_organizations(
-        overlap.cluster_org_counts(t.search, overlap.count_by_org(by_enum)),
-        overlap.enum_matches(t.items, t.search, by_enum),
-        formats.cluster_formats(formats.record_flags(t.items)))
+    return overlap.unmatched_organizations(overlap.prepare(t.items, t.search, t.holdings))
 
 
 @query
@@ -357,7 +353,7 @@ def non_current_pivot(t):
 @query
 def item_access(t):
     placed, rows = lookup_model(t)
-    kinds = (formats.with_formats(placed).filter("home").select("item_id", "cluster_format"))
+    kinds = placed.select("item_id", "cluster_format")
     answers = lookups.item_access(t["requests"], rows, t.items, t.organizations, kinds)
     return answers.withColumn("ocns", F.array_join(F.col("ocns").cast("array<string>"), ","))
 
@@ -600,9 +596,13 @@ def file_name_checks(t):
         (F.col("update_type_check") == "ok").alias("update_ok"), (F.col("date_check") == "ok").alias("date_ok"))
 
 
+def _marc(t: Tables) -> DataFrame:
+    return marcxml.convert(marcxml.marc_texts(t["marc_xml"]))
+
+
 @query
 def alma_convert(t):
-    converted = marcxml.convert(marcxml.marc_texts(t["marc_xml"]))
+    converted = _marc(t)
     cells = ("oclc", "local_id", "status", "condition", "enum_chron", "issn", "govdoc")
     return converted.select("o_orderkey", F.when(F.col("error").isNull(), F.col("item_type")).alias("item_type"),
                             *[F.when(F.col("error").isNull(), F.col(c)).alias(c) for c in cells], "error")
@@ -610,7 +610,7 @@ def alma_convert(t):
 
 @query
 def alma_errors(t):
-    return marcxml.error_counts(marcxml.convert(marcxml.marc_texts(t["marc_xml"])))
+    return marcxml.error_counts(_marc(t))
 
 
 # --- trends ------------------------------------------------------------------
@@ -665,11 +665,11 @@ def synthetic_concordance(t):
 
 def holdings_stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Every lineitem arrives twice on a stream; the store keeps each uuid once."""
-    base = checkpoint_dir(spark) or "/tmp"
-    work = f"{base}/shelfcount-stream-{uuid.uuid4().hex}"
+    work = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     schema = spark.read.parquet(f"{folder}/lineitem.parquet").schema
     source = spark.readStream.schema(schema).option(
-        "pathGlobFilter", "lineitem.parquet").parquet(folder)
+        "pathGlobFilter", "{lineitem,part-*}.parquet").parquet(
+        folder if ingest.is_file(spark, f"{folder}/lineitem.parquet") else f"{folder}/lineitem.parquet")
     t = Tables(spark, folder)
     t._built["lineitem"] = source
     twice = t["holding_rows"].withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")

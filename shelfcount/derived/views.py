@@ -6,13 +6,14 @@ whole base table; conditions only choose between cases.
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcount.functions.enum_chron import with_enum_chron
 from shelfcount.operators.dimensions import with_billing_entity
+from shelfcount.session import materialize
 
 CENTRAL = "central"
 TARGET_COST = 10000.0
@@ -175,8 +176,13 @@ VIEWS = {
 }
 
 
+# Domain tables written once per session and folder: what a deployment keeps
+# as its stores. All queries read these.
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Tables:
-    """The base tables, the views, and the model frames made from them."""
+    """The base tables, the views, and the stored domain tables made from them."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
@@ -193,13 +199,22 @@ class Tables:
                 self._built[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._built[name]
 
-    @cached_property
+    def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _STORED:
+            _STORED[key] = materialize(build(), name)
+        return _STORED[key]
+
+    @property
     def holdings(self) -> DataFrame:
-        return with_enum_chron(self["holding_rows"])
+        return self._stored("holdings", lambda: with_enum_chron(self["holding_rows"]))
 
-    @cached_property
+    @property
     def items(self) -> DataFrame:
         """Items on record clusters, with the OCN list of their record."""
+        return self._stored("items", self._items)
+
+    def _items(self) -> DataFrame:
         none = F.array().cast("array<bigint>")
         ocns = (F.when(F.col("bib_key") % 25 == 24, none)
                 .when(F.col("bib_key") % 5 == 0, F.array(F.col("k") + 1, F.col("k") + 100001))
@@ -208,18 +223,23 @@ class Tables:
             "access", F.when(F.col("rights").isin("pd", "pdus"), "allow").otherwise("deny"))
         return with_billing_entity(with_enum_chron(rows), self["collections"])
 
-    @cached_property
+    @property
     def bridge(self) -> DataFrame:
         return self.items.select("item_id", F.explode("ocns").alias("ocn"))
 
     @property
     def search(self) -> DataFrame:
-        return self["record_search"]
+        return self._stored("record_search", lambda: self["record_search"])
+
+    @property
+    def concordance(self) -> DataFrame:
+        return self._stored("concordance", lambda: self["concordance"])
 
     @property
     def organizations(self) -> DataFrame:
         return self["organizations"]
 
-    @property
-    def concordance(self) -> DataFrame:
-        return self["concordance"]
+    def prepare(self) -> None:
+        """Write the stored tables now."""
+        for name in ("holdings", "items", "search", "concordance"):
+            getattr(self, name)

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcount.session import materialize
+
 
 def canonicals_touched(keys: DataFrame, concordance: DataFrame) -> DataFrame:
     """(key, ocn) to distinct (key, ocn, canonical), the OCN being either side of an entry."""
@@ -48,8 +50,8 @@ def related_ocns(keys: DataFrame, bridge: DataFrame) -> DataFrame:
 
 def expand_ocns(keys: DataFrame, bridge: DataFrame, concordance: DataFrame) -> DataFrame:
     """(key, ocn) to the OCNs of the cluster of each key: exactly three steps."""
-    first = concordance_expand(keys, concordance)
-    return concordance_expand(related_ocns(first, bridge), concordance)
+    first = materialize(concordance_expand(keys, concordance), "hop")
+    return concordance_expand(materialize(related_ocns(first, bridge), "hop"), concordance)
 
 
 def seed_units(seeds: DataFrame, concordance: DataFrame) -> DataFrame:
@@ -106,20 +108,22 @@ def ocn_clusters(seeds: DataFrame, bridge: DataFrame,
     ``seeds`` is (seed, ocn). Returns (seed, cluster_id) and (cluster_id, ocn).
     The cluster id is derived from the units, so equal seeds meet again.
     """
-    units_of = seed_units(seeds, concordance)
-    units = units_of.select("unit").distinct()
-    first = _unit_ocns(units, concordance)
-    unit_items = (first.join(bridge, "ocn").select(F.col("key").alias("unit"), "item_id").distinct())
+    units_of = materialize(seed_units(seeds, concordance), "units")
+    first = materialize(_unit_ocns(units_of.select("unit").distinct(), concordance), "unit_ocns")
+    unit_items = materialize(
+        first.join(bridge, "ocn").select(F.col("key").alias("unit"), "item_id").distinct(), "unit_items")
     kept = _drop_covered(units_of, unit_items)
     signature = F.array_join(F.transform(
-        F.sort_array(F.collect_list("unit")),
-        lambda u: F.concat(u["kind"], u["ocn"].cast("string"))), ",")
-    home = (kept.groupBy("seed").agg(F.sort_array(F.collect_list("unit")).alias("units"),
-                                     signature.alias("s"))
-            .select("seed", "units", F.concat(F.lit("ocn:"), F.sha2("s", 256)).alias("cluster_id")))
-    members = (home.select("cluster_id", F.explode("units").alias("key")).distinct())
-    reach = concordance_expand(related_ocns(first, bridge), concordance)
-    ocns = members.join(reach, "key").select("cluster_id", "ocn").distinct()
+        "units", lambda u: F.concat(u["kind"], u["ocn"].cast("string"))), ",")
+    home = materialize(
+        kept.groupBy("seed").agg(F.sort_array(F.collect_list("unit")).alias("units"))
+        .select("seed", "units", F.concat(F.lit("ocn:"), F.sha2(signature, 256)).alias("cluster_id")),
+        "home")
+    shared = unit_items.join(bridge, "item_id").select(F.col("unit").alias("key"), "ocn")
+    second = materialize(first.union(shared).distinct(), "hop")
+    members = home.select("cluster_id", F.explode("units").alias("key")).distinct()
+    reach = concordance_expand(second, concordance)
+    ocns = materialize(members.join(reach, "key").select("cluster_id", "ocn").distinct(), "cluster_ocns")
     return home.select("seed", "cluster_id"), ocns
 
 

@@ -36,7 +36,7 @@ def cluster_formats(flags: DataFrame) -> DataFrame:
 
 
 def with_formats(items: DataFrame) -> DataFrame:
-    """Items with item_format and cluster_format.
+    """Items with item_format, cluster_format and cluster_blank.
 
     The flags are joined back as one row per record and cluster; a window
     would put a whole cluster into one task.
@@ -46,4 +46,4 @@ def with_formats(items: DataFrame) -> DataFrame:
     kind = (F.when(F.col("bib_fmt").eqNullSafe("SE"), "ser")
             .when(F.col("has_enum"), "mpm").otherwise("spm"))
     return (items.join(both, ["cluster_id", "bib_key"])
-            .withColumn("item_format", kind).drop("has_enum", "cluster_blank"))
+            .withColumn("item_format", kind).drop("has_enum"))

@@ -18,14 +18,19 @@ with very many volumes multiplies rows beyond the result itself.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcount.functions.rights import gives_access, is_brittle, is_current
-from shelfcount.operators.formats import cluster_formats, record_flags, with_formats
+from shelfcount.operators.formats import with_formats
 from shelfcount.schemas import COUNTERS
+from shelfcount.session import materialize
 
 MPM = "mpm"
+ITEM_COLUMNS = ("cluster_id", "item_id", "bib_key", "bib_fmt", "rights", "n_enum",
+                "billing_entity", "home")
 # What an overlap row repeats of its item.
 FACTS = ("item_id", "cluster_id", "cluster_format", "item_format", "n_enum", "rights")
 REPORT_COUNTS = {"n": "copy_count", "cur": "current_holding_count", "brt": "brt_count",
@@ -72,50 +77,93 @@ def cluster_org_counts(cluster_ocns: DataFrame, by_org: DataFrame) -> DataFrame:
             .agg(*sums(), *sums("blank_")))
 
 
-def enum_matches(items: DataFrame, cluster_ocns: DataFrame, by_enum: DataFrame) -> DataFrame:
-    """(cluster_id, organization, n_enum, counters) where an item's enumeration is held.
+@dataclass(frozen=True)
+class Parts:
+    """What overlap and the overlap report are both made from.
 
-    Joined on (ocn, n_enum), so a hot OCN is spread by enumeration and only
-    pairs that match are ever formed.
+    ``items`` carry their formats; ``by_enum`` are holdings counted per OCN,
+    organisation and enumeration. Both are written once, since all later steps
+    read them several times.
     """
+
+    items: DataFrame
+    cluster_ocns: DataFrame
+    by_enum: DataFrame
+
+    @property
+    def formats(self) -> DataFrame:
+        return self.items.select("cluster_id", "cluster_format", "cluster_blank").distinct()
+
+    @property
+    def home(self) -> DataFrame:
+        items = self.items
+        return items.filter("home") if "home" in items.columns else items
+
+    @property
+    def matches(self) -> DataFrame:
+        """(cluster_id, organization, n_enum, counters) where an enumeration of an mpm item is held.
+
+        Joined on (ocn, n_enum), so a hot OCN is spread by enumeration and only
+        pairs that match are ever formed.
+        """
+        return enum_matches(self.items.filter(F.col("cluster_format") == MPM),
+                            self.cluster_ocns, self.by_enum)
+
+
+def prepare(items: DataFrame, cluster_ocns: DataFrame, holdings: DataFrame) -> Parts:
+    slim = items.select(*[c for c in ITEM_COLUMNS if c in items.columns]).withColumn(
+        "n_enum", F.coalesce("n_enum", F.lit("")))
+    return Parts(materialize(with_formats(slim), "items"), cluster_ocns,
+                 materialize(count_by_enum(holdings), "by_enum"))
+
+
+def enum_matches(items: DataFrame, cluster_ocns: DataFrame, by_enum: DataFrame) -> DataFrame:
+    """(cluster_id, organization, n_enum, counters) of holdings equal to an item's enumeration."""
     enums = items.filter(F.col("n_enum") != "").select("cluster_id", "n_enum").distinct()
     asked = enums.join(cluster_ocns, "cluster_id")
     return (asked.join(by_enum.filter(F.col("n_enum") != ""), ["ocn", "n_enum"])
             .groupBy("cluster_id", "organization", "n_enum").agg(*sums()))
 
 
-def unmatched_organizations(org_counts: DataFrame, matches: DataFrame,
-                            formats: DataFrame) -> DataFrame:
-    """(cluster_id, organization) with holdings, none of them equal to an item's enumeration.
+def with_match_flag(parts: Parts, matches: DataFrame) -> DataFrame:
+    """Counts per cluster and organisation, the cluster's format, and has_match.
 
-    A blank enumeration equals a blank one.
+    Matches only bring a flag into the same aggregation, which saves a join. A
+    blank enumeration matches a blank one.
     """
-    matched = matches.select("cluster_id", "organization").distinct()
+    none = [F.lit(0).cast("bigint").alias(c)
+            for c in (*COUNTERS, *(f"blank_{c}" for c in COUNTERS))]
+    held = parts.cluster_ocns.join(count_by_org(parts.by_enum), "ocn").drop("ocn")
+    hits = matches.select("cluster_id", "organization", *none, F.lit(True).alias("hit"))
+    merged = (held.withColumn("hit", F.lit(False)).unionByName(hits)
+              .groupBy("cluster_id", "organization")
+              .agg(*sums(), *sums("blank_"), F.max("hit").alias("hit")))
     blank_match = F.col("cluster_blank") & (F.col("blank_n") > 0)
-    return (org_counts.join(formats.select("cluster_id", "cluster_blank"), "cluster_id")
-            .filter(~blank_match).select("cluster_id", "organization")
-            .join(matched, ["cluster_id", "organization"], "left_anti"))
+    return (merged.join(parts.formats, "cluster_id")
+            .withColumn("has_match", F.col("hit") | blank_match).drop("hit", "cluster_blank"))
+
+
+def unmatched_organizations(parts: Parts) -> DataFrame:
+    """(cluster_id, organization) with holdings, none of them equal to an item's enumeration."""
+    matches = enum_matches(parts.items, parts.cluster_ocns, parts.by_enum)
+    return with_match_flag(parts, matches).filter(~F.col("has_match")).select(
+        "cluster_id", "organization")
 
 
 def overlap(items: DataFrame, cluster_ocns: DataFrame, holdings: DataFrame) -> DataFrame:
     """Overlap rows with matching counters.
 
     ``items``: cluster_id, item_id, bib_key, bib_fmt, rights, n_enum,
-    billing_entity and optionally ``home`` (rows of other clusters that only shape formats and
-    enumerations). ``cluster_ocns``: distinct (cluster_id, ocn).
+    billing_entity and optionally ``home`` (rows of other clusters that only
+    shape formats and enumerations). ``cluster_ocns``: distinct (cluster_id, ocn).
     """
-    formats = cluster_formats(record_flags(items))
-    home = with_formats(items)
-    home = home.filter("home") if "home" in items.columns else home
-    home = home.withColumn("n_enum", F.coalesce("n_enum", F.lit(""))).select(*FACTS, "billing_entity")
-
-    by_enum = count_by_enum(holdings)
-    per_org = cluster_org_counts(cluster_ocns, count_by_org(by_enum))
-    mpm = formats.filter(F.col("cluster_format") == MPM)
-    volumes = items.join(mpm.select("cluster_id"), "cluster_id", "left_semi")
-    matches = enum_matches(volumes, cluster_ocns, by_enum)
-
-    general = _general_counts(per_org, matches, formats).filter("n > 0")
+    return overlap_of(prepare(items, cluster_ocns, holdings))
+
+
+def overlap_of(parts: Parts) -> DataFrame:
+    home = parts.home.select(*FACTS, "billing_entity")
+    matches = parts.matches
+    general = _general_counts(with_match_flag(parts, matches)).filter("n > 0")
     columns = (*FACTS, "organization", *COUNTERS)
     by_cluster = home.join(general, "cluster_id").select(*columns, F.lit(False).alias("depositor"))
     by_volume = (home.filter("n_enum != ''").join(matches, ["cluster_id", "n_enum"])
@@ -131,18 +179,14 @@ def overlap(items: DataFrame, cluster_ocns: DataFrame, holdings: DataFrame) -> D
     return _as_report(per_item)
 
 
-def _general_counts(per_org: DataFrame, matches: DataFrame, formats: DataFrame) -> DataFrame:
+def _general_counts(counted: DataFrame) -> DataFrame:
     """What counts for every item of the cluster alike.
 
     Outside mpm these are all holdings of the organisation. In mpm clusters
     these are its blank holdings, or all of them if it has no match at all.
     """
-    matched = matches.select("cluster_id", "organization").distinct().withColumn("hit", F.lit(True))
-    joined = (per_org.join(formats, "cluster_id")
-              .join(matched, ["cluster_id", "organization"], "left"))
-    has_match = F.col("hit").isNotNull() | (F.col("cluster_blank") & (F.col("blank_n") > 0))
-    blanks_only = (F.col("cluster_format") == MPM) & has_match
-    return joined.select(
+    blanks_only = (F.col("cluster_format") == MPM) & F.col("has_match")
+    return counted.select(
         "cluster_id", "organization",
         *[F.when(blanks_only, F.col(f"blank_{c}")).otherwise(F.col(c)).alias(c) for c in COUNTERS])
 

@@ -42,19 +42,35 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return current.get() if current.isDefined() else None
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result survives the loss of any executor.
+def shared_folder(spark: SparkSession) -> str:
+    """Where intermediate tables go: the cluster's shared folder.
+
+    A local folder is made up only in local mode with none configured, as in
+    tests.
+    """
+    folder = checkpoint_dir(spark)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        folder = f"/tmp/shelfcount-{uuid.uuid4().hex}"
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
 
-    The folder is read from the session. A local folder is made up only in
-    local mode with none configured, as in tests.
+def materialize(df: DataFrame, name: str = "part") -> DataFrame:
+    """Write a table to the shared folder and read it back.
+
+    For what a plan uses more than once. The copy is columnar, survives the
+    loss of any executor, and its size is known to the planner.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint, for the rounds of a loop."""
+    context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = checkpoint_dir(spark)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = f"/tmp/shelfcount-checkpoint-{uuid.uuid4().hex}"
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

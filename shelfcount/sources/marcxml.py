@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcount.functions.marc import MON_COLUMNS, SER_COLUMNS, marc_holding
 from shelfcount.schemas import MARC_RECORD
+from shelfcount.session import materialize
 
 
 def read_marc(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -16,10 +17,14 @@ def read_marc(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def marc_texts(texts: DataFrame, column: str = "xml") -> DataFrame:
-    """The same from a column holding one record per row."""
+    """The same from a column holding one record per row.
+
+    Written out once parsed: filters on the fields would otherwise parse the
+    text again for every field they look at.
+    """
     parsed = F.from_xml(F.col(column), MARC_RECORD, {"ignoreSurroundingSpaces": "false"})
-    return texts.withColumn("__r", parsed).select(
-        *[c for c in texts.columns if c != column], "__r.*")
+    return materialize(texts.withColumn("__r", parsed).select(
+        *[c for c in texts.columns if c != column], "__r.*"), "marc")
 
 
 def convert(records: DataFrame) -> DataFrame:
