@@ -566,7 +566,10 @@ def enum_chron(t):
 
 
 def _scrubbed(t: Tables) -> submissions.Scrubbed:
-    return submissions.scrub_lines(t["submission_lines"], "2024-01-01", MAX_OCN)
+    lines = t["submission_lines"]
+    heads = lines.select("file_name", "header").distinct()
+    return submissions.scrub_lines(submissions.Submissions(lines.select("file_name", "value"), heads),
+                                   "2024-01-01", MAX_OCN)
 
 
 @query

@@ -17,12 +17,13 @@ MONTH = (
 )
 DAY = r"[0-3]?[0-9](?:th|st|rd|nd)?"
 LOOSE_DAY = r"(?i:[0-9]{1,4}(?:th|st|rd|nd)?)"
-SEASON = r"(?i:spring|summer|winter|fall)"
+MONTH_OR_SEASON = r"(?i:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec|spring|summer|winter|fall)"
 YEAR = r"^(?:[a-z]{0,7}\.)?[12]\d{3}"
 ENUM_MARK = r"v\.|n\.s\."
 LONG_NUMBER = r"^[0-9]{5,}"
 DOTTED_GAP = r"\.\s+[^.]+"
 DOTTED_YEAR = r"^\. [0-2]\d{3}"
+PLAIN_NUMBER = r"^(?:v\.)?\d{1,3}$"
 # ----------------------------------------------------------------------------
 
 DATE_SPANS = (
@@ -78,8 +79,14 @@ def _expand_year_months(tokens: Column) -> Column:
 
 
 def _is_chron(token: Column) -> Column:
-    enum = token.rlike(ENUM_MARK) | token.rlike(LONG_NUMBER)
-    return ~enum & (token.rlike(YEAR) | token.rlike(MONTH) | token.rlike(SEASON))
+    enum = token.rlike(f"{ENUM_MARK}|{LONG_NUMBER}")
+    return ~enum & token.rlike(f"{YEAR}|{MONTH_OR_SEASON}")
+
+
+def _plain(raw: Column) -> Column:
+    """The result for what most rows hold: nothing, or a bare volume number."""
+    return F.when(F.coalesce(raw, F.lit("")) == "", "").when(
+        raw.rlike(PLAIN_NUMBER), F.replace(raw, F.lit("v."), F.lit("")))
 
 
 def _clean_enum(token: Column) -> Column:
@@ -106,27 +113,31 @@ def _expand_short_year(chron: Column) -> Column:
 def with_enum_chron(df: DataFrame, column: str = "enum_chron") -> DataFrame:
     """Add n_enum, n_chron and n_enum_chron, always derived from ``column``."""
     kept = [c for c in df.columns if c not in OUTPUTS]
-    text, spans, tokens = F.col("__text"), F.col("__spans"), F.col("__tokens")
-
-    step = df.select(*kept, _punctuation(F.col(column)).alias("__text"))
-    step = step.select(*kept, _close_gaps(text).alias("__text"),
-                       F.array().cast("array<string>").alias("__spans"))
+    none = F.array().cast("array<string>")
+    text, spans, tokens, plain = (F.col(f"__{c}") for c in ("text", "spans", "tokens", "plain"))
+
+    step = df.select(*kept, _plain(F.col(column)).alias("__plain"))
+    # plain rows go on with an empty text, which every step passes quickly
+    step = step.select(*kept, "__plain", F.when(plain.isNull(), _punctuation(F.col(column)))
+                       .otherwise("").alias("__text"))
+    step = step.select(*kept, "__plain", _close_gaps(text).alias("__text"), none.alias("__spans"))
     for pattern in DATE_SPANS:
-        step = step.select(*kept, "__text", "__spans", _matches(text, pattern).alias("__found"))
-        step = step.select(*kept, _without(text, F.col("__found")).alias("__text"),
+        found = F.when(text.rlike(MONTH_OR_SEASON), _matches(text, pattern)).otherwise(none)
+        step = step.select(*kept, "__plain", "__text", "__spans", found.alias("__found"))
+        step = step.select(*kept, "__plain", _without(text, F.col("__found")).alias("__text"),
                            F.concat(spans, F.col("__found")).alias("__spans"))
     words = F.filter(F.split(text, r"\s+"), lambda t: t != "")
-    step = step.select(*kept, "__spans", F.when(text.rlike("[A-Za-z0-9]"), words)
-                       .otherwise(F.array().cast("array<string>")).alias("__tokens"))
-    step = step.select(*kept, "__spans", _expand_year_months(tokens).alias("__tokens"))
-
-    enums = F.transform(F.filter(tokens, lambda t: ~_is_chron(t)), _clean_enum)
-    chrons = F.transform(
-        F.filter(tokens, _is_chron),
-        lambda t: F.when(t.endswith("-"), F.replace(t, F.lit("-"), F.lit(""))).otherwise(t),
-    )
+    step = step.select(*kept, "__plain", "__spans",
+                       F.when(text.rlike("[A-Za-z0-9]"), words).otherwise(none).alias("__tokens"))
+    classified = F.transform(_expand_year_months(tokens), lambda t: F.struct(
+        t.alias("text"), _is_chron(t).alias("chron")))
+    step = step.select(*kept, "__plain", "__spans", classified.alias("__tokens"))
+
+    enums = F.transform(F.filter(tokens, lambda t: ~t["chron"]), lambda t: _clean_enum(t["text"]))
+    chrons = F.transform(F.filter(tokens, lambda t: t["chron"]), lambda t: F.when(
+        t["text"].endswith("-"), F.replace(t["text"], F.lit("-"), F.lit(""))).otherwise(t["text"]))
     step = step.select(
-        *kept, _join_enums(enums).alias("n_enum"),
+        *kept, F.coalesce(plain, _join_enums(enums)).alias("n_enum"),
         _expand_short_year(F.array_join(F.concat(spans, chrons), " ")).alias("n_chron"),
     )
     both = F.concat_ws("\t", "n_enum", "n_chron")

@@ -19,6 +19,7 @@ OK_PREFIX = r"(?i)(oclc|ocm|ocn|ocolc|on)"
 STRICT_PREFIX = r"(?i)^\(?(oclc|ocm|ocn|ocolc|on|ocl7)\)?$"
 ISSN = r"^\d{4}-?\d{3}[0-9Xx]$"
 LOCAL_ID_MAX = 50
+PLAIN_NUMBER = r"^[1-9]\d{0,17}$"
 WHITESPACE = " \t\n\x0b\f\r\x00"
 
 EMPTY = "ocn is empty"
@@ -42,16 +43,27 @@ def ocn_candidates(raw: Column, max_ocn: int, strict: bool = False) -> Column:
     A prefix is accepted when it merely contains an allowed one; ``strict``
     asks for the whole prefix instead.
     """
-    return F.transform(
-        F.split(F.coalesce(raw, F.lit("")), OCN_DELIMITER),
-        lambda c: _judge(strip(c), max_ocn, strict),
+    text = F.coalesce(raw, F.lit(""))
+    number = text.try_cast("bigint")
+    plain = F.struct(text.alias("candidate"), number.alias("ocn"), F.lit(None).cast("string").alias("reason"))
+    # Each stage binds what the next one looks at more than once.
+    candidates = F.transform(F.split(text, OCN_DELIMITER), strip)
+    parts = F.transform(candidates, _parts)
+    judged = F.transform(parts, lambda p: _judge(p, max_ocn, strict))
+    return F.when(text.rlike(PLAIN_NUMBER) & (number <= max_ocn), F.array(plain)).otherwise(judged)
+
+
+def _parts(candidate: Column) -> Column:
+    return F.struct(
+        candidate.alias("candidate"),
+        F.regexp_extract(candidate, PAREN_PREFIX, 0).alias("paren"),
+        F.regexp_extract(candidate, PREFIX, 0).alias("prefix"),
+        F.regexp_extract(candidate, r"0*(\d+)", 1).alias("digits"),
     )
 
 
-def _judge(candidate: Column, max_ocn: int, strict: bool) -> Column:
-    paren = F.regexp_extract(candidate, PAREN_PREFIX, 0)
-    prefix = F.regexp_extract(candidate, PREFIX, 0)
-    digits = F.regexp_replace(F.regexp_extract(candidate, r"\d+", 0), "^0+(?=.)", "")
+def _judge(part: Column, max_ocn: int, strict: bool) -> Column:
+    candidate, paren, prefix, digits = (part[n] for n in ("candidate", "paren", "prefix", "digits"))
     ok_paren = STRICT_PREFIX if strict else OK_PAREN_PREFIX
     ok_prefix = STRICT_PREFIX if strict else OK_PREFIX
     number = digits.try_cast("bigint")
