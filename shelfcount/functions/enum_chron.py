@@ -138,8 +138,9 @@ def with_enum_chron(df: DataFrame, column: str = "enum_chron") -> DataFrame:
         t["text"].endswith("-"), F.replace(t["text"], F.lit("-"), F.lit(""))).otherwise(t["text"]))
     step = step.select(
         *kept, F.coalesce(plain, _join_enums(enums)).alias("n_enum"),
-        _expand_short_year(F.array_join(F.concat(spans, chrons), " ")).alias("n_chron"),
+        F.array_join(F.concat(spans, chrons), " ").alias("n_chron"),
     )
+    step = step.withColumn("n_chron", _expand_short_year(F.col("n_chron")))
     both = F.concat_ws("\t", "n_enum", "n_chron")
     return step.select(*kept, "n_enum", "n_chron",
                        F.when(both == "\t", "").otherwise(both).alias("n_enum_chron"))

@@ -102,13 +102,9 @@ def cost_report(items: DataFrame, cluster_ocns: DataFrame, holdings: DataFrame,
 
 def as_text(report: CostReport) -> DataFrame:
     """The header facts as lines of text."""
-    facts = report.summary.selectExpr(
-        "inline(array("
-        "struct(1 AS line, concat('Target cost: ', target_cost) AS value),"
-        "struct(2, concat('Num volumes: ', num_volumes)),"
-        "struct(3, concat('Num pd volumes: ', num_pd_volumes)),"
-        "struct(4, concat('Cost per volume: ', cost_per_volume)),"
-        "struct(5, concat('Total weight: ', total_weight)),"
-        "struct(6, concat('PD Cost: ', pd_cost)),"
-        "struct(7, concat('Num members: ', num_members))))")
-    return facts.orderBy("line")
+    labels = {"target_cost": "Target cost", "num_volumes": "Num volumes",
+              "num_pd_volumes": "Num pd volumes", "cost_per_volume": "Cost per volume",
+              "total_weight": "Total weight", "pd_cost": "PD Cost", "num_members": "Num members"}
+    lines = F.array(*[F.concat(F.lit(f"{label}: "), F.col(c).cast("string"))
+                      for c, label in labels.items()])
+    return report.summary.select(F.posexplode(lines).alias("line", "value")).orderBy("line")
