@@ -16,7 +16,6 @@ PAREN_PREFIX = r"^\(.+?\)"
 PREFIX = r"^\D+"
 OK_PAREN_PREFIX = r"(?i)\((oclc|ocm|ocn|ocolc|on)\)"
 OK_PREFIX = r"(?i)(oclc|ocm|ocn|ocolc|on)"
-STRICT_PREFIX = r"(?i)^\(?(oclc|ocm|ocn|ocolc|on|ocl7)\)?$"
 ISSN = r"^\d{4}-?\d{3}[0-9Xx]$"
 LOCAL_ID_MAX = 50
 PLAIN_NUMBER = r"^[1-9]\d{0,17}$"
@@ -37,11 +36,10 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
-def ocn_candidates(raw: Column, max_ocn: int, strict: bool = False) -> Column:
+def ocn_candidates(raw: Column, max_ocn: int) -> Column:
     """Array of struct(candidate, ocn, reason); exactly one of ocn and reason is set.
 
-    A prefix is accepted when it merely contains an allowed one; ``strict``
-    asks for the whole prefix instead.
+    A prefix is accepted when it merely contains an allowed one.
     """
     text = F.coalesce(raw, F.lit(""))
     number = text.try_cast("bigint")
@@ -49,7 +47,7 @@ def ocn_candidates(raw: Column, max_ocn: int, strict: bool = False) -> Column:
     # Each stage binds what the next one looks at more than once.
     candidates = F.transform(F.split(text, OCN_DELIMITER), strip)
     parts = F.transform(candidates, _parts)
-    judged = F.transform(parts, lambda p: _judge(p, max_ocn, strict))
+    judged = F.transform(parts, lambda p: _judge(p, max_ocn))
     return F.when(text.rlike(PLAIN_NUMBER) & (number <= max_ocn), F.array(plain)).otherwise(judged)
 
 
@@ -62,17 +60,15 @@ def _parts(candidate: Column) -> Column:
     )
 
 
-def _judge(part: Column, max_ocn: int, strict: bool) -> Column:
+def _judge(part: Column, max_ocn: int) -> Column:
     candidate, paren, prefix, digits = (part[n] for n in ("candidate", "paren", "prefix", "digits"))
-    ok_paren = STRICT_PREFIX if strict else OK_PAREN_PREFIX
-    ok_prefix = STRICT_PREFIX if strict else OK_PREFIX
     number = digits.try_cast("bigint")
     reason = (
         F.when(candidate == "", EMPTY)
         .when(candidate.rlike(EXPONENTIAL), IN_EXPONENT)
         .when(candidate.rlike(DIGIT_MIX), MIXED)
-        .when((paren != "") & ~paren.rlike(ok_paren), BAD_PAREN)
-        .when((paren == "") & (prefix != "") & ~prefix.rlike(ok_prefix), BAD_PREFIX)
+        .when((paren != "") & ~paren.rlike(OK_PAREN_PREFIX), BAD_PAREN)
+        .when((paren == "") & (prefix != "") & ~prefix.rlike(OK_PREFIX), BAD_PREFIX)
         .when(digits == "", NO_NUMBER)
         .when(digits == "0", ZERO)
         .when(number.isNull() | (number > F.lit(max_ocn)), TOO_LARGE)

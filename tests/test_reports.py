@@ -1,0 +1,152 @@
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from shelfcount.operators.overlap import overlap, overlap_of, prepare
+from shelfcount.plans import deposit, lookups, non_current, overlap_report, trends
+
+OCNS = "cluster_id string, ocn long"
+
+
+def report(items, frame, holdings, organizations, item_rows, pairs, held, **kwargs):
+    return overlap_report.overlap_report(items(*item_rows), frame(pairs, OCNS), holdings(*held),
+                                         organizations, **kwargs)
+
+
+def test_overlap_report(items, frame, holdings, organizations):
+    found = report(items, frame, holdings, organizations,
+                   [("r", "i", 1, "BK", "", "ic", "n1"), ("r", "j", 1, "BK", "", "pd", "n2")], [("r", 1)],
+                   [(1, "n1"), (1, "n1"), (2, "n5"), (2, "n5")], with_members=True)
+    assert rows(found, "organization", "ocn", "rights", "access", "volume_id", "matching_members_count") == [
+        ("n1", 1, "ic", "deny", "i", "1"), ("n1", 1, "pd", "deny", "j", "2"), ("n5", 2, "", "", "", "")]
+
+
+@pytest.mark.parametrize("item, expected", [
+    (None, [("", "")]),                                            # no record: one line
+    (("r", "i", 1, "SE", "V.3"), [("i", "V.3")]),                  # serial: one line
+    (("r", "i", 1, "BK", "V.2"), [("i", "V.2")]),                  # only the volume that matches
+])
+def test_same_local_id_different_volumes(items, frame, holdings, organizations, item, expected):
+    some = [item] if item else [("other", "o", 9, "BK", "")]
+    found = report(items, frame, holdings, organizations, some, [("r", 1)] if item else [("other", 9)],
+                   [(1, "n1", "V.1", None, "", "b", "mpm"), (1, "n1", "V.2", None, "", "b", "mpm")])
+    assert rows(found, "volume_id", "enum_chron") == expected
+
+
+def test_missed_holding_in_a_cluster(items, frame, holdings, organizations):
+    found = report(items, frame, holdings, organizations, [("r", "i", 1, "BK", "v.1")], [("r", 1)],
+                   [(1, "n1", "v.1", None, "", "a"), (1, "n1", "v.9", None, "", "b"), (1, "n1", "v.9", None, "", "a")])
+    assert rows(found, "local_id", "volume_id") == [("a", "i"), ("b", "")]
+
+
+def test_access_abroad(items, frame, holdings, organizations):
+    found = report(items, frame, holdings, organizations,
+                   [("r", "i", 1, "BK", "", "pdus"), ("r", "j", 1, "BK", "", "icus")], [("r", 1)],
+                   [(1, "n1"), (1, "n5")])
+    assert rows(found, "organization", "volume_id", "access") == [
+        ("n1", "i", "deny"), ("n1", "j", "deny"), ("n5", "i", "deny"), ("n5", "j", "allow")]
+
+
+def test_one_organization_still_counts_all_members(items, frame, holdings, organizations):
+    found = report(items, frame, holdings, organizations, [("r", "i", 1, "BK", "")], [("r", 1)],
+                   [(1, "n1"), (1, "n2"), (1, "guest")], organization="n1", with_members=True)
+    assert rows(found, "organization", "matching_members_count") == [("n1", "2")]
+
+
+@pytest.mark.parametrize("states, own", [
+    ([], "not_held"), (["CH"], "held"), ([None], "held"), (["CH", "LM", "WD"], "held"),
+    (["LM"], "lost_missing"), (["LM", "WD"], "lost_missing"), (["WD"], "withdrawn"),
+])
+def test_deposit_status(items, frame, holdings, organizations, states, own):
+    held = holdings(*[(1, "n1", "", s) for s in states], (7, "n2"))
+    found = deposit.deposit_analysis(items(("r", "i", 1, "BK", "", "ic", "n1"), ("r", "p", 1, "BK", "", "pd", "n1"),
+                                           ("r", "u", 1, "BK", "", "icus", "n1")),
+                                     frame([("r", 1)], OCNS), held, organizations)
+    assert rows(found, "item_id", "holdings_status", "mapped_holdings_status") == [("i", own, own), ("u", own, own)]
+
+
+def test_deposit_mapped_and_without_ocn(items, frame, holdings, organizations):
+    some = items(("r", "i", 1, "BK", "", "ic", "n4"), ("q", "j", 2, "BK", "", "ic", "n1")).withColumn(
+        "ocns", F.expr("if(item_id = 'j', cast(array() as array<bigint>), ocns)"))
+    found = deposit.deposit_analysis(some, frame([("r", 1)], OCNS), holdings((1, "n5")), organizations)
+    assert rows(found) == [("i", "ic", "n4", "not_held", "parent", "held"),
+                           ("j", "ic", "n1", "no_ocn", "n1", "no_ocn")]
+
+
+@pytest.mark.parametrize("held, expected", [
+    ([("CH", "")], None), ([(None, "")], None), ([("CH", "BRT")], "brittle"), ([("LM", "")], "lost_missing"),
+    ([("WD", "")], "withdrawn"), ([("LM", ""), ("WD", "")], "multiple"), ([("CH", "BRT"), ("WD", "")], "multiple"),
+    ([("CH", ""), ("LM", "")], None), ([("CH", "BRT"), ("CH", "")], None), ([("LM", "BRT")], "lost_missing"),
+])
+def test_non_current(items, frame, holdings, held, expected):
+    found = non_current.non_current_items(items(("r", "i", 1, "BK", "")), frame([("r", 1)], OCNS),
+                                          holdings(*[(1, "n1", "", s, c) for s, c in held]))
+    assert rows(found, "condition") == ([(expected,)] if expected else [])
+
+
+def test_non_current_serial_can_be_brittle(items, frame, holdings):
+    found = non_current.non_current_items(items(("r", "i", 1, "SE", "")), frame([("r", 1)], OCNS),
+                                          holdings((1, "n1", "", "CH", "BRT"), (1, "n2", "", "LM")))
+    assert rows(found, "organization", "condition") == [("n1", "brittle")]
+
+
+def test_non_current_counts(frame):
+    found = non_current.non_current_counts(frame(
+        [("i", "pd", "a", "brittle"), ("j", "ic", "a", "multiple"), ("k", "icus", "a", "brittle")],
+        "item_id string, rights string, organization string, condition string"))
+    row = found.first().asDict()
+    assert {k: v for k, v in row.items() if v} == {"organization": "a", "pd_brittle": 2, "ic_multiple": 1}
+
+
+@pytest.fixture
+def model(items, frame, holdings):
+    some = items(("r", "i", 1, "BK", "", "ic", "n4", [2, 1]))
+    parts = prepare(some.withColumn("home", F.lit(True)), frame([("r", 1), ("r", 2)], OCNS), holdings(
+        (1, "n4", "", "LM"), (2, "n5", "", "CH"), (2, "n1", "", "CH", "BRT"), (1, "n2", "", "WD")))
+    return some, overlap_of(parts), parts.home.select("item_id", "cluster_format")
+
+
+def test_item_access(model, frame, organizations):
+    some, overlap_rows, kinds = model
+    asked = frame([("i", "n4"), ("i", "parent"), ("i", "n1"), ("i", "n3"), ("no", "n1"), ("i", "nobody"), ("", "n1")],
+                  "item_id string, organization string")
+    found = lookups.item_access(asked, overlap_rows, some, organizations, kinds)
+    assert rows(found, "organization", "brlm_count", "copy_count", "currently_held_count", "deposited") == [
+        ("n1", 1, 1, 1, 0), ("n3", 0, 0, 0, 0), ("n4", 1, 2, 1, 1), ("parent", 1, 2, 1, 1)]
+    assert tuple(found.first()[c] for c in ("format", "n_enum", "ocns")) == ("spm", "", [1, 2])
+    errors = lookups.check_requests(asked, some, organizations).filter("error is not null")
+    assert rows(errors, "item_id", "organization", "error") == [
+        ("", "n1", "missing required param: item_id"), ("i", "nobody", "no matching data"), ("no", "n1", "no matching data")]
+
+
+def test_held_by(model, frame):
+    some, overlap_rows, _ = model
+    asked = frame([("i",), ("x",)], "item_id string")
+    assert rows(lookups.item_held_by(asked, overlap_rows)) == [("i", ["n1", "n2", "n4", "n5"]), ("x", [])]
+    assert rows(lookups.item_held_by(asked, overlap_rows, "brlm")) == [("i", ["n1", "n4"]), ("x", [])]
+    assert rows(lookups.record_held_by(overlap_rows)) == [("i", ["n1", "n2", "n4", "n5"])]
+    with pytest.raises(ValueError):
+        lookups.item_held_by(asked, overlap_rows, "other")
+
+
+def test_sheets(frame, organizations):
+    one = frame([("n1", 1.5), ("n2", 2.0), ("central", 9.0)], "member_id string, total double")
+    two = frame([("n1", 3.0), ("guest", 1.0), ("central", 9.0), ("n3", 4.0)], "member_id string, total double")
+    names = ["20230101", "20240101"]
+    long = trends.stack(dict(zip(names, (one, two))), "member_id", "total")
+    assert rows(trends.append_sheets(long, names, "-")) == [
+        ("central", "9.0", "9.0"), ("guest", "-", "1.0"), ("n1", "1.5", "3.0"), ("n2", "2.0", "-"), ("n3", "-", "4.0")]
+    diff = trends.append_sheets(trends.differences(long, names), names)
+    assert rows(diff) == [("central", "0", ""), ("guest", "N/A", ""), ("n1", "1.5", ""), ("n2", "2.0", ""), ("n3", "N/A", "")]
+    percent = trends.append_sheets(trends.percent_differences(long, names), names)
+    assert rows(percent)[2] == ("n1", "100%", "")
+    sheets = trends.cost_history(long, names, organizations, "central")
+    assert [r[0] for r in rows(sheets["total"], "key")] == ["n1", "n2", "n3"]
+    assert sheets["highlights"].columns == ["key"] + [f"{p}_{n}" for p in ("total", "diff", "percent") for n in names]
+    base = trends.baseline_change(long, *names, organizations, "central")
+    assert rows(base["diff"])[0] == ("n1", "1.5", "")
+
+
+def test_percent_from_zero_is_missing(frame):
+    long = frame([("a", "x", "0"), ("a", "y", "5")], "key string, report string, value string")
+    assert rows(trends.percent_differences(long, ["x", "y"]).na.fill("?"), "report", "value") == [("x", "?"), ("y", "")]
