@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfcount.functions.enum_chron import with_enum_chron
 from shelfcount.operators.dimensions import with_billing_entity
-from shelfcount.session import materialize
+from shelfcount.session import materialize, spread
 
 CENTRAL = "central"
 TARGET_COST = 10000.0
@@ -196,7 +196,7 @@ class Tables:
                 used = {n: self[n] for n in (*BASE_TABLES, *VIEWS) if "{" + n + "}" in text}
                 self._built[name] = self.spark.sql(text, **used)
             else:
-                self._built[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                self._built[name] = spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
         return self._built[name]
 
     def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:

@@ -19,6 +19,7 @@ with very many volumes multiplies rows beyond the result itself.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,13 +78,13 @@ def cluster_org_counts(cluster_ocns: DataFrame, by_org: DataFrame) -> DataFrame:
             .agg(*sums(), *sums("blank_")))
 
 
-@dataclass(frozen=True)
+@dataclass
 class Parts:
     """What overlap and the overlap report are both made from.
 
     ``items`` carry their formats; ``by_enum`` are holdings counted per OCN,
-    organisation and enumeration. Both are written once, since all later steps
-    read them several times.
+    organisation and enumeration. These and the matches are written once,
+    since later steps read them several times.
     """
 
     items: DataFrame
@@ -99,15 +100,15 @@ class Parts:
         items = self.items
         return items.filter("home") if "home" in items.columns else items
 
-    @property
+    @cached_property
     def matches(self) -> DataFrame:
         """(cluster_id, organization, n_enum, counters) where an enumeration of an mpm item is held.
 
         Joined on (ocn, n_enum), so a hot OCN is spread by enumeration and only
         pairs that match are ever formed.
         """
-        return enum_matches(self.items.filter(F.col("cluster_format") == MPM),
-                            self.cluster_ocns, self.by_enum)
+        volumes = self.items.filter(F.col("cluster_format") == MPM)
+        return materialize(enum_matches(volumes, self.cluster_ocns, self.by_enum), "matches")
 
 
 def prepare(items: DataFrame, cluster_ocns: DataFrame, holdings: DataFrame) -> Parts:

@@ -68,6 +68,20 @@ def materialize(df: DataFrame, name: str = "part") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
+    """A scan with fewer splits than cores, dealt out to all of them.
+
+    Files with a single row group or unsplittable compression would otherwise
+    keep text work on one core. Large inputs have splits enough and stay as
+    they are, without a shuffle, and so do tiny ones.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    size = scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) < min_bytes or scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, for the rounds of a loop."""
     context = df.sparkSession.sparkContext
