@@ -13,7 +13,8 @@ The billing entity of an item gets a row with one copy where nothing counts.
 The mpm rule is an OR. It is never run as one: holdings are first counted per
 OCN and organisation, and the three cases become equi joins on those counts.
 Nothing is joined holding by holding, so neither a much-held OCN nor a record
-with very many volumes multiplies rows beyond the result itself.
+with very many volumes multiplies rows beyond the result itself; and the items
+of a very large cluster are joined under several salted keys.
 """
 
 from __future__ import annotations
@@ -30,6 +31,9 @@ from shelfcount.schemas import COUNTERS
 from shelfcount.session import materialize
 
 MPM = "mpm"
+CLUSTER_FACTS = ("cluster_format", "cluster_blank", "cluster_items")
+# Items of one cluster that a single join key may carry.
+ITEMS_PER_KEY = 10_000
 ITEM_COLUMNS = ("cluster_id", "item_id", "bib_key", "bib_fmt", "rights", "n_enum",
                 "billing_entity", "home")
 # What an overlap row repeats of its item.
@@ -93,7 +97,7 @@ class Parts:
 
     @property
     def formats(self) -> DataFrame:
-        return self.items.select("cluster_id", "cluster_format", "cluster_blank").distinct()
+        return self.items.select("cluster_id", *CLUSTER_FACTS).distinct()
 
     @property
     def home(self) -> DataFrame:
@@ -119,11 +123,26 @@ def prepare(items: DataFrame, cluster_ocns: DataFrame, holdings: DataFrame) -> P
 
 
 def enum_matches(items: DataFrame, cluster_ocns: DataFrame, by_enum: DataFrame) -> DataFrame:
-    """(cluster_id, organization, n_enum, counters) of holdings equal to an item's enumeration."""
-    enums = items.filter(F.col("n_enum") != "").select("cluster_id", "n_enum").distinct()
+    """(cluster_id, organization, n_enum, cluster_items, counters) of holdings equal to an
+    item's enumeration."""
+    enums = items.filter(F.col("n_enum") != "").select("cluster_id", "n_enum", "cluster_items").distinct()
     asked = enums.join(cluster_ocns, "cluster_id")
     return (asked.join(by_enum.filter(F.col("n_enum") != ""), ["ocn", "n_enum"])
-            .groupBy("cluster_id", "organization", "n_enum").agg(*sums()))
+            .groupBy("cluster_id", "organization", "n_enum", "cluster_items").agg(*sums()))
+
+
+def _keys() -> Column:
+    return F.ceil(F.col("cluster_items") / ITEMS_PER_KEY)
+
+
+def salted(items: DataFrame) -> DataFrame:
+    """Items with a salt: those of a very large cluster fall under several keys."""
+    return items.withColumn("salt", F.pmod(F.xxhash64("item_id"), _keys()))
+
+
+def per_salt(rows: DataFrame) -> DataFrame:
+    """Rows of a cluster once per salt of its items; nearly always that is once."""
+    return rows.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), _keys() - 1)))
 
 
 def with_match_flag(parts: Parts, matches: DataFrame) -> DataFrame:
@@ -162,12 +181,13 @@ def overlap(items: DataFrame, cluster_ocns: DataFrame, holdings: DataFrame) -> D
 
 
 def overlap_of(parts: Parts) -> DataFrame:
-    home = parts.home.select(*FACTS, "billing_entity")
+    home = salted(parts.home).select(*FACTS, "billing_entity", "salt")
     matches = parts.matches
-    general = _general_counts(with_match_flag(parts, matches)).filter("n > 0")
+    general = per_salt(_general_counts(with_match_flag(parts, matches)).filter("n > 0"))
     columns = (*FACTS, "organization", *COUNTERS)
-    by_cluster = home.join(general, "cluster_id").select(*columns, F.lit(False).alias("depositor"))
-    by_volume = (home.filter("n_enum != ''").join(matches, ["cluster_id", "n_enum"])
+    by_cluster = home.join(general, ["cluster_id", "salt"]).select(
+        *columns, F.lit(False).alias("depositor"))
+    by_volume = (home.filter("n_enum != ''").join(per_salt(matches), ["cluster_id", "n_enum", "salt"])
                  .select(*columns, F.lit(False).alias("depositor")))
     deposited = home.filter("billing_entity is not null").select(
         *FACTS, F.col("billing_entity").alias("organization"),
@@ -188,7 +208,7 @@ def _general_counts(counted: DataFrame) -> DataFrame:
     """
     blanks_only = (F.col("cluster_format") == MPM) & F.col("has_match")
     return counted.select(
-        "cluster_id", "organization",
+        "cluster_id", "organization", "cluster_items",
         *[F.when(blanks_only, F.col(f"blank_{c}")).otherwise(F.col(c)).alias(c) for c in COUNTERS])
 
 

@@ -152,8 +152,11 @@ def _brute_force(item_rows, ocn_rows, holding_rows):
     return out
 
 
-def test_random_clusters_against_brute_force(items, ocns, holdings):
+@pytest.mark.parametrize("per_key", [10_000, 3])
+def test_random_clusters_against_brute_force(items, ocns, holdings, monkeypatch, per_key):
     import random
+    from shelfcount.operators import overlap as module
+    monkeypatch.setattr(module, "ITEMS_PER_KEY", per_key)      # 3: clusters fall under several salts
     rng = random.Random(7)
     # one OCN holds more than a third of all holdings
     item_rows = [(f"r{rng.randrange(12)}", f"i{n}", rng.randrange(15), rng.choice(["BK", "BK", "SE"]),
