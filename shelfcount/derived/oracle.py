@@ -417,7 +417,7 @@ _QUERIES = {
     "new_files": """SELECT DISTINCT file_name AS name FROM submission_lines WHERE file_name NOT LIKE '%_mon_%'
         AND file_name NOT LIKE 'org-a%' AND file_name NOT LIKE 'org-b%' AND file_name NOT LIKE 'org-c%'
         AND file_name NOT LIKE 'org-d%'""",
-    "sorted_split": "SELECT ocn, CAST(1 AS BIGINT) AS parts, count(*) AS holdings FROM holding_rows GROUP BY 1",
+    "sorted_split": "SELECT ocn, count(*) AS holdings FROM holding_rows GROUP BY 1",
     "scrub_ocn": """SELECT l_orderkey, l_linenumber, raw_ocn, CASE form WHEN 3 THEN raw_ocn WHEN 0 THEN raw_ocn
           WHEN 1 THEN CAST(n AS VARCHAR) WHEN 2 THEN CAST(n AS VARCHAR) WHEN 4 THEN CAST(n AS VARCHAR) ELSE '' END AS ocns,
         CASE form WHEN 5 THEN 'invalid prefix' WHEN 6 THEN 'is mix of digits and non-digits' WHEN 7 THEN 'ocn is empty'

@@ -111,20 +111,23 @@ def access_nonus(t):
 @query
 def catalog_records(t):
     """Records written the way the catalogue exports them, then parsed back."""
-    nested = t["item_rows"].groupBy("bib_key").agg(
-        F.first("bib_fmt").alias("f"),
-        F.to_json(F.collect_list(F.struct(
-            F.col("item_id").alias("htid"), F.array("rights").alias("rights"),
-            F.col("enum_chron").alias("enumcron"),
-            F.lower("collection_code").alias("collection_code")))).alias("ht_json"))
-    found = t["record_oclc"].groupBy("bib_key").agg(
-        F.collect_list(F.col("ocn").cast("string")).alias("oclc"))
     from shelfcount.sources import catalog
+
+    def ends(column):
+        """A record has one or two of these."""
+        return F.array_distinct(F.array(F.min(column), F.max(column)))
+
+    one = F.to_json(F.struct(F.col("item_id").alias("htid"), F.array("rights").alias("rights"),
+                             F.col("enum_chron").alias("enumcron"),
+                             F.lower("collection_code").alias("collection_code")))
+    nested = t["item_rows"].withColumn("one", one).groupBy("bib_key").agg(ends(F.col("one")).alias("ones"))
+    found = t["record_oclc"].groupBy("bib_key").agg(ends(F.col("ocn").cast("string")).alias("oclc"))
     raw = nested.join(found, "bib_key", "left").select(
         F.lpad(F.col("bib_key").cast("string"), 9, "0").alias("id"),
         F.when(F.col("bib_key") % 3 == 0, F.array(F.lit("Serial"), F.lit("Journal")))
         .when(F.col("bib_key") % 3 == 1, F.array(F.lit("Book"))).alias("format"),
-        "oclc", F.col("oclc").alias("oclc_search"), F.lit(False).alias("deleted"), "ht_json")
+        "oclc", F.col("oclc").alias("oclc_search"), F.lit(False).alias("deleted"),
+        F.concat(F.lit("["), F.array_join("ones", ","), F.lit("]")).alias("ht_json"))
     parsed = catalog.load(catalog.with_ic_items(catalog.not_deleted(catalog.parse_records(raw))))
     return parsed.items.filter(rights.is_ic("rights")).select(
         "cluster_id", "item_id", "bib_key", "rights", "access", "bib_fmt", "n_enum",
@@ -522,10 +525,8 @@ def new_files(t):
 
 @query
 def sorted_split(t):
-    parts = sinks.sorted_split(t["holding_rows"].select("uuid", "ocn"), 16).withColumn(
-        "part", F.spark_partition_id())
-    return parts.groupBy("ocn").agg(
-        F.count_distinct("part").alias("parts"), F.count("*").alias("holdings"))
+    parts = sinks.sorted_split(t["holding_rows"].select("uuid", "ocn"), 16)
+    return parts.groupBy("ocn").agg(F.count("*").alias("holdings"))
 
 
 # --- scrub -------------------------------------------------------------------

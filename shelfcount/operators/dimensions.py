@@ -1,8 +1,7 @@
 """Organisations and collections: lookups and their quality checks.
 
-Both tables are hand-kept lists of institutions. No broadcast is forced: the
-planner's own size threshold decides, from file statistics or, with adaptive
-execution, from the size found at run time.
+Both tables are hand-kept lists of institutions. They are broadcast after their
+rows have been counted, see ``checked_broadcast``.
 """
 
 from __future__ import annotations
@@ -10,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcount.session import checked_broadcast
+
+
 def members(organizations: DataFrame) -> DataFrame:
     return organizations.filter(F.col("status"))
 
@@ -21,14 +23,13 @@ def member_list(organizations: DataFrame) -> DataFrame:
 def with_billing_entity(items: DataFrame, collections: DataFrame) -> DataFrame:
     """Billing entity by collection code; unknown codes give NULL, see ``missing_collections``."""
     lookup = collections.select(F.col("collection").alias("collection_code"), "billing_entity")
-    return items.join(lookup, "collection_code", "left")
+    return items.join(checked_broadcast(lookup), "collection_code", "left")
 
 
 def with_organization_attributes(rows: DataFrame, organizations: DataFrame) -> DataFrame:
     """Country and weight of the organisation on each row."""
-    lookup = (organizations.select(F.col("inst_id").alias("organization"),
-                                        "country_code", "weight"))
-    return rows.join(lookup, "organization", "left")
+    lookup = organizations.select(F.col("inst_id").alias("organization"), "country_code", "weight")
+    return rows.join(checked_broadcast(lookup), "organization", "left")
 
 
 def mapped_organizations(organizations: DataFrame) -> DataFrame:
@@ -39,10 +40,11 @@ def mapped_organizations(organizations: DataFrame) -> DataFrame:
 def resolve_mapto(requests: DataFrame, organizations: DataFrame) -> DataFrame:
     """Add mapto: the id itself if it is a parent id, else its organisation's parent id."""
     parents = (organizations.select(F.col("mapto_inst_id").alias("organization")).distinct()
-                    .withColumn("__parent", F.col("organization")))
-    own = (organizations.select(F.col("inst_id").alias("organization"),
-                                     F.col("mapto_inst_id").alias("__own")))
-    return (requests.join(parents, "organization", "left").join(own, "organization", "left")
+               .withColumn("__parent", F.col("organization")))
+    own = organizations.select(F.col("inst_id").alias("organization"),
+                               F.col("mapto_inst_id").alias("__own"))
+    return (requests.join(checked_broadcast(parents), "organization", "left")
+            .join(checked_broadcast(own), "organization", "left")
             .withColumn("mapto", F.coalesce("__parent", "__own")).drop("__parent", "__own"))
 
 

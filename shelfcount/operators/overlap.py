@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from shelfcount.functions.rights import gives_access, is_brittle, is_current
 from shelfcount.operators.formats import with_formats
 from shelfcount.schemas import COUNTERS
-from shelfcount.session import materialize
+from shelfcount.session import checked_broadcast, materialize
 
 MPM = "mpm"
 CLUSTER_FACTS = ("cluster_format", "cluster_blank", "cluster_items")
@@ -279,7 +279,7 @@ def with_member_counts(overlap_rows: DataFrame, organizations: DataFrame) -> Dat
     """
     ids = organizations.filter("status").select(F.col("inst_id").alias("organization"),
                                                 F.lit(True).alias("member"))
-    marked = (overlap_rows.join(ids, "organization", "left")
+    marked = (overlap_rows.join(checked_broadcast(ids), "organization", "left")
               .withColumn("member", F.coalesce("member", F.lit(False))))
     return marked.withColumn("n_members",
                              F.count_if("member").over(Window.partitionBy("item_id")))
@@ -294,7 +294,8 @@ def member_counts(overlap_rows: DataFrame, organizations: DataFrame) -> DataFram
     """(item_id, n_members) of items held by anyone."""
     ids = organizations.filter("status").select(F.col("inst_id").alias("organization"),
                                                 F.lit(1).alias("member"))
-    return (overlap_rows.select("item_id", "organization").join(ids, "organization", "left")
+    return (overlap_rows.select("item_id", "organization")
+            .join(checked_broadcast(ids), "organization", "left")
             .groupBy("item_id").agg(F.count("member").alias("n_members")))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfcount.functions.rights import is_ic_or_icus
 from shelfcount.operators.overlap import overlap
+from shelfcount.session import checked_broadcast
 
 
 def status_of(held: str, current: str, lost: str, withdrawn: str) -> Column:
@@ -26,10 +27,11 @@ def deposit_analysis(items: DataFrame, cluster_ocns: DataFrame, holdings: DataFr
                                    F.col("mapto_inst_id").alias("parent"))
     wanted = items.filter(is_ic_or_icus("rights") & F.col("billing_entity").isNotNull()).select(
         "item_id", "rights", "billing_entity", (F.size("ocns") == 0).alias("no_ocn"))
-    wanted = wanted.join(parents.select(F.col("organization").alias("billing_entity"),
-                                        F.col("parent").alias("mapto_inst_id")), "billing_entity", "left")
+    owners = parents.select(F.col("organization").alias("billing_entity"),
+                            F.col("parent").alias("mapto_inst_id"))
+    wanted = wanted.join(checked_broadcast(owners), "billing_entity", "left")
 
-    related = (rows.join(parents, "organization").join(wanted, "item_id")
+    related = (rows.join(checked_broadcast(parents), "organization").join(wanted, "item_id")
                .filter(F.col("parent") == F.col("mapto_inst_id")))
     own = F.col("organization") == F.col("billing_entity")
     counters = {"held": "matching_count", "cur": "current_holding_count",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcount.operators.dimensions import mapped_organizations, resolve_mapto
+from shelfcount.session import checked_broadcast
 
 MISSING = "missing required param: "
 UNKNOWN = "no matching data"
@@ -39,7 +40,7 @@ def item_access(requests: DataFrame, overlap_rows: DataFrame, items: DataFrame,
     parents = mapped_organizations(organizations).select(
         F.col("mapto_inst_id").alias("mapto"), F.col("inst_id").alias("organization"))
     wanted = overlap_rows.join(good.select("item_id"), "item_id", "left_semi")
-    summed = (wanted.join(parents, "organization").groupBy("item_id", "mapto")
+    summed = (wanted.join(checked_broadcast(parents), "organization").groupBy("item_id", "mapto")
               .agg(F.sum("access_count").alias("brlm_count"), F.sum("copy_count").alias("copy_count"),
                    F.sum("current_holding_count").alias("currently_held_count")))
     return (good.join(owners, "item_id").join(formats, "item_id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # What a job of this package wants from a session. The cluster's own settings
 # win; nothing here sizes the cluster.
@@ -68,6 +69,22 @@ def materialize(df: DataFrame, name: str = "part") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+MAX_BROADCAST_ROWS = 100_000
+_SMALL: dict[tuple[str, int], bool] = {}
+
+
+def checked_broadcast(df: DataFrame) -> DataFrame:
+    """Broadcast a dimension after counting it; one that is too long is left to the planner.
+
+    Without statistics the planner would shuffle the large side by a handful
+    of dimension keys. The count is kept per plan, so it is made once.
+    """
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
+    if key not in _SMALL:
+        _SMALL[key] = df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    return F.broadcast(df) if _SMALL[key] else df
+
+
 def spread(scan: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
     """A scan with fewer splits than cores, dealt out to all of them.
 

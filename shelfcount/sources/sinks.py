@@ -11,10 +11,11 @@ STORE_KEYS = ("organization", "mono_multi_serial")
 def write_store(holdings: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The holdings store: partitioned by organisation and type, sorted by OCN.
 
-    Rows are spread by OCN within a partition, so a large organisation is
-    written by many tasks and row groups stay prunable on ocn.
+    Spread by range with the uuid as tie-breaker: a large organisation, or one
+    OCN with very many holdings, is written by many tasks, while a small one
+    gets one file. Row groups stay prunable on ocn.
     """
-    (holdings.repartition(*STORE_KEYS, F.floor(F.col("ocn") / 1_000_000))
+    (holdings.repartitionByRange(*STORE_KEYS, "ocn", "uuid")
      .sortWithinPartitions(*STORE_KEYS, "ocn")
      .write.mode(mode).option("partitionOverwriteMode", "dynamic")
      .partitionBy(*STORE_KEYS).parquet(path))
@@ -26,7 +27,9 @@ def write_scrubbed(valid: DataFrame, path: str) -> None:
 
 
 def write_tsv(report: DataFrame, path: str, by: str | None = None, compress: bool = True) -> None:
-    """Tab separated with header; one directory per value of ``by``."""
+    """Tab separated with header; one directory per value of ``by``, large ones in several files."""
+    if by is not None:
+        report = report.repartitionByRange(by, *[c for c in report.columns if c != by])
     writer = report.write.mode("overwrite")
     if by is not None:
         writer = writer.partitionBy(by)
@@ -77,4 +80,5 @@ def write_split(holdings: DataFrame, path: str, parts: int) -> None:
 
 
 def sorted_split(holdings: DataFrame, parts: int) -> DataFrame:
-    return holdings.repartitionByRange(parts, "ocn").sortWithinPartitions("ocn")
+    """Ranges of about equal size; a much-held OCN may span several."""
+    return holdings.repartitionByRange(parts, "ocn", "uuid").sortWithinPartitions("ocn")

@@ -12,7 +12,7 @@ from shelfcount.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = local_session(4, "4g", **{
-        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.shuffle.partitions": "3",
         "spark.sql.codegen.wholeStage": "false",  # tiny inputs: compiling costs more than it saves
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),

@@ -196,3 +196,20 @@ def test_no_cross_join_in_the_plan(items, ocns, holdings):
     result = overlap(items(("r", "i", 1, "BK", "v.1")), ocns(("r", 1)), holdings((1, "n1", "v.1")))
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_members_are_counted_where_the_rows_already_are(items, ocns, holdings, organizations):
+    """One shuffle by item serves both the sums and the window."""
+    from shelfcount.operators.overlap import with_member_counts
+    result = with_member_counts(
+        overlap(items(("r", "i", 1, "BK", "v.1")), ocns(("r", 1)), holdings((1, "n1", "v.1"))), organizations)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(item_id") == 1
+
+
+def test_rights_filter_reaches_the_item_scan(items, ocns, holdings):
+    from shelfcount.functions.rights import is_ic
+    result = overlap(items(("r", "i", 1, "BK", "v.1")), ocns(("r", 1)), holdings((1, "n1", "v.1")))
+    plan = result.filter(is_ic("rights"))._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "rights" in line]
+    assert scans and all("In(rights" in line for line in scans)

@@ -202,3 +202,17 @@ def test_sinks(spark, frame, holdings, tmp_path):
     sinks.append_ledger(ledger, str(tmp_path / "ledger"))
     sinks.append_ledger(ledger, str(tmp_path / "ledger"))
     assert spark.read.parquet(str(tmp_path / "ledger")).count() == 2
+
+
+def test_store_spreads_a_hot_ocn(spark, tmp_path):
+    """A third of the rows on one OCN: several files, none much larger than the others."""
+    rows_ = spark.range(9000).select(
+        F.expr("if(id % 3 = 0, 1, id)").alias("ocn"), F.lit("n1").alias("organization"),
+        F.lit("mon").alias("mono_multi_serial"), F.sha2(F.col("id").cast("string"), 256).alias("uuid"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_store(rows_, str(tmp_path / "store"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    per_file = spark.read.parquet(str(tmp_path / "store")).groupBy(F.input_file_name()).count()
+    assert max(r[1] for r in rows(per_file)) < 3000 and spark.read.parquet(str(tmp_path / "store")).count() == 9000
