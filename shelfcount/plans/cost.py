@@ -37,7 +37,7 @@ def summary(counts: DataFrame, organizations: DataFrame, target_cost: float) ->
     """One row of report facts from the item counts (n_items, n_pd)."""
     active = members(organizations).agg(F.coalesce(F.sum("weight"), F.lit(0.0)).alias("total_weight"),
                                         F.count("*").alias("n_members"))
-    per_volume = F.lit(float(target_cost)) / F.col("n_items")
+    per_volume = F.try_divide(F.lit(float(target_cost)), F.col("n_items"))
     return counts.crossJoin(active).select(
         F.lit(float(target_cost)).alias("target_cost"),
         F.col("n_items").alias("num_volumes"),
@@ -62,15 +62,15 @@ def by_member(table: DataFrame, facts: DataFrame, organizations: DataFrame, cent
     # facts and spread are single rows
     constants = facts.crossJoin(spread).select(
         "cost_per_volume", "pd_cost", "total_weight",
-        (F.col("central_total") * F.col("cost_per_volume")
-         / F.col("payers")).alias("extra"))
+        F.try_divide(F.col("central_total") * F.col("cost_per_volume"),
+                     F.col("payers")).alias("extra"))
     rows = (members(organizations).select(F.col("inst_id").alias("organization"), "weight")
             .join(scores, "organization", "left").na.fill(0.0, ["spm", "mpm", "ser", "total"])
             .crossJoin(F.broadcast(constants)))
     if organization is not None:
         rows = rows.filter(F.col("organization") == organization)
     per_volume = F.col("cost_per_volume")
-    pd = F.col("pd_cost") / F.col("total_weight") * F.col("weight")
+    pd = F.try_divide(F.col("pd_cost"), F.col("total_weight")) * F.col("weight")
     return rows.select(
         F.col("organization").alias("member_id"),
         (F.col("spm") * per_volume).alias("spm"),

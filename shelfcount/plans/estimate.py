@@ -35,7 +35,7 @@ def estimate(ocns: DataFrame, items: DataFrame, cluster_ocns: DataFrame, holding
     row = totals.crossJoin(shares).crossJoin(listed).crossJoin(item_counts(items).select("n_items"))
 
     def percent(part: str, whole: str):
-        return F.round(F.col(part) / F.col(whole) * 100, 1)
+        return F.round(F.try_divide(F.col(part), F.col(whole)) * 100, 1)
 
     return row.select(
         "ocns_total", "ocns_matched", percent("ocns_matched", "ocns_total").alias("pct_ocns_matched"),
@@ -43,7 +43,8 @@ def estimate(ocns: DataFrame, items: DataFrame, cluster_ocns: DataFrame, holding
         "items_pd", percent("items_pd", "items_matched").alias("pct_items_pd"),
         "items_ic", percent("items_ic", "items_matched").alias("pct_items_ic"),
         "h_share",
-        F.round(F.col("h_share") * target_cost / F.col("n_items"), 2).alias("estimated_ic_cost"),
+        F.round(F.try_divide(F.col("h_share") * target_cost, F.col("n_items")), 2)
+        .alias("estimated_ic_cost"),
     )
 
 

@@ -38,7 +38,8 @@ def parse_records(raw: DataFrame) -> DataFrame:
 
 
 def _longs(name: str) -> Column:
-    return F.transform(name, lambda x: x.cast("bigint"))
+    """Numbers of a list of texts; what is no number is left out."""
+    return F.filter(F.transform(name, lambda x: x.try_cast("bigint")), lambda x: x.isNotNull())
 
 
 def not_deleted(records: DataFrame) -> DataFrame:

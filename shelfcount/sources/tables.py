@@ -32,7 +32,7 @@ def items_from_rows(rows: DataFrame) -> DataFrame:
     """Item table rows (flat, comma separated OCNs) to the item model."""
     mapped = rows.select(
         F.col("htid").alias("item_id"),
-        F.col("bib_num").cast("bigint").alias("bib_key"),
+        F.coalesce(F.col("bib_num").try_cast("bigint"), F.lit(0)).alias("bib_key"),
         F.col("rights_code").alias("rights"),
         table_access("access").alias("access"),
         "bib_fmt",

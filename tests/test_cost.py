@@ -69,6 +69,13 @@ def test_extra_is_spread_and_added_to_every_row(frame, organizations):
     assert found["central"]["total"] == pytest.approx(10 / 3 + 10 / 3 / 6)
 
 
+def test_nothing_to_divide_by_gives_missing_values(frame, organizations):
+    counts = frame([(0, 0, 0)], "n_items long, n_ic long, n_pd long")
+    nobody = organizations.filter("inst_id in ('central', 'guest')")
+    report = cost.from_frequencies(frame([], TABLE), counts, nobody, 10, "central")
+    assert rows(report.by_member, "member_id", "pd", "extra") == [("central", None, None)]
+
+
 def test_icus_counts_as_public_domain(items):
     found = item_counts(items(("r", "a", 1, "BK", "", "icus"), ("r", "b", 1, "BK", "", "pd-pvt"))).first()
     assert tuple(found) == (2, 1, 1)
