@@ -209,10 +209,14 @@ def test_store_spreads_a_hot_ocn(spark, tmp_path):
     rows_ = spark.range(9000).select(
         F.expr("if(id % 3 = 0, 1, id)").alias("ocn"), F.lit("n1").alias("organization"),
         F.lit("mon").alias("mono_multi_serial"), F.sha2(F.col("id").cast("string"), 256).alias("uuid"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = {k: spark.conf.get(k) for k in (
+        "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
     try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
         sinks.write_store(rows_, str(tmp_path / "store"))
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        for key, value in before.items():
+            spark.conf.set(key, value)
     per_file = spark.read.parquet(str(tmp_path / "store")).groupBy(F.input_file_name()).count()
-    assert max(r[1] for r in rows(per_file)) < 3000 and spark.read.parquet(str(tmp_path / "store")).count() == 9000
+    assert max(r[1] for r in rows(per_file)) < 2000 and spark.read.parquet(str(tmp_path / "store")).count() == 9000
