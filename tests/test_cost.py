@@ -16,11 +16,11 @@ TABLE = "organization string, format string, bucket long, frequency long"
 def library(items, frame, holdings):
     """A serial, a single volume, two volumes of a set, and a public-domain volume."""
     parts = items(
-        ("ser", "ht_ser", 1, "SE", "", "ic", "n1", [1]),
-        ("spm", "ht_spm", 2, "BK", "", "ic", "n1", [2]),
-        ("mpm", "ht_mpm1", 3, "BK", "1", "ic", "n1", [3]),
-        ("mpm", "ht_mpm2", 3, "BK", "", "ic", "n2", [3]),
-        ("pd", "ht_pd", 4, "BK", "", "pd", "n1", [4]))
+        ("ser", "v_ser", 1, "SE", "", "ic", "n1", [1]),
+        ("spm", "v_spm", 2, "BK", "", "ic", "n1", [2]),
+        ("mpm", "v_mpm1", 3, "BK", "1", "ic", "n1", [3]),
+        ("mpm", "v_mpm2", 3, "BK", "", "ic", "n2", [3]),
+        ("pd", "v_pd", 4, "BK", "", "pd", "n1", [4]))
     ocns = frame([("ser", 1), ("spm", 2), ("mpm", 3), ("pd", 4)], "cluster_id string, ocn long")
     held = holdings((1, "n1"), (1, "n6"), (3, "n3", ""), (3, "n6", "1"), (3, "n1", ""))
     return parts, ocns, held
