@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 
-from shelfcount.derived.registry import REPORTS
 from shelfcount.derived.views import BASE_TABLES, VIEWS
 
 IC = "('ic', 'op', 'und', 'nobody', 'pd-pvt')"
@@ -159,14 +158,38 @@ PARTS |= {
                  FROM edges e JOIN comp c ON c.ocn = e.variant LEFT JOIN ends x USING (variant)""",
     "sheets": """SELECT member_id AS key, report, CAST(total AS VARCHAR) AS value FROM cost_totals
                  WHERE NOT (member_id IN ('NATION_1', 'NATION_6') AND report < '1998')""",
-    "names": "SELECT unnest([" + ", ".join(f"'{r}'" for r in REPORTS) + "]) AS report",
+    "names": "SELECT DISTINCT report FROM sheets",
     "grid": """SELECT k.key, n.report, coalesce(s.value, 'N/A') AS value
                FROM (SELECT DISTINCT key FROM sheets) k CROSS JOIN names n
                LEFT JOIN sheets s ON s.key = k.key AND s.report = n.report""",
     "steps": """SELECT key, report, value, lead(value) OVER (PARTITION BY key ORDER BY report) AS following,
                        try_cast(value AS BIGINT) AS x, try_cast(lead(value) OVER (PARTITION BY key ORDER BY report)
                        AS BIGINT) AS y FROM grid""",
-    "judged_lines": """SELECT s.*, form IN (0, 1, 2, 3, 4) AS ok_ocn,
+    "sent_files": """SELECT file_name, sender, kind, nr,
+          count(one) AS ready_lines,
+          count(DISTINCT one) AS ready_ocns, CAST(sum(one) AS BIGINT) AS ocn_sum
+        FROM (SELECT file_name, sender, split_part(file_name, '_', 2) AS kind,
+                CASE WHEN file_name LIKE '%20240101%' THEN 1 WHEN file_name LIKE '%20240201%' THEN 2 ELSE 3 END AS nr,
+                ok, ocns, one FROM (
+                SELECT *, form IN (0, 1, 2, 3, 4, 12, 13) AND NOT too_wide AS ok,
+                  CASE WHEN form = 3 THEN [n, n + 1] ELSE [n] END AS ocns FROM
+                  (SELECT file_name, sender, form, n, too_wide FROM submission_lines UNION ALL
+                   SELECT file_name, sender, form, n, too_wide FROM second_lines)) lines
+              LEFT JOIN LATERAL (SELECT unnest(CASE WHEN ok THEN ocns ELSE [] END) AS one) ON true)
+        GROUP BY ALL""",
+    "sent_states": """SELECT s.sender, s.kind, coalesce(a.ready_lines, 0) AS l1, coalesce(a.ready_ocns, 0) AS o1,
+          coalesce(b.ready_lines, 0) AS l2, coalesce(b.ready_ocns, 0) AS o2,
+          coalesce(c.ready_lines, 0) AS l3, coalesce(c.ready_ocns, 0) AS o3
+        FROM (SELECT DISTINCT sender, kind FROM sent_files) s
+        LEFT JOIN sent_files a ON a.sender = s.sender AND a.kind = s.kind AND a.nr = 1
+        LEFT JOIN sent_files b ON b.sender = s.sender AND b.kind = s.kind AND b.nr = 2
+        LEFT JOIN sent_files c ON c.sender = s.sender AND c.kind = s.kind AND c.nr = 3""",
+    "sent_second": """SELECT *, l2 > 0 AND (l1 = 0 OR (abs(l2 - l1) / l1 < 0.5 AND abs(o2 - o1) / o1 < 0.5)) AS pass2
+        FROM sent_states""",
+    "sent_passes": """SELECT *, l3 > 0 AND (lb = 0 OR (abs(l3 - lb) / lb < 0.5 AND abs(o3 - ob) / ob < 0.5)) AS pass3
+        FROM (SELECT *, CASE WHEN pass2 THEN l2 ELSE l1 END AS lb, CASE WHEN pass2 THEN o2 ELSE o1 END AS ob
+              FROM sent_second)""",
+    "judged_lines": """SELECT s.*, form IN (0, 1, 2, 3, 4, 12, 13) AS ok_ocn,
             CASE t WHEN 0 THEN 2 ELSE 3 END + too_wide::INT AS width, CASE t WHEN 0 THEN 2 ELSE 3 END AS asked,
             'org-' || letter AS organization,
             CASE t WHEN 0 THEN 'mix' WHEN 1 THEN 'mon' WHEN 2 THEN 'spm' WHEN 3 THEN 'mpm' ELSE 'ser' END AS kind,
@@ -184,7 +207,7 @@ PARTS |= {
             CASE WHEN kind = 's' THEN '' WHEN lost THEN 'LM' ELSE 'CH' END AS status,
             CASE WHEN fragile AND NOT no_itm THEN 'BRT' ELSE '' END AS condition,
             CASE WHEN no_itm THEN '' ELSE 'v. ' || o_custkey || ',1999' END AS enum_chron,
-            CASE WHEN kind = 's' THEN '0708-6121' ELSE '' END AS issn,
+            CASE WHEN kind = 's' THEN '4321-0987' ELSE '' END AS issn,
             CASE WHEN us THEN '1' ELSE '0' END AS govdoc FROM marc_parts""",
 }
 
@@ -216,7 +239,7 @@ _NOT_CENTRAL = "key IN (SELECT organization FROM member WHERE organization <> 'c
 
 
 def _pivot(relation: str, value: str = "value") -> str:
-    cells = ", ".join(f"max(CASE WHEN report = '{r}' THEN {value} END) AS \"{{p}}{r}\"" for r in REPORTS)
+    cells = ", ".join(f"max(CASE WHEN report = '{r}' THEN {value} END) AS \"{{p}}{r}\"" for r in range(1995, 2002))
     return f"SELECT key, {cells} FROM {relation} GROUP BY key"
 
 
@@ -267,7 +290,8 @@ _QUERIES = {
         JOIN concordance b ON b.canonical = a.canonical""",
     "related_ocns": """SELECT ocn AS key, ocn FROM ocn_list UNION SELECT l.ocn, b2.ocn FROM ocn_list l
         JOIN bridge b1 USING (ocn) JOIN bridge b2 USING (item_id)""",
-    "record_cluster_ocns": "SELECT cluster_id, ocn FROM record_search",
+    "record_cluster_ocns": """SELECT substr(cluster_id, 3) AS cluster_id, ocn FROM record_search
+        WHERE CAST(substr(cluster_id, 3) AS BIGINT) % 9 <> 4""",
     "item_formats": "SELECT item_id, item_format, cf AS cluster_format FROM r_home",
     "cluster_formats": "SELECT cluster_id, cf AS cluster_format FROM r_fmt",
     "cluster_resolutions": """SELECT DISTINCT s.cluster_id, c.variant, c.canonical FROM record_search s
@@ -365,7 +389,8 @@ _QUERIES = {
     "item_held_by": _HELD_BY.format(extra=""),
     "item_held_by_brlm": _HELD_BY.format(extra="AND o.access_count > 0"),
     "record_held_by": """SELECT item_id, string_agg(organization, ',' ORDER BY organization) AS organizations
-        FROM r_ov GROUP BY 1""",
+        FROM r_ov WHERE item_id IN (SELECT item_id FROM item_rows WHERE bib_key IN (SELECT bib_key FROM item_rows
+          JOIN requests USING (item_id) WHERE organization < 'NATION_2')) GROUP BY 1""",
     "members": "SELECT inst_id FROM organizations WHERE status",
     "mapto_organizations": f"""SELECT organization, {_MAPTO.format(c='organization')} AS mapto
         FROM (SELECT DISTINCT organization FROM requests)""",
@@ -419,8 +444,9 @@ _QUERIES = {
         AND file_name NOT LIKE 'org-d%'""",
     "sorted_split": "SELECT ocn, count(*) AS holdings FROM holding_rows GROUP BY 1",
     "scrub_ocn": """SELECT l_orderkey, l_linenumber, raw_ocn, CASE form WHEN 3 THEN raw_ocn WHEN 0 THEN raw_ocn
-          WHEN 1 THEN CAST(n AS VARCHAR) WHEN 2 THEN CAST(n AS VARCHAR) WHEN 4 THEN CAST(n AS VARCHAR) ELSE '' END AS ocns,
-        CASE form WHEN 5 THEN 'invalid prefix' WHEN 6 THEN 'is mix of digits and non-digits' WHEN 7 THEN 'ocn is empty'
+          WHEN 1 THEN CAST(n AS VARCHAR) WHEN 2 THEN CAST(n AS VARCHAR) WHEN 4 THEN CAST(n AS VARCHAR)
+          WHEN 12 THEN CAST(n AS VARCHAR) WHEN 13 THEN CAST(n AS VARCHAR) ELSE '' END AS ocns,
+        CASE form WHEN 5 THEN 'invalid prefix' WHEN 6 THEN 'is mix of digits and non-digits' WHEN 13 THEN 'ocn is empty'
           WHEN 8 THEN 'numeric part is zero' WHEN 9 THEN 'too large for an ocn' WHEN 10 THEN 'is in exponential format'
           WHEN 11 THEN 'invalid paren prefix' ELSE '' END AS reasons FROM submitted""",
     "scrub_local_id": "SELECT raw_local_id, local_id FROM judged_lines",
@@ -440,6 +466,16 @@ _QUERIES = {
         CASE WHEN t = 4 THEN issn_value END AS issn, count(*) AS holdings, CAST(sum(one) AS BIGINT) AS ocn_sum FROM (
           SELECT *, unnest(CASE WHEN form = 3 THEN [n, n + 1] ELSE [n] END) AS one
           FROM judged_lines WHERE ok_ocn AND NOT too_wide) GROUP BY ALL""",
+    "scrub_and_load": """SELECT f.file_name, CASE WHEN f.ready_lines = 0 THEN 'nothing ready'
+          WHEN f.nr = 3 THEN CASE WHEN p.pass3 THEN 'loaded' ELSE 'diff too big' END
+          WHEN NOT p.pass2 THEN 'diff too big' WHEN p.pass3 THEN 'superseded' ELSE 'loaded' END AS outcome,
+        f.ready_lines, f.ready_ocns, coalesce(a.ready_lines, 0) AS old_count,
+        h.ready_lines AS held_lines, h.ocn_sum AS held_ocn_sum
+        FROM sent_files f JOIN sent_passes p USING (sender, kind)
+        LEFT JOIN sent_files a ON a.sender = f.sender AND a.kind = f.kind AND a.nr = 1
+        LEFT JOIN sent_files h ON h.sender = f.sender AND h.kind = f.kind AND h.ready_lines > 0
+          AND h.nr = CASE WHEN p.pass3 THEN 3 WHEN p.pass2 THEN 2 ELSE 1 END
+        WHERE f.nr > 1""",
     "scrub_rejects": """SELECT file_name, reason, count(*) AS n_lines FROM (
         SELECT organization || '_' || kind || '_full_20240101.tsv' AS file_name, concat_ws(' // ',
           CASE WHEN too_wide THEN 'Wrong number of cols (expected ' || asked || ', got ' || width || ')' END,
@@ -447,13 +483,21 @@ _QUERIES = {
         FROM judged_lines WHERE too_wide OR NOT ok_ocn) GROUP BY 1, 2""",
     "scrub_stats": """SELECT message, count(*) AS lines FROM (
         SELECT 'rec_with_ocn' AS message FROM submitted
-        UNION ALL SELECT 'multi_ocn_record' FROM submitted WHERE form IN (3, 4)
+        UNION ALL SELECT 'multi_ocn_record' FROM submitted WHERE form IN (3, 4, 13)
+        UNION ALL SELECT 'ocn prefix: ' || CASE form WHEN 1 THEN 'ocn' WHEN 2 THEN '(OCoLC)' WHEN 5 THEN 'foo' ELSE '(abc)' END
+          FROM submitted WHERE form IN (1, 2, 5, 11)
+        UNION ALL SELECT '2 candidates in one local_id' FROM submitted
+        UNION ALL SELECT 'issn rejected: nope' FROM submitted WHERE t = 4 AND raw_issn <> 'x'
+        UNION ALL SELECT 'issn rejected: x' FROM submitted WHERE t = 4 AND raw_issn = 'x'
+        UNION ALL SELECT 'status: ' || CASE trim(raw_status) WHEN '' THEN '<empty>' ELSE trim(raw_status) END
+          FROM submitted WHERE t = 1
+        UNION ALL SELECT 'condition: ' || raw_condition FROM submitted WHERE t = 2
         UNION ALL SELECT 'bad status value' FROM submitted WHERE t = 1 AND raw_status = 'lost'
         UNION ALL SELECT 'bad condition value' FROM submitted WHERE t = 2 AND raw_condition = 'brt'
         UNION ALL SELECT 'ocn rejected: ' || CASE form WHEN 5 THEN 'invalid prefix'
-          WHEN 6 THEN 'is mix of digits and non-digits' WHEN 7 THEN 'ocn is empty' WHEN 8 THEN 'numeric part is zero'
+          WHEN 6 THEN 'is mix of digits and non-digits' WHEN 13 THEN 'ocn is empty' WHEN 8 THEN 'numeric part is zero'
           WHEN 9 THEN 'too large for an ocn' WHEN 10 THEN 'is in exponential format' ELSE 'invalid paren prefix' END
-          FROM submitted WHERE form > 4) GROUP BY 1""",
+          FROM submitted WHERE form > 4 AND form NOT IN (7, 12, 14)) GROUP BY 1""",
     "file_name_checks": """SELECT DISTINCT replace(file_name, '_full_20240101', x) AS file_name, x = '_full_20240101' AS valid,
         split_part(file_name, '_', 1) AS member_id, split_part(file_name, '_', 2) AS item_type,
         'ok' AS member_id_check, 'ok' AS rest_check, x = '_full_20240101' AS update_ok, x = '_full_20240101' AS date_ok
@@ -466,9 +510,13 @@ _QUERIES = {
     "cost_history_diff": f"SELECT key, report, {_DIFF_VALUE} AS value FROM steps",
     "cost_history_pct": """SELECT key, report, round(CASE WHEN x <> 0 THEN 100 * (y - x) / x END, 6) AS percent,
         CASE WHEN following IS NULL THEN '' WHEN x IS NULL OR y IS NULL THEN value END AS text FROM steps""",
-    "cost_highlights": _pivot(f"(SELECT key, report, {_DIFF_VALUE} AS v FROM steps WHERE {_NOT_CENTRAL})", "v").format(p=""),
-    "cost_baseline": f"""SELECT key, CASE WHEN a = 'N/A' THEN a WHEN b = 'N/A' THEN a
-        ELSE CAST(CAST(b AS BIGINT) - CAST(a AS BIGINT) AS VARCHAR) END AS "1996", '' AS "2001" FROM
+    "cost_highlights": f"""SELECT key, max(CASE WHEN report = '2001' THEN value END) AS total_2001,
+        max(CASE WHEN report = '2000' THEN {_DIFF_VALUE} END) AS diff_2000,
+        max(CASE WHEN report = '2000' THEN round(CASE WHEN x <> 0 THEN 100 * (y - x) / x END, 6) END) AS percent_2000
+        FROM steps WHERE {_NOT_CENTRAL} GROUP BY key""",
+    "cost_baseline": f"""SELECT key, a AS total_1996, b AS total_2001, CASE WHEN a = 'N/A' THEN a WHEN b = 'N/A' THEN a
+        ELSE CAST(CAST(b AS BIGINT) - CAST(a AS BIGINT) AS VARCHAR) END AS diff_1996,
+        round(100 * (try_cast(b AS DOUBLE) - try_cast(a AS DOUBLE)) / try_cast(a AS DOUBLE), 6) AS percent_1996 FROM
         (SELECT key, max(CASE WHEN report = '1996' THEN value END) AS a,
          max(CASE WHEN report = '2001' THEN value END) AS b FROM grid GROUP BY key) WHERE {_NOT_CENTRAL}""",
     "holdings_stream_ingest": """SELECT organization, mono_multi_serial, count(*) AS holdings, count(DISTINCT uuid) AS uuids

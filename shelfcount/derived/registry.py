@@ -13,7 +13,7 @@ from shelfcount.functions import rights, scrub
 from shelfcount.functions.enum_chron import with_enum_chron
 from shelfcount.operators import (changes, clusters, concordance, counts, dimensions, formats,
                                   frequency, overlap)
-from shelfcount.plans import (cost, deposit, estimate, lookups, non_current, overlap_report,
+from shelfcount.plans import (cost, deposit, estimate, load, lookups, non_current, overlap_report,
                               synthetic, trends)
 from shelfcount.session import shared_folder
 from shelfcount.sources import files, marcxml, sinks, submissions, tables
@@ -21,7 +21,6 @@ from shelfcount.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-REPORTS = [str(year) for year in range(1995, 2002)]
 
 
 def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
@@ -35,10 +34,8 @@ def record_overlap(t: Tables) -> DataFrame:
 
 
 def lookup_model(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Home items with formats, and overlap rows, of the lookup clusters."""
-    placed, ocns = clusters.item_clusters(t.items.drop("cluster_id"), t.concordance)
-    parts = overlap.prepare(placed, ocns, t.holdings)
-    return parts.home, overlap.overlap_of(parts)
+    """Home items with formats, and overlap rows, of the clusters of the requested items."""
+    return lookups.lookup_model(t["requests"], t.items, t.concordance, t.holdings)
 
 
 # --- counts and scans --------------------------------------------------------
@@ -114,8 +111,8 @@ def catalog_records(t):
     from shelfcount.sources import catalog
 
     def ends(column):
-        """A record has one or two of these."""
-        return F.array_distinct(F.array(F.min(column), F.max(column)))
+        """All of a record's values, few as they are."""
+        return F.sort_array(F.collect_set(column))
 
     one = F.to_json(F.struct(F.col("item_id").alias("htid"), F.array("rights").alias("rights"),
                              F.col("enum_chron").alias("enumcron"),
@@ -163,7 +160,20 @@ def cluster_ocns(t):
 
 @query
 def record_cluster_ocns(t):
-    return t.search
+    """OCNs of records written the way the catalogue exports them, then parsed back."""
+    from shelfcount.sources import catalog
+
+    own = t["record_oclc"].groupBy("bib_key").agg(F.collect_set(F.col("ocn").cast("string")).alias("oclc"))
+    found = t["record_search"].groupBy("cluster_id").agg(F.collect_set(F.col("ocn").cast("string")).alias("oclc_search"))
+    one = F.to_json(F.struct(F.col("item_id").alias("htid"), F.array("rights").alias("rights"),
+                             F.lower("collection_code").alias("collection_code")))
+    nested = t["item_rows"].groupBy("bib_key", "cluster_id").agg(F.collect_list(one).alias("ones"))
+    raw = nested.join(own, "bib_key", "left").join(found, "cluster_id", "left").select(
+        F.col("bib_key").cast("string").alias("id"), F.array(F.lit("Book")).alias("format"), "oclc", "oclc_search",
+        (F.col("bib_key") % 9 == 4).alias("deleted"),
+        F.concat(F.lit("["), F.array_join("ones", ","), F.lit("]")).alias("ht_json"))
+    parsed = catalog.load(catalog.not_deleted(catalog.parse_records(raw)))
+    return parsed.record_ocns.select("cluster_id", "ocn")
 
 
 @query
@@ -386,7 +396,8 @@ def item_held_by_brlm(t):
 
 @query
 def record_held_by(t):
-    return _joined(lookups.record_held_by(record_overlap(t)))
+    asked = t.items.join(t["requests"].filter("organization < 'NATION_2'"), "item_id", "left_semi").select("cluster_id")
+    return _joined(lookups.record_held_by(asked, t.items, t.search, t.holdings))
 
 
 @query
@@ -566,11 +577,26 @@ def enum_chron(t):
         F.count("*").alias("n"))
 
 
+def _submissions(lines: DataFrame) -> submissions.Submissions:
+    return submissions.Submissions(lines.select("file_name", "value"), lines.select("file_name", "header").distinct())
+
+
 def _scrubbed(t: Tables) -> submissions.Scrubbed:
-    lines = t["submission_lines"]
-    heads = lines.select("file_name", "header").distinct()
-    return submissions.scrub_lines(submissions.Submissions(lines.select("file_name", "value"), heads),
-                                   "2024-01-01", MAX_OCN)
+    return submissions.scrub_lines(_submissions(t["submission_lines"]), "2024-01-01", MAX_OCN)
+
+
+@query
+def scrub_and_load(t):
+    """Two deliveries into an empty store, the second with two files of each slice: outcomes, and what is held."""
+    work = f"{shared_folder(t.spark)}/load-{uuid.uuid4().hex}"
+    for number, name in enumerate(("submission_lines", "second_lines")):
+        lines = t[name]
+        outcomes = load.load_files(t.spark, lines.select("file_name").distinct(), _submissions(lines), f"{work}/store",
+                                   f"{work}/ledger", f"{work}/{number}", "2024-01-01", MAX_OCN, load.Limits(0.5, 0.5))
+    held = t.spark.read.parquet(f"{work}/store").groupBy(*load.SLICE).agg(
+        F.count("*").alias("held_lines"), F.sum("ocn").alias("held_ocn_sum"))
+    return outcomes.join(held, load.SLICE, "left").select(
+        "file_name", "outcome", "ready_lines", "ready_ocns", "old_count", "held_lines", "held_ocn_sum")
 
 
 @query
@@ -627,30 +653,37 @@ def _sheets(t: Tables) -> DataFrame:
 
 @query
 def cost_history(t):
-    return trends.append_sheets(_sheets(t), REPORTS)
+    return trends.append_sheets(_sheets(t), trends.report_names(_sheets(t)))
 
 
 @query
 def cost_history_diff(t):
-    return trends.differences(_sheets(t), REPORTS)
+    return trends.differences(_sheets(t), trends.report_names(_sheets(t)))
 
 
 @query
 def cost_history_pct(t):
-    diffs = trends.percent_differences(_sheets(t), REPORTS)
+    diffs = trends.percent_differences(_sheets(t), trends.report_names(_sheets(t)))
     number = F.regexp_replace("value", "%$", "").try_cast("double")
     return diffs.select("key", "report", F.round(number, 6).alias("percent"),
                         F.when(~F.col("value").endswith("%"), F.col("value")).alias("text"))
 
 
+def _rounded(sheet: DataFrame) -> DataFrame:
+    """Percents as numbers of six digits, for comparison."""
+    return sheet.withColumns({c: F.round(F.regexp_replace(c, "%$", "").try_cast("double"), 6)
+                              for c in sheet.columns if c.startswith("percent_")})
+
+
 @query
 def cost_highlights(t):
-    return trends.cost_history(_sheets(t), REPORTS, t.organizations, CENTRAL)["diff"]
+    names = trends.report_names(_sheets(t))
+    return _rounded(trends.cost_history(_sheets(t), names, t.organizations, CENTRAL)["highlights"])
 
 
 @query
 def cost_baseline(t):
-    return trends.baseline_change(_sheets(t), "1996", "2001", t.organizations, CENTRAL)["diff"]
+    return _rounded(trends.baseline_change(_sheets(t), "1996", "2001", t.organizations, CENTRAL))
 
 
 # --- generated and streamed --------------------------------------------------

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfcount.functions.enum_chron import with_enum_chron
 from shelfcount.operators.dimensions import with_billing_entity
-from shelfcount.session import materialize, spread
+from shelfcount.session import materialize
 
 CENTRAL = "central"
 TARGET_COST = 10000.0
@@ -123,10 +123,10 @@ VIEWS = {
                CASE WHEN o_orderstatus = 'F' THEN 'holding' ELSE 'concordance' END AS type
         FROM {orders}""",
     "submitted": """
-        SELECT l_orderkey, l_linenumber, l_orderkey % 12 AS form, l_orderkey % 37 = 0 AS too_wide,
+        SELECT l_orderkey, l_linenumber, l_orderkey % 15 AS form, l_orderkey % 37 = 0 AS too_wide,
                l_partkey + 1 AS n, l_linenumber % 5 AS t,
                substr('abcdefghijklmnopqrstuvwxy', CAST(l_suppkey % 25 AS INT) + 1, 1) AS letter,
-               CASE l_orderkey % 12
+               CASE l_orderkey % 15
                     WHEN 0 THEN '' || (l_partkey + 1)
                     WHEN 1 THEN 'ocn' || (l_partkey + 1)
                     WHEN 2 THEN '(OCoLC)' || (l_partkey + 1)
@@ -138,6 +138,9 @@ VIEWS = {
                     WHEN 8 THEN '000'
                     WHEN 9 THEN '9' || '99999999999999' || l_partkey
                     WHEN 10 THEN '1.0E+10'
+                    WHEN 12 THEN (l_partkey + 1) || ',; '
+                    WHEN 13 THEN ',' || (l_partkey + 1)
+                    WHEN 14 THEN ' ,'
                     ELSE '(abc)' || (l_partkey + 1) END AS raw_ocn,
                CASE l_returnflag WHEN 'A' THEN ' CH ' WHEN 'R' THEN 'lost' ELSE '' END AS raw_status,
                CASE WHEN l_linestatus = 'F' THEN 'BRT' ELSE 'brt' END AS raw_condition,
@@ -152,8 +155,17 @@ VIEWS = {
                  ELSE chr(9) || 'issn' END AS header,
                raw_ocn || chr(9) || raw_local_id || CASE t WHEN 0 THEN '' WHEN 1 THEN chr(9) || raw_status
                  WHEN 2 THEN chr(9) || raw_condition WHEN 3 THEN chr(9) || 'vol.' || n
-                 ELSE chr(9) || raw_issn END || CASE WHEN too_wide THEN chr(9) ELSE '' END AS value
+                 ELSE chr(9) || raw_issn END || CASE WHEN too_wide THEN chr(9) ELSE '' END AS value,
+               'org-' || letter AS sender, form, n, too_wide
         FROM {submitted}""",
+    "second_lines": """
+        SELECT replace(file_name, '20240101', '20240201') AS file_name, header, value, sender, form, n, too_wide
+        FROM {submission_lines} WHERE length(value) % 2 = 0
+        UNION ALL
+        SELECT replace(file_name, '20240101', '20240301') AS file_name,
+               CASE WHEN sender = 'org-b' THEN substr(header, 6) ELSE header END AS header, value, sender,
+               CASE WHEN sender = 'org-b' THEN 7 ELSE form END AS form, n, too_wide
+        FROM {submission_lines} WHERE length(value) % 7 <> 0""",
     "marc_parts": """
         SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 's' WHEN 3 THEN 'a' ELSE 'm' END AS kind,
                o_orderkey % 11 = 0 AS no_ocn, o_orderkey % 13 = 0 AS no_itm, o_orderkey % 17 = 0 AS no_008,
@@ -161,15 +173,15 @@ VIEWS = {
         FROM {orders}""",
     "marc_xml": """
         SELECT o_orderkey, '<record><leader>00000ca' || kind || ' a2200000 a 4500</leader>'
-                 || CASE WHEN no_008 THEN '' ELSE '<controlfield tag="008">070823s2008    '
-                 || CASE WHEN us THEN 'mdu' ELSE 'enk' END || '          f000 0 eng  </controlfield>' END
+                 || CASE WHEN no_008 THEN '' ELSE '<controlfield tag="008">991231s1999    '
+                 || CASE WHEN us THEN 'mdu' ELSE 'enk' END || '     x    f00||| und  </controlfield>' END
                  || '<controlfield tag="001"> 99' || o_orderkey || ' </controlfield>'
                  || CASE WHEN no_itm THEN '' ELSE '<datafield tag="ITM" ind1=" " ind2=" "><subfield code="a">v. '
                  || o_custkey || '</subfield><subfield code="b"></subfield><subfield code="c">'
                  || CASE WHEN fragile THEN 'FRAGILE' ELSE 'OK' END
                  || '</subfield><subfield code="d">23' || o_orderkey || '</subfield><subfield code="i">1999</subfield>'
                  || CASE WHEN lost THEN '<subfield code="k">MISSING</subfield>' ELSE '' END || '</datafield>' END
-                 || '<datafield tag="022" ind1=" " ind2=" "><subfield code="a">0708-6121</subfield></datafield>'
+                 || '<datafield tag="022" ind1=" " ind2=" "><subfield code="a">4321-0987</subfield></datafield>'
                  || CASE WHEN no_ocn THEN '' ELSE '<datafield tag="035" ind1=" " ind2=" "><subfield code="a">(OCoLC)'
                  || o_custkey || '</subfield></datafield>' END || '</record>' AS xml
         FROM {marc_parts}""",
@@ -196,7 +208,7 @@ class Tables:
                 used = {n: self[n] for n in (*BASE_TABLES, *VIEWS) if "{" + n + "}" in text}
                 self._built[name] = self.spark.sql(text, **used)
             else:
-                self._built[name] = spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
+                self._built[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._built[name]
 
     def _stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:

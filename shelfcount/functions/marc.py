@@ -14,6 +14,8 @@ LOST_STATUSES = ("LOST_ILL", "LOST_LOAN", "MISSING")
 NO_ITM = "Record rejected for lacking an ITM field"
 NO_035 = "Record rejected for missing 035a (ocn)"
 NO_008 = "Record rejected for missing 008 field"
+NO_ITM_ID = "Record rejected for an ITM field without local id"
+NO_001 = "Record rejected for missing 001 field"
 BAD_TYPE = "unexpected item type mix"
 MON_COLUMNS = ("oclc", "local_id", "status", "condition", "enum_chron", "govdoc")
 SER_COLUMNS = ("oclc", "local_id", "issn", "govdoc")
@@ -55,8 +57,10 @@ def marc_holding() -> Column:
     itm, fixed = _field("ITM"), _control("008")
     error = (
         F.when(kind == "mix", BAD_TYPE)
-        .when(_field("035").isNull(), NO_035)
+        .when(_field("035").isNull() | _sub("035", "a").isNull(), NO_035)
         .when(~serial & itm.isNull(), NO_ITM)
+        .when(~serial & _sub("ITM", "d").isNull(), NO_ITM_ID)
+        .when(serial & _control("001").isNull(), NO_001)
         .when(fixed.isNull(), NO_008)
     )
     parts = F.array(*[_sub("ITM", code) for code in ("a", "b", "i", "j")])

@@ -18,6 +18,7 @@ OK_PAREN_PREFIX = r"(?i)\((oclc|ocm|ocn|ocolc|on)\)"
 OK_PREFIX = r"(?i)(oclc|ocm|ocn|ocolc|on)"
 ISSN = r"^\d{4}-?\d{3}[0-9Xx]$"
 LOCAL_ID_MAX = 50
+MANY = 25
 PLAIN_NUMBER = r"^[1-9]\d{0,17}$"
 WHITESPACE = " \t\n\x0b\f\r\x00"
 
@@ -45,7 +46,10 @@ def ocn_candidates(raw: Column, max_ocn: int) -> Column:
     number = text.try_cast("bigint")
     plain = F.struct(text.alias("candidate"), number.alias("ocn"), F.lit(None).cast("string").alias("reason"))
     # Each stage binds what the next one looks at more than once.
-    candidates = F.transform(F.split(text, OCN_DELIMITER), strip)
+    # delimiters at the end part nothing; an empty field, or one of delimiters only, has no candidate
+    cut = F.filter(F.split(F.regexp_replace(text, OCN_DELIMITER + "$", ""), OCN_DELIMITER, -1),
+                   lambda c: text.rlike("[^,:;|/ ]"))
+    candidates = F.transform(cut, strip)
     parts = F.transform(candidates, _parts)
     judged = F.transform(parts, lambda p: _judge(p, max_ocn))
     return F.when(text.rlike(PLAIN_NUMBER) & (number <= max_ocn), F.array(plain)).otherwise(judged)
@@ -92,16 +96,42 @@ def reject_reasons(candidates: Column) -> Column:
     return F.transform(refused, lambda c: c["reason"])
 
 
+def prefixes(candidates: Column) -> Column:
+    """Prefixes that candidates begin with, in the order in which they are looked at, as far as that gets."""
+    seen = F.filter(candidates, lambda c: ~F.coalesce(c["reason"], F.lit("")).isin(EMPTY, IN_EXPONENT, MIXED))
+    cut = F.transform(seen, lambda c: F.when(
+        c["candidate"].rlike(PAREN_PREFIX), F.regexp_extract(c["candidate"], PAREN_PREFIX, 0)).otherwise(
+        F.regexp_extract(c["candidate"], PREFIX, 0)))
+    return F.filter(cut, lambda p: p != "")
+
+
+def local_ids(raw: Column) -> Column:
+    """Candidates of the field; delimiters at the end part nothing."""
+    text = strip(raw)
+    return F.when(text.rlike("[^,; ]"),
+                  F.split(F.regexp_replace(text, LIST_DELIMITER + "$", ""), LIST_DELIMITER)).otherwise(
+        F.when(raw.isNotNull(), F.array().cast("array<string>")))
+
+
+def too_long(ids: Column) -> Column:
+    return F.filter(ids, lambda p: F.length(p) > LOCAL_ID_MAX)
+
+
 def local_id(raw: Column) -> Column:
-    parts = F.split(F.regexp_replace(strip(F.coalesce(raw, F.lit(""))), LIST_DELIMITER + "$", ""),
-                    LIST_DELIMITER)
-    return F.array_join(F.array_distinct(F.filter(parts, lambda p: F.length(p) <= LOCAL_ID_MAX)), ",")
+    ids = F.coalesce(local_ids(raw), F.array().cast("array<string>"))
+    return F.array_join(F.array_distinct(F.filter(ids, lambda p: F.length(p) <= LOCAL_ID_MAX)), ",")
 
 
 def issn(raw: Column) -> Column:
     return F.array_join(F.filter(F.split(raw, LIST_DELIMITER), lambda p: p.rlike(ISSN)), ";")
 
 
+def refused_issns(raw: Column) -> Column:
+    """Candidates that are no ISSN; an empty field has none, and delimiters at the end part nothing."""
+    cut = F.split(F.regexp_replace(raw, LIST_DELIMITER + "$", ""), LIST_DELIMITER)
+    return F.when(raw.rlike("[^,; ]"), F.filter(cut, lambda p: ~p.rlike(ISSN)))
+
+
 def status(raw: Column) -> Column:
     return _allowed(raw, *STATUSES)
 

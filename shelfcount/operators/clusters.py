@@ -127,9 +127,11 @@ def ocn_clusters(seeds: DataFrame, bridge: DataFrame,
     return home.select("seed", "cluster_id"), ocns
 
 
-def item_clusters(items: DataFrame, concordance: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Lookup clusters of all items.
+def item_clusters(items: DataFrame, concordance: DataFrame,
+                  wanted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Lookup clusters of all items, or of the ``wanted`` ones (item_id) only.
 
+    A cluster starts from the OCNs of its item, so those of a few items are made from what these OCNs touch.
     Returns cluster items and (cluster_id, ocn). Cluster items are the input
     rows with cluster_id and ``home``: an item can sit in several clusters, and
     its own overlap is taken from its home cluster only. Items without OCN
@@ -137,17 +139,22 @@ def item_clusters(items: DataFrame, concordance: DataFrame) -> tuple[DataFrame,
     """
     bridge = items.select("item_id", F.explode("ocns").alias("ocn")).distinct()
     with_seed = items.withColumn("seed", F.array_join(F.sort_array(F.array_distinct("ocns")), ","))
-    seeds = (with_seed.filter("seed != ''").select("seed", F.explode("ocns").alias("ocn")).distinct())
+    own = with_seed if wanted is None else with_seed.join(wanted.select("item_id").distinct(), "item_id", "left_semi")
+    seeds = (own.filter("seed != ''").select("seed", F.explode("ocns").alias("ocn")).distinct())
     home, ocns = ocn_clusters(seeds, bridge, concordance)
     in_cluster = ocns.join(bridge, "ocn").select("cluster_id", "item_id").distinct()
-    home_of = (with_seed.filter("seed != ''").select("item_id", "seed").join(home, "seed")
+    home_of = (own.filter("seed != ''").select("item_id", "seed").join(home, "seed")
                .select("item_id", F.col("cluster_id").alias("home_id")))
-    placed = (items.join(home_of, "item_id").join(in_cluster, "item_id")
-              .withColumn("home", F.col("cluster_id") == F.col("home_id")).drop("home_id"))
-    without = with_seed.filter("seed = ''").select("bib_key").distinct()
+    placed = (items.join(in_cluster, "item_id").join(home_of, "item_id", "left")
+              .withColumn("home", F.coalesce(F.col("cluster_id") == F.col("home_id"), F.lit(False))).drop("home_id"))
+    without = own.filter("seed = ''").select("bib_key").distinct()
     by_record = (items.join(without, "bib_key")
                  .withColumn("cluster_id", F.concat(F.lit("bib:"), F.col("bib_key").cast("string")))
                  .withColumn("home", F.size("ocns") == 0))
+    if wanted is not None:
+        asked = wanted.select("item_id", F.lit(True).alias("asked")).distinct()
+        by_record = (by_record.join(asked, "item_id", "left")
+                     .withColumn("home", F.col("home") & F.col("asked").isNotNull()).drop("asked"))
     return placed.unionByName(by_record), ocns
 
 

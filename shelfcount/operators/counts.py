@@ -55,15 +55,23 @@ def size_gate(loaded: DataFrame, ready: DataFrame, keys: list[str],
     both = counted(loaded, "loaded").join(counted(ready, "ready"), keys, "full").na.fill(0)
     line_diff = _relative(F.col("ready_lines"), F.col("loaded_lines"))
     ocn_diff = _relative(F.col("ready_ocns"), F.col("loaded_ocns"))
-    ok = (F.when(F.col("ready_lines") == 0, F.lit(False))
-          .when(F.col("loaded_lines") == 0, F.lit(True))
-          .otherwise((line_diff < max_line_diff) & (F.coalesce(ocn_diff, F.lit(0.0)) < max_ocn_diff)))
+    ok = acceptable(F.col("loaded_lines"), F.col("ready_lines"), F.col("loaded_ocns"), F.col("ready_ocns"),
+                    max_line_diff, max_ocn_diff)
     return both.select(
         *keys, "loaded_lines", "ready_lines", "loaded_ocns", "ready_ocns",
         line_diff.alias("line_diff"), ocn_diff.alias("ocn_diff"),
         (ok | F.lit(force)).alias("acceptable"))
 
 
+def acceptable(loaded_lines: Column, ready_lines: Column, loaded_ocns: Column, ready_ocns: Column,
+               max_line_diff: float, max_ocn_diff: float) -> Column:
+    """Whether so many ready lines and OCNs may replace the loaded ones."""
+    lines, ocns = _relative(ready_lines, loaded_lines), _relative(ready_ocns, loaded_ocns)
+    return (F.when(ready_lines == 0, F.lit(False))
+            .when(loaded_lines == 0, F.lit(True))
+            .otherwise((lines < max_line_diff) & (F.coalesce(ocns, F.lit(0.0)) < max_ocn_diff)))
+
+
 def _relative(new: Column, old: Column) -> Column:
     return F.abs(new - old) / F.when(old != 0, old)
 

@@ -20,8 +20,10 @@ def member_list(organizations: DataFrame) -> DataFrame:
     return members(organizations).select("inst_id").orderBy("inst_id")
 
 
-def with_billing_entity(items: DataFrame, collections: DataFrame) -> DataFrame:
-    """Billing entity by collection code; unknown codes give NULL, see ``missing_collections``."""
+def with_billing_entity(items: DataFrame, collections: DataFrame, strict: bool = True) -> DataFrame:
+    """Billing entity by collection code. An unknown code is an error, or NULL if not ``strict``."""
+    if strict:
+        require_none(missing_collections(items, collections), "collections without an entry")
     lookup = collections.select(F.col("collection").alias("collection_code"), "billing_entity")
     return items.join(checked_broadcast(lookup), "collection_code", "left")
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from shelfcount.functions.rights import gives_access, is_brittle, is_current
 from shelfcount.operators.formats import with_formats
-from shelfcount.schemas import COUNTERS
+from shelfcount.schemas import COUNTERS, MAX_STORED_OCN
 from shelfcount.session import checked_broadcast, materialize
 
 MPM = "mpm"
@@ -62,9 +62,12 @@ def sums(prefix: str = "") -> list[Column]:
 
 
 def count_by_enum(holdings: DataFrame) -> DataFrame:
-    """(ocn, organization, n_enum, counters): the only pass over single holdings."""
+    """(ocn, organization, n_enum, counters): the only pass over single holdings.
+
+    Numbers beyond the stored integer range never match, so they are not counted.
+    """
     counts = [c.alias(name) for name, c in state_counts().items()]
-    return (holdings.filter(F.col("organization").isNotNull())
+    return (holdings.filter(F.col("organization").isNotNull() & (F.col("ocn") <= MAX_STORED_OCN))
             .groupBy("ocn", "organization", F.coalesce("n_enum", F.lit("")).alias("n_enum"))
             .agg(*counts))
 
@@ -115,7 +118,16 @@ class Parts:
         return materialize(enum_matches(volumes, self.cluster_ocns, self.by_enum), "matches")
 
 
-def prepare(items: DataFrame, cluster_ocns: DataFrame, holdings: DataFrame) -> Parts:
+def near(holdings: DataFrame, cluster_ocns: DataFrame) -> DataFrame:
+    """Holdings on the OCNs of the clusters: a few clusters need not count the whole store."""
+    return holdings.join(cluster_ocns.select("ocn").distinct(), "ocn", "left_semi")
+
+
+def prepare(items: DataFrame, cluster_ocns: DataFrame, holdings: DataFrame, narrowed: bool = False) -> Parts:
+    """``narrowed`` says that the clusters are not all there are, so most holdings are on none of them."""
+    if narrowed:
+        cluster_ocns = materialize(cluster_ocns, "near_ocns")
+        holdings = near(holdings, cluster_ocns)
     slim = items.select(*[c for c in ITEM_COLUMNS if c in items.columns]).withColumn(
         "n_enum", F.coalesce("n_enum", F.lit("")))
     return Parts(materialize(with_formats(slim), "items"), cluster_ocns,
@@ -170,14 +182,14 @@ def unmatched_organizations(parts: Parts) -> DataFrame:
         "cluster_id", "organization")
 
 
-def overlap(items: DataFrame, cluster_ocns: DataFrame, holdings: DataFrame) -> DataFrame:
+def overlap(items: DataFrame, cluster_ocns: DataFrame, holdings: DataFrame, narrowed: bool = False) -> DataFrame:
     """Overlap rows with matching counters.
 
     ``items``: cluster_id, item_id, bib_key, bib_fmt, rights, n_enum,
     billing_entity and optionally ``home`` (rows of other clusters that only
     shape formats and enumerations). ``cluster_ocns``: distinct (cluster_id, ocn).
     """
-    return overlap_of(prepare(items, cluster_ocns, holdings))
+    return overlap_of(prepare(items, cluster_ocns, holdings, narrowed))
 
 
 def overlap_of(parts: Parts) -> DataFrame:

@@ -9,6 +9,17 @@ from shelfcount.functions.rights import is_ic
 from shelfcount.operators.counts import item_counts
 from shelfcount.operators.overlap import member_counts, overlap
 
+# --- Fixed values: the sentences of the estimate, and the columns that fill them
+SENTENCES = (
+    ("Total Estimated IC Cost: $%.2f", "estimated_ic_cost"),
+    ("In all, we received %d distinct OCLC numbers.", "ocns_total"),
+    ("Of those distinct OCLC numbers, %d (%.1f%%) match items in", "ocns_matched", "pct_ocns_matched"),
+    ("{library}, corresponding to %d {library} items.", "items_matched"),
+    ("Of those items, %d (%.1f%%) are in the public domain,", "items_pd", "pct_items_pd"),
+    ("%d (%.1f%%) are in copyright.", "items_ic", "pct_items_ic"),
+)
+# ----------------------------------------------------------------------------
+
 
 def estimate(ocns: DataFrame, items: DataFrame, cluster_ocns: DataFrame, holdings: DataFrame,
              organizations: DataFrame, target_cost: float) -> DataFrame:
@@ -23,7 +34,7 @@ def estimate(ocns: DataFrame, items: DataFrame, cluster_ocns: DataFrame, holding
     matched = items.join(hits, "cluster_id", "left_semi")
     counts = matched.select("item_id", F.coalesce(is_ic("rights"), F.lit(False)).alias("ic"))
 
-    ic_rows = overlap(matched, near, holdings).filter(is_ic("rights"))
+    ic_rows = overlap(matched, near, holdings, narrowed=True).filter(is_ic("rights"))
     holders = member_counts(ic_rows, organizations)
     shares = counts.filter("ic").join(holders, "item_id", "left").agg(
         F.coalesce(F.sum(1.0 / (F.coalesce("n_members", F.lit(0)) + 1)), F.lit(0.0)).alias("h_share"))
@@ -50,13 +61,6 @@ def estimate(ocns: DataFrame, items: DataFrame, cluster_ocns: DataFrame, holding
 
 def as_text(row: DataFrame, library: str) -> DataFrame:
     """The six lines handed to the prospective member."""
-    return row.select(F.explode(F.array(
-        F.format_string("Total Estimated IC Cost: $%.2f", "estimated_ic_cost"),
-        F.format_string("In all, we received %d distinct OCLC numbers.", "ocns_total"),
-        F.format_string("Of those distinct OCLC numbers, %d (%.1f%%) match items in",
-                        "ocns_matched", "pct_ocns_matched"),
-        F.format_string(f"{library}, corresponding to %d {library} items.", "items_matched"),
-        F.format_string("Of those items, %d (%.1f%%) are in the public domain,",
-                        "items_pd", "pct_items_pd"),
-        F.format_string("%d (%.1f%%) are in copyright.", "items_ic", "pct_items_ic"),
-    )).alias("value"))
+    return row.select(F.explode(F.array(*(
+        F.format_string(text.replace("{library}", library.replace("%", "%%")), *columns) for text, *columns in SENTENCES
+    ))).alias("value"))

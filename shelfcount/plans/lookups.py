@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcount.operators.clusters import item_clusters
 from shelfcount.operators.dimensions import mapped_organizations, resolve_mapto
+from shelfcount.operators.overlap import overlap, overlap_of, prepare
 from shelfcount.session import checked_broadcast
 
 MISSING = "missing required param: "
@@ -69,7 +71,25 @@ def item_held_by(requests: DataFrame, overlap_rows: DataFrame,
             .select("item_id", F.coalesce("organizations", empty).alias("organizations")))
 
 
-def record_held_by(overlap_rows: DataFrame) -> DataFrame:
-    """(item_id, organizations) for the items of posted records that anyone holds."""
-    return overlap_rows.groupBy("item_id").agg(
+def record_held_by(records: DataFrame, items: DataFrame, cluster_ocns: DataFrame, holdings: DataFrame) -> DataFrame:
+    """(item_id, organizations) for the items of the asked records (cluster_id) that anyone holds.
+
+    Only items, OCNs and holdings of these records are read on.
+    """
+    asked = records.select("cluster_id").distinct()
+    rows = overlap(items.join(asked, "cluster_id", "left_semi"), cluster_ocns.join(asked, "cluster_id", "left_semi"),
+                   holdings, narrowed=True)
+    return rows.groupBy("item_id").agg(
         F.sort_array(F.collect_list("organization")).alias("organizations"))
+
+
+def lookup_model(requests: DataFrame, items: DataFrame, concordance: DataFrame,
+                 holdings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Home items with formats, and overlap rows, of the OCN clusters of the requested items (item_id).
+
+    The work follows the requests: clusters grow from their items, and only holdings on the OCNs of these
+    clusters are counted.
+    """
+    placed, ocns = item_clusters(items.drop("cluster_id"), concordance, requests)
+    parts = prepare(placed, ocns, holdings, narrowed=True)
+    return parts.home, overlap_of(parts)

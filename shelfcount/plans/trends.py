@@ -63,21 +63,30 @@ def _plain(number: Column) -> Column:
 
 def cost_history(long: DataFrame, reports: list[str], organizations: DataFrame,
                  central: str) -> dict[str, DataFrame]:
-    """Totals, differences, percents and all three side by side, for members
-    other than the central organisation."""
+    """Totals, differences and percents for members other than the central organisation, and the highlights:
+    the last total, difference and percent side by side."""
     ids = organizations.filter(F.col("status") & (F.col("inst_id") != central))
     kept = long.join(ids.select(F.col("inst_id").alias("key")), "key", "left_semi")
     parts = {"total": complete(kept, reports), "diff": differences(kept, reports),
              "percent": percent_differences(kept, reports)}
     named = [df.select("key", F.concat_ws("_", F.lit(name), "report").alias("report"), "value")
              for name, df in parts.items()]
-    columns = [f"{name}_{r}" for name in parts for r in reports]
+    last = {"total": reports[-1:], "diff": reports[-2:-1], "percent": reports[-2:-1]}  # the last has no follower
+    columns = [f"{name}_{r}" for name, of in last.items() for r in of]
     return {**{name: append_sheets(df, reports) for name, df in parts.items()},
             "highlights": append_sheets(reduce(DataFrame.unionByName, named), columns)}
 
 
 def baseline_change(long: DataFrame, baseline: str, latest: str, organizations: DataFrame,
-                    central: str) -> dict[str, DataFrame]:
-    """The same between a fixed earlier report and the latest one."""
+                    central: str) -> DataFrame:
+    """One row per member: both totals, their difference and percent, between a fixed earlier report and the
+    latest one."""
     both = long.filter(F.col("report").isin(baseline, latest))
-    return cost_history(both, [baseline, latest], organizations, central)
+    sheets = cost_history(both, [baseline, latest], organizations, central)
+    return sheets["total"].select("key", F.col(f"`{baseline}`").alias(f"total_{baseline}")).join(
+        sheets["highlights"], "key")
+
+
+def report_names(long: DataFrame) -> list[str]:
+    """The reports there are, in order; one short string each, a report being a sheet of its own."""
+    return [r["report"] for r in long.select("report").distinct().orderBy("report").collect()]

@@ -46,12 +46,12 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def shared_folder(spark: SparkSession) -> str:
     """Where intermediate tables go: the cluster's shared folder.
 
-    A local folder is made up only in local mode with none configured, as in
-    tests.
+    One is made up only where driver and executors are one process and none is set, as in tests.
     """
     folder = checkpoint_dir(spark)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         folder = f"/tmp/shelfcount-{uuid.uuid4().hex}"
         spark.sparkContext.setCheckpointDir(folder)
@@ -70,33 +70,15 @@ def materialize(df: DataFrame, name: str = "part") -> DataFrame:
 
 
 MAX_BROADCAST_ROWS = 100_000
-_SMALL: dict[tuple[str, int], bool] = {}
 
 
 def checked_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a dimension after counting it; one that is too long is left to the planner.
 
     Without statistics the planner would shuffle the large side by a handful
-    of dimension keys. The count is kept per plan, so it is made once.
+    of dimension keys. It is counted each time, so one that grows is noticed.
     """
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash())
-    if key not in _SMALL:
-        _SMALL[key] = df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
-    return F.broadcast(df) if _SMALL[key] else df
-
-
-def spread(scan: DataFrame, min_bytes: int = 1 << 20) -> DataFrame:
-    """A scan with fewer splits than cores, dealt out to all of them.
-
-    Files with a single row group or unsplittable compression would otherwise
-    keep text work on one core. Large inputs have splits enough and stay as
-    they are, without a shuffle, and so do tiny ones.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    size = scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) < min_bytes or scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores)
+    return F.broadcast(df) if df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from shelfcount.functions.enum_chron import with_enum_chron
 from shelfcount.schemas import CONCORDANCE, FREQUENCY_JSON, HOLDING, LEGACY_ITEM_TYPES
+from shelfcount.session import materialize
 
 LEGACY_COLUMNS = ("ocn", "local_id", "organization", "status", "condition", "date_received",
                   "enum_chron", "mono_multi_serial", "issn", "n_enum", "n_chron", "gov_doc", "uuid")
@@ -26,15 +27,28 @@ def raw_lines(spark: SparkSession, path: str | list[str], encoding: str | None =
             .option("sep", "\u0001").option("quote", "").csv(path))
 
 
+def file_name() -> Column:
+    """Name of the file that a row comes from; the reader gives it as part of a URI."""
+    return F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))).alias("file_name")
+
+
 def read_lines(spark: SparkSession, path: str | list[str], encoding: str | None = None) -> DataFrame:
     """(file_name, value), one row per line."""
-    return raw_lines(spark, path, encoding).select(
-        F.col("_metadata.file_name").alias("file_name"), "value")
+    return raw_lines(spark, path, encoding).select(file_name(), "value")
 
 
-def without_header(lines: DataFrame, pattern: str) -> DataFrame:
-    """Drop lines that are a header, as the first line of a file may be."""
-    return lines.filter(~F.col("value").rlike(pattern))
+def read_data_lines(spark: SparkSession, path: str | list[str], pattern: str,
+                    encoding: str | None = None) -> DataFrame:
+    """(file_name, value) without the first line of each file where it matches; later ones that match are data."""
+    found = raw_lines(spark, path, encoding).select(
+        file_name(), F.col("_metadata.file_path").alias("__path"),
+        F.col("_metadata.file_block_start").alias("__start"), "value").withColumn(
+        "__pos", F.monotonically_increasing_id())
+    found = materialize(found, "lines")  # numbered once
+    heads = (found.filter("__start = 0").groupBy("__path").agg(F.min("__pos").alias("__pos"))
+             .join(found.select("__path", "__pos", "value"), ["__path", "__pos"])
+             .filter(F.col("value").rlike(pattern)).select("__path", "__pos"))
+    return found.join(heads, ["__path", "__pos"], "left_anti").select("file_name", "value")
 
 
 def holdings_from_legacy(lines: DataFrame) -> DataFrame:
@@ -83,7 +97,7 @@ def holdings_from_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_holdings(spark: SparkSession, path: str) -> DataFrame:
     """Reader by extension: .tsv is the legacy layout, .ndj the scrubbed one."""
     if path.endswith(".tsv"):
-        return holdings_from_legacy(without_header(read_lines(spark, path), "^OCN"))
+        return holdings_from_legacy(read_data_lines(spark, path, "^OCN"))
     if path.endswith(".ndj"):
         return holdings_from_json(spark, path)
     raise ValueError(f"invalid file extension: {path}")

@@ -95,36 +95,72 @@ def test_scrub_and_load(spark, tmp_path):
     folder.mkdir()
 
     def run(**limits):
-        return load.scrub_and_load(spark, str(folder), store, ledger, str(tmp_path / "work"), "2024-01-01",
+        done = load.scrub_and_load(spark, str(folder), store, ledger, str(tmp_path / "work"), "2024-01-01",
                                    10**9, load.Limits(**limits))
+        return rows(done, "file_name", "outcome", "ready_lines", "old_count")
+
+    def held():
+        return rows(spark.read.parquet(store).groupBy("organization", "mono_multi_serial").agg(
+            F.count("*"), F.count_distinct("ocn")))
 
     submit(folder, "org_mon_full_20240101.tsv", range(1, 101))
     submit(folder, "other_ser_full_20240101.tsv", range(1, 6))
     (folder / "scrub.log").write_text("x")
-    assert rows(run()) == [("org", "mon", 0, 100), ("other", "ser", 0, 5)]
-    assert run().count() == 0                                   # nothing new
+    assert run() == [("org_mon_full_20240101.tsv", "loaded", 100, 0), ("other_ser_full_20240101.tsv", "loaded", 5, 0)]
+    assert run() == []                                          # nothing new
+    # two files of a slice at once: the later one stays, alone
+    submit(folder, "org_mon_full_20240301.tsv", range(1, 106))
     submit(folder, "org_mon_full_20240201.tsv", range(1, 104))
-    assert rows(run()) == [("org", "mon", 100, 103)]
-    submit(folder, "org_mon_full_20240301.tsv", range(1, 300))
-    with pytest.raises(load.LoadRefused, match="diff too big"):
-        run()
-    assert rows(run(force=True)) == [("org", "mon", 103, 299)]
+    assert run() == [("org_mon_full_20240201.tsv", "superseded", 103, 100),
+                     ("org_mon_full_20240301.tsv", "loaded", 105, 100)]
+    assert held() == [("org", "mon", 105, 105), ("other", "ser", 5, 5)]
+    # each is held against the one before, and an older file changes nothing
+    submit(folder, "org_mon_full_20240401.tsv", range(1, 300))
+    submit(folder, "org_mon_full_20240402.tsv", range(1, 108))
+    submit(folder, "org_mon_full_20240115.tsv", [900])
+    assert run() == [("org_mon_full_20240115.tsv", "superseded", 1, 105),
+                     ("org_mon_full_20240401.tsv", "diff too big", 299, 105),
+                     ("org_mon_full_20240402.tsv", "loaded", 107, 105)]
+    assert run(force=True) == [("org_mon_full_20240401.tsv", "superseded", 299, 107)]
     submit(folder, "org_ser_full_20240401.tsv", range(1, 3))
-    with pytest.raises(load.LoadRefused, match="mismatch"):
-        run()
-    assert rows(run(check_types=False)) == [("org", "ser", 0, 2)]
-    kept = spark.read.parquet(store).groupBy("organization", "mono_multi_serial").count()
-    assert rows(kept) == [("org", "mon", 299), ("org", "ser", 2), ("other", "ser", 5)]
-    assert spark.read.parquet(ledger).count() == 5
+    assert run() == [("org_ser_full_20240401.tsv", "mismatch in item types", 2, 0)]
+    assert run(check_types=False) == [("org_ser_full_20240401.tsv", "loaded", 2, 0)]
+    assert held() == [("org", "mon", 107, 107), ("org", "ser", 2, 2), ("other", "ser", 5, 5)]
 
 
-def test_stream_of_submissions(spark, tmp_path):
-    folder, store = tmp_path / "in", str(tmp_path / "store")
+def test_files_that_cannot_load_stay_out_of_the_ledger(spark, tmp_path):
+    folder, store, ledger = tmp_path / "in", str(tmp_path / "store"), str(tmp_path / "ledger")
+    folder.mkdir()
+    submit(folder, "org_mon_full_20240101.tsv", [1, 2])
+    submit(folder, "bad_mon_full_20240101.tsv", ["x", "y"])
+    (folder / "none_mon_full_20240101.tsv").write_text("oclc\tlocal_id\n")
+    (folder / "nocol_mon_full_20240101.tsv").write_text("local_id\nb1\nb2\n")
+    (folder / "tab_mon_full_20240101.tsv").write_text("oclc\tlocal_id\t\t\n5\tb5\n")
+    submit(folder, "Bad name.tsv", [3])
+    done = load.scrub_and_load(spark, str(folder), store, ledger, str(tmp_path / "work"), "2024-01-01", 10**9)
+    assert rows(done, "file_name", "outcome") == [
+        ("Bad name.tsv", "invalid file name"), ("bad_mon_full_20240101.tsv", "nothing ready"),
+        ("nocol_mon_full_20240101.tsv", "nothing ready"), ("none_mon_full_20240101.tsv", "no data"),
+        ("org_mon_full_20240101.tsv", "loaded"), ("tab_mon_full_20240101.tsv", "loaded")]
+    assert rows(spark.read.parquet(ledger), "filename") == [("org_mon_full_20240101.tsv",), ("tab_mon_full_20240101.tsv",)]
+    # no line is lost: all but the headers are held or rejected
+    rejected = spark.read.json(str(tmp_path / "work/rejected"))
+    assert rows(rejected.groupBy("file_name").count()) == [
+        ("Bad name.tsv", 1), ("bad_mon_full_20240101.tsv", 2), ("nocol_mon_full_20240101.tsv", 2)]
+    assert spark.read.parquet(store).count() == 3
+    with pytest.raises(load.LoadRefused, match="nothing ready"):
+        load.require_loaded(done)
+
+
+@pytest.mark.parametrize("per_batch", [1, 100])
+def test_stream_of_submissions(spark, tmp_path, per_batch):
+    folder, store, ledger = tmp_path / "in", str(tmp_path / "store"), str(tmp_path / "ledger")
     folder.mkdir()
 
     def run():
-        ingest.scrub_and_replace(ingest.submission_stream(spark, str(folder)), store, str(tmp_path / "staging"),
-                                 str(tmp_path / "checkpoint"), "2024-01-01", 10**9).awaitTermination()
+        stream = ingest.submission_stream(spark, str(folder), per_batch)
+        ingest.scrub_and_replace(stream, store, ledger, str(tmp_path / "staging"), str(tmp_path / "checkpoint"),
+                                 "2024-01-01", 10**9).awaitTermination()
         found = spark.read.parquet(store).groupBy("organization", "mono_multi_serial").agg(F.count("*"), F.max("ocn"))
         return rows(found)
 
@@ -134,6 +170,7 @@ def test_stream_of_submissions(spark, tmp_path):
     submit(folder, "org_mon_full_20240201.tsv", [7, 8])
     submit(folder, "org_mon_full_20240115.tsv", [9])           # older than the other new file
     assert run() == [("org", "mon", 2, 8), ("org", "ser", 1, 4)]
+    assert spark.read.parquet(ledger).count() == 4
 
 
 def test_stream_inserts_each_uuid_once(spark, tmp_path, table):

@@ -14,39 +14,43 @@ TABLE = "organization string, format string, bucket long, frequency long"
 
 @pytest.fixture
 def library(items, frame, holdings):
-    """A serial, a single volume, two volumes of a set, and a public-domain volume."""
+    """A journal, two single volumes, a set of two, and two volumes in the public domain."""
     parts = items(
-        ("ser", "v_ser", 1, "SE", "", "ic", "n1", [1]),
-        ("spm", "v_spm", 2, "BK", "", "ic", "n1", [2]),
-        ("mpm", "v_mpm1", 3, "BK", "1", "ic", "n1", [3]),
-        ("mpm", "v_mpm2", 3, "BK", "", "ic", "n2", [3]),
-        ("pd", "v_pd", 4, "BK", "", "pd", "n1", [4]))
-    ocns = frame([("ser", 1), ("spm", 2), ("mpm", 3), ("pd", 4)], "cluster_id string, ocn long")
-    held = holdings((1, "n1"), (1, "n6"), (3, "n3", ""), (3, "n6", "1"), (3, "n1", ""))
+        ("j", "t.j", 10, "SE", "", "ic", "n2", [11]),
+        ("s", "t.s", 20, "BK", "", "ic", "n3", [21]),
+        ("u", "t.u", 21, "BK", "", "und", "n1", [22]),
+        ("m", "t.m1", 30, "BK", "v.1", "ic", "n4", [31]),
+        ("m", "t.m2", 30, "BK", "v.2", "op", "n4", [31]),
+        ("p", "t.p", 40, "BK", "", "pd", "n1", [41]),
+        ("q", "t.q", 41, "BK", "", "pdus", "n6", [42]))
+    ocns = frame([("j", 11), ("s", 21), ("u", 22), ("m", 31), ("p", 41), ("q", 42)], "cluster_id string, ocn long")
+    held = holdings((11, "n1"), (11, "n1"), (21, "n6"), (22, "n1"), (31, "n5", "v.1"), (31, "n6", ""), (42, "n2"))
     return parts, ocns, held
 
 
 def test_all_together(library, organizations):
-    report = cost.cost_report(*library, organizations, 5, "central")
+    """A volume costs 14 / 7 = 2. Shares: t.j n1, n2 1/2; t.s n3, n6 1/2; t.u n1 1; t.m1 n4, n5, n6 1/3; t.m2
+    n4, n6 1/2, as n5 has another volume. Public domain: 2 * 2 over a weight of 8."""
+    report = cost.cost_report(*library, organizations, 14, "central")
     found = {r["member_id"]: r for r in report.by_member.collect()}
-    expected = {"n1": 2.2917, "n2": 0.4583, "n3": 0.7917, "n4": 0.125, "n5": 0.125, "n6": 1.2083,
-                "central": 0.0}
-    assert {k: round(r["total"], 4) for k, r in found.items()} == expected
-    assert [round(found["n1"][c], 4) for c in ("spm", "mpm", "ser", "pd", "weight", "extra")] == [
-        1.0, 0.6667, 0.5, 0.125, 1.0, 0.0]
+    expected = {"n1": 2 + 1 + .5, "n2": 1 + .5, "n3": 1 + .5, "n4": 5 / 3 + .5, "n5": 2 / 3 + .5,
+                "n6": 1 + 5 / 3 + 1.5, "central": 0}
+    assert {k: r["total"] for k, r in found.items()} == pytest.approx(expected)
+    assert [found["n6"][c] for c in ("spm", "mpm", "ser", "pd", "weight", "extra")] == pytest.approx(
+        [1, 5 / 3, 0, 1.5, 3, 0])
     facts = report.summary.first()
-    assert (facts["num_volumes"], facts["num_pd_volumes"], facts["num_members"]) == (5, 1, 7)
-    assert (facts["cost_per_volume"], facts["total_weight"], facts["pd_cost"]) == (1.0, 8.0, 1.0)
+    assert (facts["num_volumes"], facts["num_pd_volumes"], facts["num_members"]) == (7, 2, 7)
+    assert (facts["cost_per_volume"], facts["total_weight"], facts["pd_cost"]) == (2.0, 8.0, 4.0)
     assert rows(report.frequency) == [
-        ("n1", "mpm", 3, 2), ("n1", "ser", 2, 1), ("n1", "spm", 1, 1), ("n2", "mpm", 3, 1),
-        ("n3", "mpm", 3, 2), ("n6", "mpm", 3, 1), ("n6", "ser", 2, 1)]
-    assert cost.as_text(report).first()["value"] == "Target cost: 5.0"
+        ("n1", "ser", 2, 1), ("n1", "spm", 1, 1), ("n2", "ser", 2, 1), ("n3", "spm", 2, 1), ("n4", "mpm", 2, 1),
+        ("n4", "mpm", 3, 1), ("n5", "mpm", 3, 1), ("n6", "mpm", 2, 1), ("n6", "mpm", 3, 1), ("n6", "spm", 2, 1)]
+    assert cost.as_text(report).first()["value"] == "Target cost: 14.0"
 
 
 def test_costs_add_up(library, organizations):
-    report = cost.cost_report(*library, organizations, 5, "central")
+    report = cost.cost_report(*library, organizations, 14, "central")
     paid = report.by_member.agg(F.sum(F.col("total") - F.col("extra"))).first()[0]
-    assert paid == pytest.approx(5)
+    assert paid == pytest.approx(14)
 
 
 def test_one_organization_only(library, organizations):
@@ -110,15 +114,36 @@ def test_lookup(frame):
 
 
 def test_estimate(items, frame, holdings, organizations):
-    two = items(("a", "i", 1, "BK", "", "ic", "n1", [1]), ("b", "j", 2, "BK", "", "pd", "n1", [2]))
-    ocns = frame([("a", 1), ("b", 2)], "cluster_id string, ocn long")
-    wanted = frame([(1,), (2,), (8,), (9,), (9,)], "ocn long")
-    row = estimate.estimate(wanted, two, ocns, holdings((7, "n2")), organizations, 20)
-    assert [r["value"] for r in estimate.as_text(row, "The library").collect()] == [
-        "Total Estimated IC Cost: $5.00",
-        "In all, we received 4 distinct OCLC numbers.",
-        "Of those distinct OCLC numbers, 2 (50.0%) match items in",
-        "The library, corresponding to 2 The library items.",
-        "Of those items, 1 (50.0%) are in the public domain,",
-        "1 (50.0%) are in copyright."]
-    assert row.first()["h_share"] == 0.5
+    """Three of five numbers hit three of four items; shares 1/2 and 1/4 of an item that costs 32 / 4 = 8."""
+    four = items(("a", "t.a", 1, "BK", "", "ic", "n1", [61]), ("b", "t.b", 2, "BK", "", "pd", "n1", [62]),
+                 ("c", "t.c", 3, "SE", "", "ic", "n2", [63]), ("d", "t.d", 4, "BK", "", "ic", "n2", [99]))
+    ocns = frame([("a", 61), ("b", 62), ("c", 63), ("d", 99)], "cluster_id string, ocn long")
+    held = holdings((63, "n3"), (63, "n4"), (99, "n3"), (7, "n5"))
+    wanted = frame([(61,), (62,), (63,), (70,), (71,), (70,)], "ocn long")
+    row = estimate.estimate(wanted, four, ocns, held, organizations, 32)
+    assert row.first()["h_share"] == 0.75
+    lines = [r["value"] for r in estimate.as_text(row, "Our shelves").collect()]
+    assert lines[0].endswith("$6.00") and " 5 distinct " in lines[1] and " 3 (60.0%) " in lines[2]
+    assert lines[3] == "Our shelves, corresponding to 3 Our shelves items."
+    assert " 1 (33.3%) " in lines[4] and lines[5].startswith("2 (66.7%) ")
+
+
+def test_only_holdings_near_the_clusters_are_counted(items, frame, holdings, organizations):
+    """Holdings are cut down to the asked clusters' numbers before they are grouped."""
+    from shelfcount.operators import overlap
+
+    one = items(("a", "t.a", 1, "BK", "", "ic", "n1", [61]))
+    ocns = frame([("a", 61)], "cluster_id string, ocn long")
+    plan = overlap.count_by_enum(overlap.near(holdings((61, "n3"), (7, "n5")), ocns))
+    assert "LeftSemi" in plan._jdf.queryExecution().optimizedPlan().toString()
+    parts = overlap.prepare(one, ocns, holdings((61, "n3"), (7, "n5")), narrowed=True)
+    assert rows(parts.by_enum, "ocn", "organization") == [(61, "n3")]
+
+
+def test_numbers_beyond_the_stored_range_have_no_holder(items, frame, holdings):
+    from shelfcount.operators import overlap
+
+    far = 2**31 + 5
+    one = items(("a", "t.a", 1, "BK", "", "ic", "n1", [far]))
+    found = overlap.overlap(one, frame([("a", far)], "cluster_id string, ocn long"), holdings((far, "n3")))
+    assert rows(found, "organization") == [("n1",)]            # the depositor alone

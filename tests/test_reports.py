@@ -124,11 +124,23 @@ def test_held_by(model, frame):
     asked = frame([("i",), ("x",)], "item_id string")
     assert rows(lookups.item_held_by(asked, overlap_rows)) == [("i", ["n1", "n2", "n4", "n5"]), ("x", [])]
     assert rows(lookups.item_held_by(asked, overlap_rows, "brlm")) == [("i", ["n1", "n4"]), ("x", [])]
-    assert rows(lookups.record_held_by(overlap_rows)) == [("i", ["n1", "n2", "n4", "n5"])]
     with pytest.raises(ValueError):
         lookups.item_held_by(asked, overlap_rows, "other")
 
 
+def test_lookups_read_what_is_asked(items, frame, holdings, organizations):
+    some = items(("r", "i", 1, "BK", "", "ic", "n4", [2, 1]), ("r", "k", 1, "BK", "", "ic", "n4", [2]),
+                 ("q", "j", 2, "BK", "", "ic", "n4", [3]), ("e", "o", 3, "BK", "", "ic", "n4", [3]))
+    held = holdings((1, "n1"), (2, "n5"), (3, "n2"), (9, "n3"))
+    ocns = frame([("r", 1), ("r", 2), ("q", 3)], OCNS)
+    asked = frame([("r",), ("x",), ("r",)], "cluster_id string")
+    assert rows(lookups.record_held_by(asked, some, ocns, held)) == [("i", ["n1", "n4", "n5"]), ("k", ["n1", "n4", "n5"])]
+    pairs = frame([(9, 8)], "variant long, canonical long")
+    home, found = lookups.lookup_model(frame([("k",), ("o",), ("no",)], "item_id string"), some, pairs, held)
+    assert rows(home, "item_id") == [("k",), ("o",)]
+    assert rows(found, "item_id", "organization") == [("k", "n1"), ("k", "n4"), ("k", "n5"), ("o", "n2"), ("o", "n4")]
+
+
 def test_sheets(frame, organizations):
     one = frame([("n1", 1.5), ("n2", 2.0), ("central", 9.0)], "member_id string, total double")
     two = frame([("n1", 3.0), ("guest", 1.0), ("central", 9.0), ("n3", 4.0)], "member_id string, total double")
@@ -142,9 +154,11 @@ def test_sheets(frame, organizations):
     assert rows(percent)[2] == ("n1", "100%", "")
     sheets = trends.cost_history(long, names, organizations, "central")
     assert [r[0] for r in rows(sheets["total"], "key")] == ["n1", "n2", "n3"]
-    assert sheets["highlights"].columns == ["key"] + [f"{p}_{n}" for p in ("total", "diff", "percent") for n in names]
+    assert sheets["highlights"].columns == ["key", "total_20240101", "diff_20230101", "percent_20230101"]
+    assert rows(sheets["highlights"])[0] == ("n1", "3.0", "1.5", "100%")
     base = trends.baseline_change(long, *names, organizations, "central")
-    assert rows(base["diff"])[0] == ("n1", "1.5", "")
+    assert rows(base)[0] == ("n1", "1.5", "3.0", "1.5", "100%")
+    assert trends.report_names(long) == names
 
 
 def test_percent_from_zero_is_missing(frame):

@@ -23,9 +23,10 @@ def ocns(spark):
 @pytest.mark.parametrize("text, expected", [
     ("1", [1]), ("1,1", [1]), ("1,2", [1, 2]), ("", []), ("1.0E+10", []), ("a1a", []), ("1a1", []),
     ("foo1", []), ("(foo)1", []), ("999999999999999", []), ("9" * 30, []), ("0", []),
-    ("1,2:3;4|5/6 7", [1, 2, 3, 4, 5, 6, 7]),
-    ("oclc1,ocm2,ocn3,ocolc4,on5", [1, 2, 3, 4, 5]),
-    ("(oclc)1,(ocm)2,(ocn)3,(ocolc)4,(on)5", [1, 2, 3, 4, 5]),
+    ("90|81/72;63:54,45 36", [90, 81, 72, 63, 54, 45, 36]),
+    ("on41/ocolc32;ocn23 ocm14|oclc5", [41, 32, 23, 14, 5]),
+    ("(ON)8;(OcN)7|(oclc)6 (ocm)5", [8, 7, 6, 5]),
+    ("88,", [88]), ("88,; ", [88]), (",88", [88]), (" ,", []),
     ("(OCoLC)0012", [12]), ("ocn", []), (None, []), ("2000000001", []),
     # an allowed prefix inside another one is enough; ocl7 has none inside
     ("person1", [1]), ("ocl71", []), ("(ocl7)1", []),
@@ -38,6 +39,7 @@ def test_reasons(ocns):
     assert ocns("0 x1 (x)1 1x 1e5 on 99999999999")[1] == [
         scrub.ZERO, scrub.BAD_PREFIX, scrub.BAD_PAREN, scrub.MIXED, scrub.IN_EXPONENT, scrub.NO_NUMBER,
         scrub.TOO_LARGE]
+    assert ocns("88,;")[1] == [] and ocns("")[1] == [] and ocns(" ,")[1] == [] and ocns(",88")[1] == [scrub.EMPTY]
 
 
 @pytest.mark.parametrize("rule, text, expected", [
@@ -61,10 +63,10 @@ def test_int_list(frame):
 
 
 @pytest.mark.parametrize("name, valid", [
-    ("haverford_mon_full_20200101.tsv", True), ("a-b_ser_partial_20200101_fix_2.tsv.gz", True),
-    ("haverford_mon_full_2020.tsv", False), ("haverford_xxx_full_20200101.tsv", False),
-    ("Haverford_mon_full_20200101.tsv", False), ("haverford_mon_all_20200101.tsv", False),
-    ("haverford_mon_full_20200101.csv", False),
+    ("shelf_mon_full_20200101.tsv", True), ("a-b_ser_partial_20200101_fix_2.tsv.gz", True),
+    ("shelf_mon_full_2020.tsv", False), ("shelf_xxx_full_20200101.tsv", False),
+    ("Shelf_mon_full_20200101.tsv", False), ("shelf_mon_all_20200101.tsv", False),
+    ("shelf_mon_full_20200101.csv", False),
 ])
 def test_file_names(frame, name, valid):
     row = sub.diagnose_file_names(frame([(name,)], "file_name string")).first()
