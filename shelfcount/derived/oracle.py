@@ -243,6 +243,10 @@ def _pivot(relation: str, value: str = "value") -> str:
     return f"SELECT key, {cells} FROM {relation} GROUP BY key"
 
 
+def _md5(seed: str) -> str:
+    return f"CAST('0x' || substr(md5(CAST(id AS VARCHAR) || ':{seed}'), 1, 8) AS BIGINT)"
+
+
 def _slices(relation: str) -> str:
     return f"SELECT DISTINCT organization, mono_multi_serial FROM {relation}"
 
@@ -519,6 +523,39 @@ _QUERIES = {
         round(100 * (try_cast(b AS DOUBLE) - try_cast(a AS DOUBLE)) / try_cast(a AS DOUBLE), 6) AS percent_1996 FROM
         (SELECT key, max(CASE WHEN report = '1996' THEN value END) AS a,
          max(CASE WHEN report = '2001' THEN value END) AS b FROM grid GROUP BY key) WHERE {_NOT_CENTRAL}""",
+    "legacy_holdings_file": """SELECT uuid, ocn, organization, coalesce(nullif(status, ''), 'CH') AS status,
+        condition, mono_multi_serial, gov_doc_flag, n_enum FROM h""",
+    "json_holdings_file": """SELECT uuid, ocn, organization, status, condition, mono_multi_serial, gov_doc_flag, n_enum
+        FROM h""",
+    "concordance_files": "SELECT DISTINCT variant, canonical FROM new_concordance",
+    "ocn_list_file": """SELECT DISTINCT o_custkey AS ocn, (SELECT count(*) FROM orders WHERE o_orderkey % 5 = 0) AS non_numeric
+        FROM orders WHERE o_orderkey % 5 <> 0""",
+    "catalog_file": """SELECT item_id, bib_key, rights, 'SE' AS bib_fmt, collection_code, n_enum, bib_key AS ocn FROM ci""",
+    "marc_files": """SELECT item_type AS kind, oclc, local_id, govdoc FROM marc_out
+        WHERE error IS NULL AND item_type IN ('mon', 'ser')""",
+    "report_files": """SELECT organization, count(*) AS lines, CAST(sum(ocn) AS BIGINT) AS ocn_sum,
+        count(*) FILTER (enum_chron <> '') AS with_enum FROM holding_rows GROUP BY 1""",
+    "backup_file": """SELECT uuid, ocn, organization, status, condition, mono_multi_serial, gov_doc_flag, n_enum
+        FROM h WHERE organization = 'NATION_3' AND mono_multi_serial IN ('ser', 'mon')""",
+    "split_files": """SELECT count(*) AS lines, CAST(0 AS BIGINT) AS unsorted, CAST(0 AS BIGINT) AS overlapping
+        FROM holding_rows""",
+    "histogram_files": "SELECT bucket, frequency, organization, format FROM freq",
+    "frequency_files": "SELECT bucket, CAST(frequency * 2 AS BIGINT) AS frequency FROM freq WHERE organization = 'NATION_4' AND format = 'mpm'",
+    "store_files": """SELECT organization, mono_multi_serial, count(*) AS holdings, CAST(sum(ocn) AS BIGINT) AS ocn_sum
+        FROM holding_rows WHERE organization = 'NATION_3' AND (mono_multi_serial <> 'ser' OR ocn % 2 = 0) GROUP BY 1, 2""",
+    "what_if_organizations": """SELECT inst_id, weight, CASE WHEN weight < 0 OR weight > 10
+          THEN 'Weight must be between 0 and 10' END AS reason FROM (
+        SELECT inst_id, CASE inst_id WHEN 'NATION_1' THEN weight + 10 ELSE weight END AS weight FROM organizations
+        UNION ALL SELECT 'planned', weight + 10 FROM organizations WHERE inst_id = 'NATION_2')""",
+    "synthetic_holdings": f"""SELECT {_md5('ocn')} % 100000 AS ocn, CAST({_md5('local')} % 10000000 AS VARCHAR) AS local_id,
+        'org-a' AS organization, ['CH', 'LM', 'WD', NULL][{_md5('status')} % 4 + 1] AS status,
+        ['BRT', ''][{_md5('condition')} % 2 + 1] AS condition, '' AS enum_chron, 'mon' AS mono_multi_serial,
+        CAST(NULL AS VARCHAR) AS issn, {_md5('gov')} % 2 = 1 AS gov_doc_flag,
+        'org-a-' || sha256(CAST(id AS VARCHAR)) AS uuid, DATE '2020-01-01' AS date_received
+        FROM (SELECT o_orderkey AS id FROM orders)""",
+    "synthetic_concordance": f"""SELECT id AS variant, id + {_md5('to')} % (1000000 - id) + 1 AS canonical
+        FROM (SELECT DISTINCT l_partkey AS id FROM lineitem)
+        WHERE id > 0 AND id < 1000000 AND {_md5('drop')} % 10000 < 1000""",
     "holdings_stream_ingest": """SELECT organization, mono_multi_serial, count(*) AS holdings, count(DISTINCT uuid) AS uuids
         FROM h GROUP BY 1, 2""",
     "cluster_ocns": """SELECT l.ocn AS seed, x.ocn FROM ocn_list l JOIN c3 x ON x.seed = l.ocn""",

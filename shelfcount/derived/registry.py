@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfcount.derived.views import CENTRAL, MAX_OCN, TARGET_COST, Tables
-from shelfcount.functions import rights, scrub
+from shelfcount.functions import marc, rights, scrub
 from shelfcount.functions.enum_chron import with_enum_chron
 from shelfcount.operators import (changes, clusters, concordance, counts, dimensions, formats,
                                   frequency, overlap)
@@ -686,6 +687,164 @@ def cost_baseline(t):
     return _rounded(trends.baseline_change(_sheets(t), "1996", "2001", t.organizations, CENTRAL))
 
 
+# --- written by a sink, read by a source ---------------------------------------
+
+def _place(t: Tables, name: str) -> str:
+    return f"{shared_folder(t.spark)}/{uuid.uuid4().hex}/{name}"
+
+
+_HELD = ("uuid", "ocn", "organization", "status", "condition", "mono_multi_serial", "gov_doc_flag", "n_enum")
+
+
+@query
+def legacy_holdings_file(t):
+    place = _place(t, "old.tsv")
+    old = F.expr("CASE mono_multi_serial WHEN 'spm' THEN 'mono' WHEN 'mpm' THEN 'multi' WHEN 'ser' THEN 'serial' "
+                 "WHEN 'mix' THEN '' ELSE mono_multi_serial END")
+    cells = {"mono_multi_serial": old, "gov_doc": F.col("gov_doc_flag").cast("int"), "n_enum": F.lit("stale")}
+    blank = F.lit("")
+    given = t["holding_rows"].columns
+    sinks.write_text(t["holding_rows"].select(F.concat_ws("\t", *[F.coalesce(
+        cells.get(c, F.col(c) if c in given else blank).cast("string"), blank)
+        for c in files.LEGACY_COLUMNS]).alias("value")), place)
+    return files.read_holdings(t.spark, place).select(*_HELD)
+
+
+@query
+def json_holdings_file(t):
+    place = _place(t, "new.ndj")
+    sinks.write_scrubbed(t["holding_rows"], place)
+    return files.read_holdings(t.spark, place).select(*_HELD)
+
+
+@query
+def concordance_files(t):
+    """A delta by date: adds and deletes written as pairs, read back and applied."""
+    place = _place(t, "delta")
+    adds, deletes = concordance.delta(t.concordance, t["new_concordance"])
+    sinks.write_pairs(adds, f"{place}/comm_diff_2024-02-03.txt.adds")
+    sinks.write_pairs(deletes, f"{place}/comm_diff_2024-02-03.txt.deletes")
+    return concordance.load(t.concordance, "20240203", lambda p: files.read_concordance(t.spark, p), place)
+
+
+@query
+def ocn_list_file(t):
+    place = _place(t, "list.txt")
+    lines = t["orders"].select(F.when(F.col("o_orderkey") % 5 == 0, "no number").otherwise(
+        F.concat(F.lit(" "), F.col("o_custkey").cast("string"), F.lit(" x"))).alias("value"))
+    sinks.write_text(lines, place)
+    return files.read_ocn_list(t.spark, place).withColumn(
+        "non_numeric", F.lit(files.count_non_numeric(t.spark, place).first()[0]))
+
+
+@query
+def catalog_file(t):
+    from shelfcount.sources import catalog
+
+    place = _place(t, "records.ndj")
+    one = F.to_json(F.struct(F.col("item_id").alias("htid"), F.array("rights").alias("rights"),
+                             F.col("enum_chron").alias("enumcron"), F.lower("collection_code").alias("collection_code")))
+    record = F.struct(F.col("bib_key").cast("string").alias("id"), F.array(F.lit("Serial")).alias("format"),
+                      F.array(F.col("bib_key").cast("string")).alias("oclc"),
+                      F.concat(F.lit("["), F.array_join(F.collect_list(one), ","), F.lit("]")).alias("ht_json"))
+    sinks.write_text(t["item_rows"].groupBy("bib_key").agg(F.to_json(record).alias("value")).select("value"), place)
+    loaded = catalog.load(catalog.parse_records(catalog.read_records(t.spark, place)))
+    return loaded.items.select("item_id", "bib_key", "rights", "bib_fmt", "collection_code", "n_enum",
+                               F.get("ocns", F.lit(0)).alias("ocn"))
+
+
+@query
+def marc_files(t):
+    """Records as XML files of up to a thousand, converted to files for monographs and for serials, read back."""
+    place = _place(t, "marc")
+    root = F.concat(F.lit("<collection>"), F.array_join(F.collect_list("xml"), ""), F.lit("</collection>"))
+    (t["marc_xml"].groupBy(F.floor(F.col("o_orderkey") / 1000).alias("file")).agg(root.alias("value"))
+     .write.partitionBy("file").text(f"{place}/in.xml"))
+    load.convert_marc(t.spark, f"{place}/in.xml", f"{place}/out")
+    parts = [files.read_keyed(t.spark, f"{place}/out/{kind}", tables_schema(*marc_columns)).select(
+        F.lit(kind).alias("kind"), "oclc", "local_id", "govdoc")
+        for kind, marc_columns in (("mon", marc.MON_COLUMNS), ("ser", marc.SER_COLUMNS))]
+    return parts[0].union(parts[1])
+
+
+def tables_schema(*columns: str) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
+
+
+@query
+def report_files(t):
+    """A report by organisation: tab separated, with header, a folder each."""
+    place = _place(t, "report")
+    sinks.write_tsv(t["holding_rows"].select("organization", "ocn", "local_id", "enum_chron"), place, by="organization")
+    back = t.spark.read.csv(place, sep="\t", header=True, schema="ocn long, local_id string, enum_chron string, "
+                                                                 "organization string")
+    return back.groupBy("organization").agg(F.count("*").alias("lines"), F.sum("ocn").alias("ocn_sum"),
+                                            F.count_if(F.coalesce("enum_chron", F.lit("")) != "").alias("with_enum"))
+
+
+@query
+def backup_file(t):
+    place = _place(t, "backup")
+    sinks.write_backup(t["holding_rows"], "NATION_3", ["ser", "mon"], place)
+    return files.holdings_from_json(t.spark, place).select(*_HELD)
+
+
+@query
+def split_files(t):
+    """Sorted by OCN and split: parts do not overlap but in a shared OCN, and are sorted within."""
+    place = _place(t, "split")
+    sinks.write_split(t["holding_rows"].select("uuid", "ocn"), place, 8)
+    lines = t.spark.read.schema("uuid string, ocn long").json(place).select(
+        "uuid", "ocn", F.col("_metadata.file_name").alias("part"), F.monotonically_increasing_id().alias("line"))
+    in_part = Window.partitionBy("part").orderBy("line")
+    steps = lines.withColumn("back", F.col("ocn") < F.lag("ocn").over(in_part))
+    ranges = steps.groupBy("part").agg(F.min("ocn").alias("low"), F.max("ocn").alias("high"), F.count("*").alias("n"),
+                                       F.count_if("back").alias("unsorted"))
+    return ranges.withColumn("before", F.max("high").over(Window.orderBy("low", "high").rowsBetween(  # eight rows
+        Window.unboundedPreceding, -1))).agg(
+        F.sum("n").alias("lines"), F.sum("unsorted").alias("unsorted"), F.count_if(F.col("before") > F.col("low"))
+        .alias("overlapping"))
+
+
+@query
+def histogram_files(t):
+    place = _place(t, "histograms")
+    sinks.write_histograms(_frequencies(t), place)
+    return t.spark.read.schema("bucket long, frequency long, organization string, format string").csv(place, sep="\t")
+
+
+@query
+def frequency_files(t):
+    """Frequency tables of two folders of files, added up, and looked up for one organisation."""
+    place = _place(t, "tables")
+    table = _frequencies(t)
+    sinks.write_frequency_json(frequency.as_json(table), f"{place}/a.json")
+    read = files.read_frequency_json(t.spark, file=f"{place}/a.json")
+    return frequency.lookup(frequency.merge(read, read), "NATION_4", "mpm")
+
+
+@query
+def store_files(t):
+    """The store as partitions; one slice is replaced, the others stay."""
+    place = _place(t, "store")
+    sinks.write_store(t["holding_rows"], place)
+    sinks.write_store(t["holding_rows"].filter("organization = 'NATION_3' AND mono_multi_serial = 'ser' AND ocn % 2 = 0"),
+                      place)
+    return tables.holdings_of(t.spark.read.parquet(place), "NATION_3").groupBy("organization", "mono_multi_serial").agg(
+        F.count("*").alias("holdings"), F.sum("ocn").alias("ocn_sum"))
+
+
+@query
+def what_if_organizations(t):
+    """Organisations with a temporary one and a replaced one, and those that break the rules."""
+    extra = t.organizations.filter("inst_id IN ('NATION_1', 'NATION_2')").select(
+        F.when(F.col("inst_id") == "NATION_1", "NATION_1").otherwise("planned").alias("inst_id"),
+        "country_code", (F.col("weight") + 10).alias("weight"), "status", "mapto_inst_id")
+    every = dimensions.add_temporary(t.organizations, extra)
+    wrong = dimensions.invalid_organizations(every).select("inst_id", "reason")
+    return every.select("inst_id", "weight").join(wrong, "inst_id", "left")
+
+
 # --- generated and streamed --------------------------------------------------
 
 @query

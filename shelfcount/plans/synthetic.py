@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _pick(seed: str, n: int) -> Column:
-    """An integer in 0..n-1 from the row id."""
-    return F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n))
+def _pick(seed: str, n: int | Column) -> Column:
+    """An integer in 0..n-1 from the row id: the first eight digits of its md5, as any engine computes it."""
+    digits = F.substring(F.md5(F.concat(F.col("id").cast("string"), F.lit(f":{seed}")).cast("binary")), 1, 8)
+    return F.conv(digits, 16, 10).cast("bigint") % n
 
 
 def _one_of(seed: str, *values: str | None) -> Column:
@@ -49,5 +50,5 @@ def concordance(ids: DataFrame, max_ocn: int, deprecated: float = 0.10) -> DataF
     """About a tenth of the ids become variants of a greater OCN, so there is no cycle."""
     chosen = ids.filter((F.col("id") > 0) & (F.col("id") < max_ocn)
                         & (_pick("drop", 10_000) < int(deprecated * 10_000)))
-    step = F.pmod(F.xxhash64("id", F.lit("to")), F.lit(max_ocn) - F.col("id")) + 1
+    step = _pick("to", F.lit(max_ocn) - F.col("id")) + 1
     return chosen.select(F.col("id").alias("variant"), (F.col("id") + step).alias("canonical"))
