@@ -243,6 +243,19 @@ def _pivot(relation: str, value: str = "value") -> str:
     return f"SELECT key, {cells} FROM {relation} GROUP BY key"
 
 
+# Results worked out by hand from the rules: (n_enum, n_chron) of each shape of ``enum_texts``.
+SHAPES = [
+    ("3", ""), ("3", "1987"), ("vol:3", "1987"), ("2:4", ""), ("7", "Feb 1988"),
+    ("", "Feb-Apr 1988"), ("", "Mar 3-9 1988"), ("", "1988-Feb Feb"), ("", "1988 1989"), ("", "1988-1990"),
+    ("", "1988"), ("", "1988"), ("2-4", "1988-1990"), ("", "winter 1988"), ("9", "fall"),
+    ("54321", ""), ("3", ""), ("s:4", ""), ("6", ""), ("index", ""),
+    ("", "summary"), ("1:2", ""), ("1:2", ""), ("1", "1988"), ("", ""),
+    ("007", ""), ("5-8", ""), ("", "Aug. 1988"), ("5", ""), ("3", ""),
+    ("2", ""), ("1:2", ""), ("2", ""), ("", "1863"), ("", "Jul 4th 1988"),
+    ("8", ""), ("", "vol.1988"), ("1988", ""), ("", "May"), ("12", "Dec 31"),
+]
+
+
 def _md5(seed: str) -> str:
     return f"CAST('0x' || substr(md5(CAST(id AS VARCHAR) || ':{seed}'), 1, 8) AS BIGINT)"
 
@@ -470,6 +483,8 @@ _QUERIES = {
         CASE WHEN t = 4 THEN issn_value END AS issn, count(*) AS holdings, CAST(sum(one) AS BIGINT) AS ocn_sum FROM (
           SELECT *, unnest(CASE WHEN form = 3 THEN [n, n + 1] ELSE [n] END) AS one
           FROM judged_lines WHERE ok_ocn AND NOT too_wide) GROUP BY ALL""",
+    "enum_chron_shapes": f"""SELECT shape, enum_chron, {[e for e, _ in SHAPES]}[shape + 1] AS n_enum,
+        {[c for _, c in SHAPES]}[shape + 1] AS n_chron, count(*) AS n FROM enum_texts GROUP BY ALL""",
     "scrub_and_load": """SELECT f.file_name, CASE WHEN f.ready_lines = 0 THEN 'nothing ready'
           WHEN f.nr = 3 THEN CASE WHEN p.pass3 THEN 'loaded' ELSE 'diff too big' END
           WHEN NOT p.pass2 THEN 'diff too big' WHEN p.pass3 THEN 'superseded' ELSE 'loaded' END AS outcome,

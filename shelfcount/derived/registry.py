@@ -578,6 +578,13 @@ def enum_chron(t):
         F.count("*").alias("n"))
 
 
+@query
+def enum_chron_shapes(t):
+    """Forty shapes of text, each against a result worked out by hand."""
+    return with_enum_chron(t["enum_texts"]).groupBy("shape", "enum_chron", "n_enum", "n_chron").agg(
+        F.count("*").alias("n"))
+
+
 def _submissions(lines: DataFrame) -> submissions.Submissions:
     return submissions.Submissions(lines.select("file_name", "value"), lines.select("file_name", "header").distinct())
 

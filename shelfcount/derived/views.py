@@ -166,6 +166,19 @@ VIEWS = {
                CASE WHEN sender = 'org-b' THEN substr(header, 6) ELSE header END AS header, value, sender,
                CASE WHEN sender = 'org-b' THEN 7 ELSE form END AS form, n, too_wide
         FROM {submission_lines} WHERE length(value) % 7 <> 0""",
+    "enum_texts": """
+        SELECT l_orderkey % 40 AS shape, CASE l_orderkey % 40
+               WHEN 0 THEN 'v.3' WHEN 1 THEN 'v.3 1987' WHEN 2 THEN 'vol 3, 1987' WHEN 3 THEN 'bd.2:t.4'
+               WHEN 4 THEN 'no.7 Feb 1988' WHEN 5 THEN 'Feb-Apr 1988' WHEN 6 THEN 'Mar 3-9 1988' WHEN 7 THEN '1988-Feb'
+               WHEN 8 THEN '1988 1989' WHEN 9 THEN '1988-1990' WHEN 10 THEN '(1988)' WHEN 11 THEN '1988-'
+               WHEN 12 THEN 'v.2-4 (1988-1990)' WHEN 13 THEN 'winter 1988' WHEN 14 THEN 'v.9 fall' WHEN 15 THEN '54321'
+               WHEN 16 THEN 'pt3b' WHEN 17 THEN 'n.s.v.4' WHEN 18 THEN '[v.6]' WHEN 19 THEN 'index'
+               WHEN 20 THEN 'summary' WHEN 21 THEN 'v.1 no.2' WHEN 22 THEN 'v.1:no.2' WHEN 23 THEN 't.1; 1988'
+               WHEN 24 THEN '' WHEN 25 THEN '007' WHEN 26 THEN '5 - 8' WHEN 27 THEN 'Aug. 1988'
+               WHEN 28 THEN 'v. 5' WHEN 29 THEN 'c.3' WHEN 30 THEN 'copy.2' WHEN 31 THEN 'v.1 c.2'
+               WHEN 32 THEN 'a2' WHEN 33 THEN '1863' WHEN 34 THEN 'Jul 4th 1988' WHEN 35 THEN 'V.8'
+               WHEN 36 THEN 'vol.1988' WHEN 37 THEN 'v.1988' WHEN 38 THEN 'May' ELSE 'no.12 Dec 31' END AS enum_chron
+        FROM {lineitem}""",
     "marc_parts": """
         SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 's' WHEN 3 THEN 'a' ELSE 'm' END AS kind,
                o_orderkey % 11 = 0 AS no_ocn, o_orderkey % 13 = 0 AS no_itm, o_orderkey % 17 = 0 AS no_008,
