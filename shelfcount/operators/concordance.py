@@ -104,11 +104,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def cycle_residue(pairs: DataFrame, member_of: DataFrame) -> DataFrame:
-    """(ocn, component) of the OCNs that still have an in-edge after peeling.
+    """(ocn, component) of the OCNs that a cycle leads to, its own included.
 
-    A component with one edge less than nodes is a tree and cannot hold a
-    cycle, so the peeling, whose rounds grow with path length, starts from
-    the other components only. Long chains and wide stars never enter it.
+    These are what is left once OCNs without an in-edge are peeled off, again
+    and again. A component with one edge less than nodes is a tree, so only the
+    others are looked at. OCNs with exactly one in-edge are followed back by
+    pointer doubling, and only where edges meet is anything peeled: rounds
+    follow the nesting of branches, not the length of paths.
     """
     edges = without_self(pairs).select("variant", "canonical").distinct()
     placed = edges.join(member_of.withColumnRenamed("ocn", "variant"), "variant")
@@ -116,15 +118,48 @@ def cycle_residue(pairs: DataFrame, member_of: DataFrame) -> DataFrame:
     n_nodes = member_of.groupBy("component").agg(F.count("*").alias("nodes"))
     suspect = n_edges.join(n_nodes, "component").filter("edges >= nodes").select("component")
     rest = cut_lineage(placed.join(suspect, "component", "left_semi"))
-    left = rest.count()
+    into = cut_lineage(rest.groupBy("canonical", "component").agg(
+        F.count("*").alias("n"), F.min("variant").alias("before")).withColumnRenamed("canonical", "ocn"))
+    back = _origins(into.filter("n = 1").select("ocn", "before"))
+    meeting = into.filter("n > 1").select("ocn", "component")
+    live = cut_lineage(
+        rest.select(F.col("canonical").alias("ocn"), F.col("variant").alias("from"))
+        .join(meeting.select("ocn"), "ocn", "left_semi")
+        .join(back.withColumnRenamed("ocn", "from"), "from", "left")
+        .select("ocn", F.coalesce("origin", "from").alias("origin"), F.coalesce("in_cycle", F.lit(False)).alias("in_cycle"))
+        .distinct())
+    left = live.count()
     while left:
-        targets = rest.select(F.col("canonical").alias("variant"))
-        rest = cut_lineage(rest.join(targets, "variant", "left_semi"))
-        now = rest.count()
+        known = live.select(F.col("ocn").alias("origin"), F.lit(True).alias("known")).distinct()
+        live = cut_lineage(live.join(known, "origin", "left").filter("in_cycle OR known")
+                           .select("ocn", "origin", "in_cycle"))
+        now = live.count()
         if now == left:
             break
         left = now
-    return rest.select(F.col("canonical").alias("ocn"), "component").distinct()
+    reached = live.select("ocn").distinct()
+    single = (back.join(reached.select(F.col("ocn").alias("origin"), F.lit(True).alias("known")), "origin", "left")
+              .filter("in_cycle OR known").select("ocn"))
+    return into.select("ocn", "component").join(reached.union(single).distinct(), "ocn", "left_semi")
+
+
+def _origins(single: DataFrame) -> DataFrame:
+    """(ocn, origin, in_cycle) of OCNs (ocn, before) with one in-edge: the first OCN on the way back that has
+    none or several, or, after more steps than there are such OCNs, one of a cycle."""
+    jumps = cut_lineage(single.withColumnRenamed("before", "origin"))
+    size, steps, before = jumps.count(), 1, None
+    while steps < size:
+        further = jumps.select(F.col("ocn").alias("origin"), F.col("origin").alias("far"))
+        jumps = cut_lineage(jumps.join(further, "origin", "left").select(
+            "ocn", F.coalesce("far", "origin").alias("origin")))
+        steps *= 2
+        now = _fingerprint(jumps)
+        if now == before:
+            break
+        before = now
+    inner = single.select(F.col("ocn").alias("origin"), F.lit(True).alias("inner"))
+    return cut_lineage(jumps.join(inner, "origin", "left").select(
+        "ocn", "origin", F.coalesce("inner", F.lit(False)).alias("in_cycle")))
 
 
 def resolve(pairs: DataFrame) -> DataFrame:

@@ -144,3 +144,17 @@ def test_adjacency_neighbours_terminals(frame):
     assert rows(c.neighbours(pairs)) == [(1, "out", 2), (1, "out", 3), (2, "in", 1), (2, "out", 3),
                                          (3, "in", 1), (3, "in", 2)]
     assert rows(c.terminals(pairs)) == [(3,)]
+
+
+def test_a_long_path_with_an_extra_edge_takes_few_rounds(spark, frame, monkeypatch):
+    """Two thousand steps, a shortcut that makes the component suspect, and a cycle at the end of another path."""
+    path = [(i, i + 1) for i in range(1, 2000)] + [(1, 3)]
+    loop = [(i, i + 1) for i in range(5001, 5600)] + [(5600, 5590), (5599, 6000), (6000, 6001)]
+    rounds = []
+    cut = c.cut_lineage
+    monkeypatch.setattr(c, "cut_lineage", lambda df: rounds.append(1) or cut(df))
+    edges = graph(frame, *path, *loop)
+    member_of = frame([(i, 1) for i in range(1, 2001)] + [(i, 2) for i in [*range(5001, 5601), 6000, 6001]],
+                      "ocn long, component long")
+    found = {r["ocn"] for r in c.cycle_residue(edges, member_of).collect()}
+    assert found == {*range(5590, 5601), 6000, 6001} and len(rounds) < 25
