@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from shelfcount.derived.registry import QUERIES
 from shelfcount.derived.views import Tables
-from shelfcount.session import local_session
+from shelfcount.session import drop_copies, local_session
 
 HEADLINE = (
     "holdings_counts_by_org_type", "enum_chron", "scrub_file", "dedupe_holdings", "replace_holdings",
@@ -48,6 +48,7 @@ def main() -> None:
         "metric": "total_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": float(scale.group(1)) if scale else None, "cores": int(cores),
     }))
+    drop_copies(spark)
     spark.stop()
 
 

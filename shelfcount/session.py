@@ -58,6 +58,10 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Folders of the copies that each application has made.
+_COPIES: dict[str, list[str]] = {}
+
+
 def materialize(df: DataFrame, name: str = "part") -> DataFrame:
     """Write a table to the shared folder and read it back.
 
@@ -65,6 +69,7 @@ def materialize(df: DataFrame, name: str = "part") -> DataFrame:
     loss of any executor, and its size is known to the planner.
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    _COPIES.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -81,6 +86,16 @@ def checked_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else df
 
 
+def drop_copies(spark: SparkSession) -> int:
+    """Delete the copies made so far by this application; how many. For when no result that reads them is needed
+    any more: a DataFrame cannot tell."""
+    paths = _COPIES.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, for the rounds of a loop."""
     context = df.sparkSession.sparkContext

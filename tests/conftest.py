@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from shelfcount.session import local_session  # noqa: E402
+from shelfcount.session import drop_copies, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    assert drop_copies(session) >= 0
     session.stop()
 
 
