@@ -86,6 +86,18 @@ def checked_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS else df
 
 
+# A table of this size may be one split, and text work on it one task; above it, files have splits enough.
+SPREAD_BYTES = (1 << 20, 256 << 20)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A small scan dealt out to all cores, 32 at most; a larger one stays as it is, so no large table is moved."""
+    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if not SPREAD_BYTES[0] <= size <= SPREAD_BYTES[1]:
+        return scan
+    return scan.repartition(min(32, scan.sparkSession.sparkContext.defaultParallelism))
+
+
 def drop_copies(spark: SparkSession) -> int:
     """Delete the copies made so far by this application; how many. For when no result that reads them is needed
     any more: a DataFrame cannot tell."""
