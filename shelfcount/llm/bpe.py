@@ -28,13 +28,13 @@ from shelfcount.llm.pieces import KEPT_CHARS, Store, cut
 from shelfcount.llm.textbytes import blocks, ranges
 
 #: Pairs of tokens whose answer is kept in a worker.
-KEPT_PAIRS = 1_000_000
+KEPT_PAIRS = 400_000
 #: Bytes of text whose pieces are numbered together.
 AT_A_TIME = 4 << 20
 #: Stands for the last token of the empty prefix.
 START = -1
 #: Words whose ids are kept in a worker.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 
 
 class Vocabulary:

@@ -21,7 +21,7 @@ _SPACE = r"[\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{20
 _UNEVEN = rf"\A | \z| {_SPACE}|{_SPACE} "
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 #: Characters of pieces that a worker's store holds, and those of a piece that is kept there.
-STORE_CHARS = 16 << 20
+STORE_CHARS = 8 << 20
 KEPT_CHARS = 256
 
 
