@@ -243,6 +243,8 @@ def _placed(docs: DataFrame) -> DataFrame:
     named = distinct.join(linked, "print", "left").select(
         "print", F.coalesce("root", "print").alias("root"),
         F.when(F.isnull("root"), F.col("least")).otherwise(F.col("component_id")).alias("component_id"))
+    # written, so that both sides of the join are plain shuffles and a frequent fingerprint can be split
+    named = written(named, "named")
     return rows.join(named, "print")
 
 
