@@ -122,20 +122,23 @@ def _decided(docs: DataFrame) -> DataFrame:
     rows = written(text.select("doc_id", "raw", F.sha2("norm", 256).alias("text_sha256"), F.xxhash64("norm").alias("print"))
                    .withColumn("tag", F.monotonically_increasing_id()), "prints")
     repeated = written(repeated_prints(rows.select("print")), "repeated")
-    candidates = text.select("norm", F.xxhash64("norm").alias("print"))
+    candidates = text.select("doc_id", "norm", F.xxhash64("norm").alias("print"))
     if repeated.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
         candidates = candidates.join(F.broadcast(repeated), "print", "left_semi")
     else:  # a fingerprint of very many rows goes to several tasks
         salted = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-        candidates = (candidates.withColumn("salt", (F.rand() * SALT).cast("int"))
+        candidates = (candidates.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int"))
                       .join(salted, ["print", "salt"], "left_semi"))
     equal = (candidates.groupBy("print", "norm").agg(F.count("*").alias("group_size")).filter("group_size > 1")
              .select(F.sha2("norm", 256).alias("text_sha256"), "group_size"))
     equal = written(equal, "equal")
-    first = (rows.join(equal, "text_sha256").groupBy("text_sha256", "group_size")
-             .agg(F.min(F.struct(F.isnull("doc_id").alias("missing"), "doc_id", "tag")).alias("least"))
-             .select("text_sha256", "group_size", F.col("least.doc_id").alias("keep_id"),
-                     F.col("least.tag").alias("keep_tag")))
+    # partial sums before anything is joined; written, so that both sides of the last join are plain shuffles and a
+    # frequent text can be split
+    first = written(rows.groupBy("text_sha256")
+                    .agg(F.min(F.struct(F.isnull("doc_id").alias("missing"), "doc_id", "tag")).alias("least"))
+                    .join(equal, "text_sha256")
+                    .select("text_sha256", "group_size", F.col("least.doc_id").alias("keep_id"),
+                            F.col("least.tag").alias("keep_tag")), "first")
     return rows.join(first, "text_sha256", "left").select(
         "doc_id", F.when(F.isnull("group_size"), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
