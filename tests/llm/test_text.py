@@ -259,7 +259,7 @@ def test_url_lists_against_brute_force(spark):
 def test_queries_equal_their_sql(spark, name):
     folder = "/root/testdata/sf0.001"
     db = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
     want = db.execute(queries.ORACLE[name])
     columns = [c[0] for c in want.description]
