@@ -247,17 +247,18 @@ def repeated_spans(docs: DataFrame, sorted_together: int = SORTED_TOGETHER) -> D
     """(__id, __th, spans): stretches of repeated bytes of each text, as start * 1024 + length; they may overlap."""
     texts = docs.select(*row_key(), F.coalesce("text", F.lit("")).alias("text"))
     anchors = texts.mapInArrow(_anchor_rows, f"{KEY}, anchor long, around long, place long")
-    repeated = (anchors.groupBy("anchor").agg(F.count("*").alias("n"), F.min("around").alias("least"),
-                                              F.max("around").alias("most"))
-                .filter("n > 1").select("anchor", F.expr("least = most").alias("alike")))
+    # written, so that a frequent anchor's side of the join is a plain shuffle, which the planner can split
+    repeated = written(anchors.groupBy("anchor").agg(F.count("*").alias("n"), F.min("around").alias("least"),
+                                                     F.max("around").alias("most"))
+                       .filter("n > 1").select("anchor", F.expr("least = most").alias("alike")), "repeated")
     found = written(anchors.join(repeated, "anchor"), "anchors")
 
     mixed_ones = found.filter("NOT alike")
     near = written(mixed_ones.groupBy("anchor", "around").agg(
         F.count("*").alias("copies"), F.first("__id").alias("__id"), F.first("__th").alias("__th"),
         F.first("place").alias("place")), "near")
-    group = (near.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("copies").alias("fewest"))
-             .filter("fewest = 1").select("anchor", (F.col("kinds") > sorted_together).alias("many")))
+    group = written(near.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("copies").alias("fewest"))
+                    .filter("fewest = 1").select("anchor", (F.col("kinds") > sorted_together).alias("many")), "groups")
     wanted = (near.join(group, "anchor").groupBy("__id", "__th")
               .agg(F.collect_list(F.struct("anchor", "place", "copies", "many")).alias("wanted")))
     contexts = written(texts.join(wanted, ["__id", "__th"]).mapInArrow(
