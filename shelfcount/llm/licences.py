@@ -73,11 +73,8 @@ def _known(text: Column) -> Column:
     """Identifiers of the text's sentences in order; an empty one for a sentence that is not known."""
     table = F.create_map(*(F.lit(v) for pair in SENTENCES.items() for v in pair))
     sentences = F.filter(F.split(F.coalesce(text, F.lit("")), STOP), lambda s: F.length(F.trim(s)) > 0)
-    # few texts have a known sentence: the table is asked only for sentences with a word that all of them share
-    return F.transform(sentences, lambda s: F.when(
-        F.lower(s).rlike("licen|reserved|gnu|warranty|redistribut"),
-        F.coalesce(F.element_at(table, F.trim(F.regexp_replace(F.lower(s), NOISE, " "))), F.lit(""))
-    ).otherwise(F.lit("")))
+    return F.transform(sentences, lambda s: F.coalesce(
+        F.element_at(table, F.trim(F.regexp_replace(F.lower(s), NOISE, " "))), F.lit("")))
 
 
 def scan(docs: DataFrame, rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:

@@ -219,6 +219,22 @@ def test_licences(documents):
                    (5, 0): "", (None, 0): "", (6, 3): "all-rights-reserved", (7, 0): "", (8, 3): "Apache-2.0"}
 
 
+def test_every_known_sentence_is_found(documents):
+    known = list(licences.SENTENCES.items())
+    mit = ('Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated '
+           'documentation files (the "Software"), to deal in the Software without restriction. ')
+    docs = [(i, f"Prose. {s.capitalize()}.") for i, (s, _) in enumerate(known)]
+    docs += [(100, mit + 'The software is provided "as is", without warranty of any kind.'), (101, mit)]
+    got = {r.doc_id: (r.sentences, r.licences) for r in licences.scan(documents(*docs)).collect()}
+    assert [got[i][0] for i in range(len(known))] == [name for _, name in known]
+    assert got[100] == ("MIT-GRANT,AS-IS", "MIT") and got[101] == ("MIT-GRANT", "MIT")
+    texts = pa.table({"doc_id": [i for i, _ in docs], "text": [t for _, t in docs]})
+    con = duckdb.connect()
+    con.register("documents", texts)
+    want = con.execute(licences.oracle()).fetchall()
+    assert {r[0]: (r[2], r[3]) for r in want} == got
+
+
 def test_url_lists_against_brute_force(spark):
     r = random.Random(3)
     day = lambda n: datetime.date(2024, 1, 1) + datetime.timedelta(n)
