@@ -4,9 +4,10 @@ Tokens are the opening tags of a page, told apart by the path of elements above
 same occurrence vector (how often each page has them) form an equivalence class. The vector of a token is kept
 as a sum of hashes over pages, so that a host of any size needs partial sums only. A class is valid if enough
 pages of the host support it and the elements above its tokens belong to valid classes; valid classes, each
-inside the slots of the one above, are the template. Of its slots that with the article is kept, or, where
-pages mark none, the one that holds most of the text; menus, headers, footers, sidebars, notices, adverts,
-forms and comments are left out by element or by class name. Pages without a template (the only one of their
+inside the slots of the one above, are the template. Of its slots that with the article is kept. Where pages
+mark none, the slot that holds most of the text is taken, and on each page the smallest element around it and
+all paragraphs, headings, lists, quotes, tables and preformatted blocks is kept. Menus, headers, footers,
+sidebars, notices, adverts, forms and comments are left out by element or by class name. Pages without a template (the only one of their
 host, or unlike the others) are read by their own marks.
 
 Templates are bounded by what pages of the host have in common. They are broadcast only below a checked size,
@@ -46,6 +47,8 @@ CLOSES_P = BREAKS - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot"
 ITSELF = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
 SCOPES = frozenset("ul ol dl table select body article section div nav main aside header footer form".split())
+# Elements that hold text of an article; what is around them is its container.
+TEXTS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre td th caption figcaption".split())
 # What is never part of an article, by element, and by words of class, id and role.
 LEFT_OUT = frozenset("nav footer aside form button select textarea iframe object noscript template svg canvas "
                      "dialog head title".split())
@@ -66,12 +69,15 @@ PLAIN, MARKED, OUT, HEADER = 0, 1, 2, 3  # kinds of an element; a header is left
 
 
 class Element:
-    """An open element: its name, path, kind, and whether it is in the article, or left out."""
+    """An open element: its name, path, kind, whether it is in the article, or left out, and what it stands in."""
 
-    __slots__ = ("name", "path", "kind", "within", "out")
+    __slots__ = ("name", "path", "kind", "within", "out", "above", "depth", "around")
 
-    def __init__(self, name: str, path: int, kind: int, within: bool, out: bool):
+    def __init__(self, name: str, path: int, kind: int, within: bool, out: bool, above: Element | None = None):
         self.name, self.path, self.kind, self.within, self.out = name, path, kind, within, out
+        self.above, self.depth = above, above.depth + 1 if above else 0
+        #: container of the outermost text block that it is in
+        self.around = None if above is None else above.around or (above if name in TEXTS else None)
 
 
 def _kind(name: str, said: str) -> tuple[str, int]:
@@ -155,7 +161,7 @@ def walk(html: str) -> Iterator[tuple[str, Element, str]]:
             path = _bounded(_paths)[above.path, key] = xxhash.xxh64_intdigest(key, above.path) >> 1
         if kind == HEADER:
             kind = PLAIN if above.within else OUT
-        element = Element(name, path, kind, above.within or kind == MARKED, above.out or kind == OUT)
+        element = Element(name, path, kind, above.within or kind == MARKED, above.out or kind == OUT, above)
         yield "open", element, str(above.path)
         if name not in VOID and not m[5].endswith("/"):
             stack.append(element)
@@ -266,26 +272,59 @@ def templates(pages: DataFrame) -> DataFrame:
 
 # --- extraction ----------------------------------------------------------------------
 
+def _common(a: Element, b: Element) -> Element:
+    """The innermost element around both."""
+    while a is not b:
+        if a.depth >= b.depth:
+            a = a.above
+        else:
+            b = b.above
+    return a
+
+
+def _inside(element: Element, around: Element) -> bool:
+    while element.depth > around.depth:
+        element = element.above
+    return element is around
+
+
 def main_text(html: str, main: set[int]) -> str:
-    """Blocks of the slots in ``main``; of the page's own article, or of all of it, where it has none of them."""
+    """Blocks of the slots in ``main``; of the page's own article, or of all of it, where it has none of them.
+
+    A slot that no mark tells is widened to the smallest element around it and all text blocks of the page.
+    """
     marked, slots, everything = [], [], []
+    within: list[Element] = []  # what each block of everything stands in
+    container = first = None  # first: what the open block begins in
     deep = {"slot": 0, "mark": 0}
     part: list[str] = []
     state = (False, False)
 
     def flush():
+        nonlocal container, first
         block = " ".join(entities.unescape("".join(part)).split())
         if block:
             everything.append(block)
+            within.append(first)
             if state[0]:
                 slots.append(block)
+            around = first.around
+            if around is None and state[0]:
+                around = first
+                while around.above and around.name not in BREAKS:
+                    around = around.above
+            if around is not None:
+                container = around if container is None else _common(container, around)
             if state[1]:
                 marked.append(block)
         part.clear()
+        first = None
 
     for what, element, text in walk(html):
         if what == "text":
             if not element.out:
+                if first is None and text.strip():
+                    first = element
                 part.append(text)
             continue
         if element.name in BREAKS or element.out:
@@ -299,6 +338,8 @@ def main_text(html: str, main: set[int]) -> str:
         deep["mark"] += step * (element.kind == MARKED)
         state = (deep["slot"] > 0, deep["mark"] > 0)
     flush()
+    if slots and not marked:
+        slots = [block for block, element in zip(everything, within) if _inside(element, container)]
     return "\n\n".join(slots or marked or everything)
 
 

@@ -314,6 +314,34 @@ def test_main_text(spark):
     assert extract.extract(frame).count() == len(rows) and extract.extract(frame.limit(0)).count() == 0
 
 
+def test_an_unmarked_article_keeps_all_its_blocks(spark):
+    shell = "<div class=top>site {}</div><div class=body><div class=text>{}</div></div><div class=end>short</div>"
+
+    def paragraphs(i):
+        return [prose(40, 100 + i), prose(40, 200 + i)]
+
+    def mixed(i):
+        one, two = paragraphs(i)
+        return (f"<h1>Head {i}</h1><p>{one}</p><ul><li>item {i}<li>other {i}</ul><blockquote>said {i}</blockquote>"
+                f"<div class=more><p>{two}</p></div><table><tr><th>k {i}<td>v {i}</table><pre>code {i}</pre>loose {i}")
+
+    def mixed_text(i):
+        one, two = paragraphs(i)
+        return [f"Head {i}", one, f"item {i}", f"other {i}", f"said {i}", two, f"k {i}", f"v {i}", f"code {i}", f"loose {i}"]
+
+    rows = [(i, "http://mixed.org/", page(shell.format(i, mixed(i)))) for i in range(6)]
+    want = {i: mixed_text(i) for i in range(6)}
+    for i in range(10, 16):  # a host whose pages are lists, but for one
+        entries = [f"{n} {prose(8, 10 * i + n)}" for n in range(8)]
+        body = f"<h2>List {i}</h2><ul><li>" + "<li>".join(entries) + f"</ul><p>after {i}</p>"
+        rows.append((i, "http://lists.org/", page(shell.format(i, body))))
+        want[i] = [f"List {i}", *entries, f"after {i}"]
+    rows.append((16, "http://lists.org/", page(shell.format(16, mixed(16)))))
+    want[16] = mixed_text(16)
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text.split("\n\n") for r in extract.extract(frame).collect()} == want
+
+
 def test_classes_nest_from_the_outside_in():
     a, b = (5, 9), (3, 1)
     tokens = [(0, 0, 0, 5, a, 0), (1, 0, 0, 5, a, 0), (2, 1, 2, 5, a, 50), (3, 1, 0, 5, a, 10), (4, 3, 0, 3, b, 90),
