@@ -7,7 +7,11 @@ pages of the host support it and the elements above its tokens belong to valid c
 inside the slots of the one above, are the template. Of its slots that with the article is kept. Where pages
 mark none, the slot that holds most of the text is taken, and on each page the smallest element around it and
 all paragraphs, headings, lists, quotes, tables and preformatted blocks is kept. Menus, headers, footers,
-sidebars, notices, adverts, forms and comments are left out by element or by class name. Pages without a template (the only one of their
+sidebars, notices, adverts, forms and comments are left out by element or by class name.
+
+Texts of pages without an article mark are tokens too, told apart by their path. One that is on enough of the
+pages with its element, whatever share of the host these are, so that each layout is judged by itself, does not
+vary; an element in which no text varies is template and left out, unless the page has no other text. Pages without a template (the only one of their
 host, or unlike the others) are read by their own marks.
 
 Templates are bounded by what pages of the host have in common. They are broadcast only below a checked size,
@@ -35,6 +39,8 @@ from shelfcount.llm.url_lists import host
 SUPPORT, LEAST_PAGES = 0.5, 2
 #: Share of the text that a slot must hold to be the main one, where pages mark no article.
 MAIN_SHARE = 0.6
+#: The least number of pages that share a text of the template: an article and its copy are none.
+TEXT_PAGES = 3
 #: Rows of the template table that are broadcast.
 BROADCAST_ROWS = 100_000
 
@@ -66,6 +72,7 @@ _NAMED = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'
 
 ROOT = 0
 PLAIN, MARKED, OUT, HEADER = 0, 1, 2, 3  # kinds of an element; a header is left out unless it is the article's
+TEXT = 4  # kind of a text token
 
 
 class Element:
@@ -170,12 +177,55 @@ def walk(html: str) -> Iterator[tuple[str, Element, str]]:
         yield pop()
 
 
+class Texts:
+    """Blocks of text that are not left out, and the element that each begins in."""
+
+    def __init__(self):
+        self.found: list[tuple[str, Element]] = []
+        self.part: list[str] = []
+        self.first: Element | None = None
+
+    def flush(self) -> bool:
+        """Whether the open part was a block."""
+        block = " ".join(entities.unescape("".join(self.part)).split()) if self.first else ""
+        if block:
+            self.found.append((block, self.first))
+        self.part.clear()
+        self.first = None
+        return bool(block)
+
+    def take(self, what: str, element: Element, text: str) -> bool:
+        """Whether a block has ended before this event."""
+        if what == "text":
+            if not element.out:
+                if self.first is None and text.strip():
+                    self.first = element
+                self.part.append(text)
+        elif element.name in BREAKS or element.out:
+            return self.flush()
+        elif element.name == "br" and what == "open":
+            self.part.append(" ")
+        return False
+
+
+def text_token(block: str, element: Element) -> int:
+    return xxhash.xxh64_intdigest(block, element.path ^ 1) >> 1
+
+
 # --- occurrence vectors and templates ------------------------------------------------
 
 def tokens_of(html: str) -> dict[int, list[int]]:
-    """path -> [parent path, kind (the largest), how often, characters of text in it that are not left out]."""
+    """path -> [parent path, kind (the largest), how often, characters of text in it that are not left out].
+
+    The texts of a page without an article mark are in it as well, under the paths of what they stand in.
+    """
     found: dict[int, list[int]] = {ROOT: [ROOT, PLAIN, 1, 0]}
+    texts = Texts()
+    marked = False
     for what, element, text in walk(html):
+        marked = marked or (element.within and not element.out)
+        if not marked:
+            texts.take(what, element, text)
         if what == "open":
             own = found.get(element.path)
             if own is None:
@@ -183,6 +233,9 @@ def tokens_of(html: str) -> dict[int, list[int]]:
             own[2] += 1
         elif what == "text" and not element.out:
             found[element.path][3] += len(text.strip())
+    texts.flush()
+    for block, element in [] if marked else texts.found:
+        found.setdefault(text_token(block, element), [element.path, TEXT, 0, 0])[2] += 1
     return found
 
 
@@ -193,8 +246,8 @@ def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             mark = xxhash.xxh64_intdigest(page)
             for path, (parent, kind, n, chars) in tokens_of(page).items():
                 h = xxhash.xxh64_intdigest(n.to_bytes(8, "little"), mark)
-                rows.append((at, path, parent, kind, n, chars, h & 0x7FFFFFFF, (h >> 31) & 0x7FFFFFFF))
-        names = ["host", "path", "parent", "kind", "n", "chars", "one", "two"]
+                rows.append((at, path, parent, kind, n, chars, h & 0x7FFFFFFF, (h >> 31) & 0x7FFFFFFF, mark >> 1))
+        names = ["host", "path", "parent", "kind", "n", "chars", "one", "two", "mark"]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
 
 
@@ -254,20 +307,29 @@ def _template_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, paths, main) of every host with at least LEAST_PAGES pages."""
+    """(host, paths, main, shared) of every host with at least LEAST_PAGES pages."""
     texts = pages.select(F.coalesce(host(F.col("url")), F.lit("")).alias("host"),
                          F.coalesce("html", F.lit("")).alias("html"))
     seen = texts.mapInArrow(_token_rows, "host string, path long, parent long, kind long, n long, chars long, "
-                                         "one long, two long")
-    counts = written(seen.groupBy("host", "path").agg(
+                                         "one long, two long, mark long")
+    counts = (seen.groupBy("host", "path").agg(
         F.count("*").alias("pages"), F.max("parent").alias("parent"), F.max("kind").alias("kind"),
-        F.sum("chars").alias("chars"), F.sum("one").alias("one"), F.sum("two").alias("two")), "tokens")
+        F.sum("chars").alias("chars"), F.sum("one").alias("one"), F.sum("two").alias("two"),
+        F.min("mark").alias("least"), F.max("mark").alias("most")))
+    counts = written(counts.filter((F.col("path") == ROOT) | (F.col("kind") != TEXT) | (F.col("pages") >= TEXT_PAGES)),
+                     "tokens")
+    # a text that only copies of one page have is no template
+    texts = counts.filter((F.col("kind") == TEXT) & (F.col("pages") >= TEXT_PAGES) & (F.col("least") < F.col("most")))
+    stands = counts.filter(F.col("kind") != TEXT).select("host", F.col("path").alias("parent"), F.col("pages").alias("of"))
+    shared = (texts.join(stands, ["host", "parent"]).filter(F.col("pages") >= SUPPORT * F.col("of"))
+              .groupBy("host").agg(F.collect_list("path").alias("shared")))
+    counts = counts.filter(F.col("kind") != TEXT)
     whole = counts.filter(F.col("path") == ROOT).select("host", F.col("pages").alias("of"))
     common = counts.join(whole, "host").filter((F.col("pages") >= LEAST_PAGES)
                                                & (F.col("pages") >= SUPPORT * F.col("of")))
     each = F.struct("path", "parent", "kind", "pages", "one", "two", "chars")
     return common.groupBy("host").agg(F.max("of").alias("of"), F.collect_list(each).alias("tokens")).mapInArrow(
-        _template_rows, "host string, paths array<long>, main array<long>")
+        _template_rows, "host string, paths array<long>, main array<long>").join(shared, "host", "left")
 
 
 # --- extraction ----------------------------------------------------------------------
@@ -288,65 +350,69 @@ def _inside(element: Element, around: Element) -> bool:
     return element is around
 
 
-def main_text(html: str, main: set[int]) -> str:
+def _container(element: Element) -> Element:
+    """Of the text block that a text begins in; of a text in none, the element that breaks text around it."""
+    if element.around is not None:
+        return element.around
+    while element.above and element.name not in BREAKS:
+        element = element.above
+    return element
+
+
+def _varying(found: list[tuple[str, Element]], shared: set[int]) -> tuple[list[bool], list[bool]]:
+    """Which texts are not shared, and which stand in an element with such a text."""
+    own = [not shared or text_token(block, element) not in shared for block, element in found]
+    if all(own) or not any(own):
+        return [True] * len(found), [True] * len(found)
+    around = set()
+    for (_, element), varies in zip(found, own):
+        at = _container(element) if varies else None
+        while at is not None and id(at) not in around:
+            around.add(id(at))
+            at = at.above
+    return own, [id(_container(element)) in around for _, element in found]
+
+
+def main_text(html: str, main: set[int], shared: set[int] = frozenset()) -> str:
     """Blocks of the slots in ``main``; of the page's own article, or of all of it, where it has none of them.
 
-    A slot that no mark tells is widened to the smallest element around it and all text blocks of the page.
+    A slot that no mark tells is widened to the smallest element around it and all text blocks of the page. Where
+    the page has no article of its own, elements with no text but the ``shared`` ones are left out.
     """
-    marked, slots, everything = [], [], []
-    within: list[Element] = []  # what each block of everything stands in
-    container = first = None  # first: what the open block begins in
+    texts = Texts()
+    states: list[tuple[bool, bool]] = []  # of each text, whether it is in a slot, and in a mark
     deep = {"slot": 0, "mark": 0}
-    part: list[str] = []
     state = (False, False)
-
-    def flush():
-        nonlocal container, first
-        block = " ".join(entities.unescape("".join(part)).split())
-        if block:
-            everything.append(block)
-            within.append(first)
-            if state[0]:
-                slots.append(block)
-            around = first.around
-            if around is None and state[0]:
-                around = first
-                while around.above and around.name not in BREAKS:
-                    around = around.above
-            if around is not None:
-                container = around if container is None else _common(container, around)
-            if state[1]:
-                marked.append(block)
-        part.clear()
-        first = None
-
     for what, element, text in walk(html):
-        if what == "text":
-            if not element.out:
-                if first is None and text.strip():
-                    first = element
-                part.append(text)
-            continue
-        if element.name in BREAKS or element.out:
-            flush()
-        elif element.name == "br" and what == "open":
-            part.append(" ")
-        if element.out or element.name in VOID:
+        if texts.take(what, element, text):
+            states.append(state)
+        if what == "text" or element.out or element.name in VOID:
             continue
         step = 1 if what == "open" else -1
         deep["slot"] += step * (element.path in main)
         deep["mark"] += step * (element.kind == MARKED)
         state = (deep["slot"] > 0, deep["mark"] > 0)
-    flush()
-    if slots and not marked:
-        slots = [block for block, element in zip(everything, within) if _inside(element, container)]
-    return "\n\n".join(slots or marked or everything)
+    if texts.flush():
+        states.append(state)
+    slots = [block for (block, _), (slot, _) in zip(texts.found, states) if slot]
+    marked = [block for (block, _), (_, mark) in zip(texts.found, states) if mark]
+    if marked:
+        return "\n\n".join(slots or marked)
+    own, kept = _varying(texts.found, shared)
+    container = None
+    if any(slot and varies for (slot, _), varies in zip(states, own)):
+        for (_, element), (slot, _), varies in zip(texts.found, states, own):
+            if varies and (slot or element.around is not None):
+                around = _container(element)
+                container = around if container is None else _common(container, around)
+    return "\n\n".join(block for (block, element), keep in zip(texts.found, kept)
+                       if keep and (container is None or _inside(element, container)))
 
 
 def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in blocks(batches, "html"):
-        texts = [main_text(page, set(main or ())) for page, main in
-                 zip(batch.column("html").to_pylist(), batch.column("main").to_pylist())]
+        texts = [main_text(page, set(main or ()), set(shared or ())) for page, main, shared in
+                 zip(*(batch.column(c).to_pylist() for c in ("html", "main", "shared")))]
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
              pa.array(np.array([len(t) for t in texts], np.int64))], names=["page_id", "url", "text", "n_chars"])
@@ -354,11 +420,11 @@ def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars), one row for each row of pages."""
-    table = written(templates(pages).select("host", "main"), "templates")
+    table = written(templates(pages).select("host", "main", "shared"), "templates")
     if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         table = F.broadcast(table)
     texts = pages.select(F.col("page_id").cast("long").alias("page_id"), "url",
                          F.coalesce("html", F.lit("")).alias("html"),
                          F.coalesce(host(F.col("url")), F.lit("")).alias("host"))
-    return (texts.join(table, "host", "left").select("page_id", "url", "html", "main")
+    return (texts.join(table, "host", "left").select("page_id", "url", "html", "main", "shared")
             .mapInArrow(_text_rows, "page_id long, url string, text string, n_chars long"))

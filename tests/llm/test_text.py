@@ -342,6 +342,24 @@ def test_an_unmarked_article_keeps_all_its_blocks(spark):
     assert {r.page_id: r.text.split("\n\n") for r in extract.extract(frame).collect()} == want
 
 
+def test_text_that_does_not_vary_is_left_out(spark):
+    shells = [  # the second and third are layouts of under half of the host; no slot of the third holds most of the text
+        "<div class=q1><ul><li>Home<li>About us</ul></div><div class=q2><p>{}</p><p>{}</p></div><div class=q3>(c) Acme</div>",
+        "<div class=r1><p>Read our rules</p></div><div class=r2><h2>Story</h2><p>{}</p><p>{}</p></div><div class=r3>Acme</div>",
+        "<div class=s1>{}</div><div class=s2>Write to us</div><div class=s3>{}</div>"]
+    rows, want = [], {}
+    for i in range(20):
+        layout = 0 if i < 11 else 1 if i < 16 else 2
+        one, two = prose(30, 500 + i), prose(30, 600 + i)
+        rows.append((i, "http://layouts.org/", page(shells[layout].format(one, two))))
+        want[i] = (["Story"] if layout == 1 else []) + [one, two]
+    rows += [(30 + i, "http://copies.org/", rows[0][2]) for i in range(4)]  # copies of one page have no template text
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text.split("\n\n") for r in extract.extract(frame).collect()}
+    assert {i: got[i] for i in range(20)} == want
+    assert all(set(want[0]) <= set(got[30 + i]) for i in range(4))
+
+
 def test_classes_nest_from_the_outside_in():
     a, b = (5, 9), (3, 1)
     tokens = [(0, 0, 0, 5, a, 0), (1, 0, 0, 5, a, 0), (2, 1, 2, 5, a, 50), (3, 1, 0, 5, a, 10), (4, 3, 0, 3, b, 90),
