@@ -14,7 +14,7 @@ linked; a component is named by its least doc_id, null only if it has no other.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -41,8 +41,8 @@ _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 # --- fingerprints ----------------------------------------------------------------
 
-def fingerprints(x: np.ndarray, at: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
-    """uint64 fingerprint of each text x[at[i]:at[i + 1]]."""
+def shingles(x: np.ndarray, at: np.ndarray, shingle: int) -> tuple[np.ndarray, Iterator[tuple[np.ndarray, np.ndarray]]]:
+    """How many word shingles each text x[at[i]:at[i + 1]] has; and (text, uint64 hash) of them, some at a time."""
     x = np.frombuffer(x.tobytes().translate(_LOWER), np.uint8)
     word = ~_SPACE[x]
     inner = at[(at > 0) & (at < len(x))]
@@ -61,14 +61,25 @@ def fingerprints(x: np.ndarray, at: np.ndarray, shingle: int = SHINGLE) -> np.nd
     text = np.repeat(np.arange(len(words)), number)
     lead = np.arange(len(text)) - np.repeat(np.cumsum(number) - number, number) + own[text]
     left, right = begin[lead], end[np.minimum(lead + shingle, own[text + 1]) - 1]
-    ones = np.zeros((len(words), 64), np.int64)
     digest = xxhash.xxh64_intdigest
-    for part in range(0, len(text), AT_A_TIME):
-        some = slice(part, part + AT_A_TIME)
-        h = np.array([digest(gap[a:b], SEED) for a, b in zip(left[some].tolist(), right[some].tolist())], np.uint64)
+
+    def hashes():
+        for part in range(0, len(text), AT_A_TIME):
+            some = slice(part, part + AT_A_TIME)
+            yield text[some], np.array([digest(gap[a:b], SEED) for a, b in
+                                        zip(left[some].tolist(), right[some].tolist())], np.uint64)
+
+    return number, hashes()
+
+
+def fingerprints(x: np.ndarray, at: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
+    """uint64 fingerprint of each text x[at[i]:at[i + 1]]."""
+    number, parts = shingles(x, at, shingle)
+    ones = np.zeros((len(number), 64), np.int64)
+    for text, h in parts:
         bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        new = np.flatnonzero(np.concatenate([[True], np.diff(text[some]) != 0]))
-        ones[text[some][new]] += np.add.reduceat(bits, new, axis=0, dtype=np.int64)
+        new = np.flatnonzero(np.concatenate([[True], np.diff(text) != 0]))
+        ones[text[new]] += np.add.reduceat(bits, new, axis=0, dtype=np.int64)
     return np.packbits(2 * ones > number[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
@@ -229,13 +240,17 @@ def near_components(docs: DataFrame) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _placed(docs: DataFrame) -> DataFrame:
+def _placed(docs: DataFrame, more: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
+    """``more`` gives further links (variant, canonical) of fingerprints, from (raw, text) and (raw, print)."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = written(texts.withColumn("raw", F.xxhash64("text")).mapInArrow(
         _fingerprint_rows, "doc_id long, raw long, print long"), "fingerprints")
     distinct = written(rows.groupBy("print").agg(F.min("doc_id").alias("least")), "distinct")
     links = (distinct.select(F.explode(_group_keys("print")).alias("key"), "print")
              .repartition("key").sortWithinPartitions("key").mapInArrow(_linked, "variant long, canonical long"))
+    if more is not None:
+        prints = rows.select("raw", "print").distinct()
+        links = links.unionByName(more(texts.withColumn("raw", F.xxhash64("text")), prints))
     joined = (components(written(links, "links")).withColumnsRenamed({"ocn": "print", "component": "root"})
               .join(distinct, "print"))
     names = joined.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -248,9 +263,9 @@ def _placed(docs: DataFrame) -> DataFrame:
     return rows.join(named, "print")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, more: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
     """The rows of docs that stay: of each component one with the least doc_id, with all its columns."""
-    rows = written(_placed(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    rows = written(_placed(docs, more).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
                    .groupBy("root", "doc_id", "raw").agg(F.count("*").alias("n")), "least")
     first = rows.groupBy("root").agg(F.min("raw").alias("raw"))
     return only(docs, rows.join(first, ["root", "raw"]).select(

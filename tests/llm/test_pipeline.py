@@ -81,3 +81,26 @@ def test_an_empty_corpus(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, folder)
         assert docs.count() == 0
+
+
+def test_near_copies_of_five_words(documents, spark):
+    r = random.Random(12)
+
+    def shingles(text):
+        w = text.split()
+        return {tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1))}
+
+    docs, gone = [], set()
+    for i in range(120):
+        base = prose(300, 5000 + i).split()
+        copy = list(base)
+        for n, at in enumerate(r.sample(range(300), r.randint(1, 12))):
+            copy[at] = f"changed{i}n{n}"
+        docs += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(copy))]
+        a, b = map(shingles, (docs[-2][1], docs[-1][1]))
+        if len(a & b) >= 0.8 * len(a | b):
+            gone.add(2 * i + 1)
+    left = {row.doc_id for row in corpus_pipeline.near_stage(spark, documents(*docs), "").collect()}
+    by_print = {c for _, _, c in brute_near(docs)}
+    assert 40 < len(gone) < 110 and len(gone & by_print) > 20
+    assert left == by_print - gone
