@@ -29,8 +29,8 @@ WINDOW, GRAM = 200, 64
 SPREAD = WINDOW - GRAM + 1  # substrings of a window
 #: More different neighbourhoods of an anchor than this are counted by window, not sorted in one task.
 SORTED_TOGETHER = 2000
-#: Bytes of neighbourhoods that are sorted at a time.
-SORT_BLOCK = 4 << 20
+#: Windows that are sorted at a time, but for those of one anchor, and bytes of neighbourhoods that are looked at.
+SORT_WINDOWS, SORT_BLOCK = 200_000, 1 << 18
 PIECE = 1 << 19  # windows of one text that are handled at a time
 
 KEY = "__id long, __th int"
@@ -163,43 +163,53 @@ class Suffixes:
         return start[hit]
 
 
+def _windows(place: np.ndarray) -> np.ndarray:
+    """Windows of each neighbourhood."""
+    return ((place >> 8) & 255) + 1
+
+
 def _sorted_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows that are sorted by anchor, in blocks that never part an anchor."""
+    """Rows that are sorted by anchor, in blocks of about SORT_WINDOWS that never part an anchor."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in blocks(batches, "context", SORT_BLOCK):
-        anchors = batch.column("anchor").to_numpy()
-        if size >= SORT_BLOCK:
-            own = int(np.searchsorted(anchors != held[-1].column("anchor")[-1].as_py(), True))
+        if size >= SORT_WINDOWS:
+            anchors = batch.column("anchor").to_numpy()
+            other = np.flatnonzero(anchors != held[-1].column("anchor")[-1].as_py())
+            own = int(other[0]) if len(other) else batch.num_rows
             held.append(batch.slice(0, own))
             if own == batch.num_rows:
-                size += batch.nbytes
                 continue
             yield pa.Table.from_batches(held)
             held, size, batch = [], 0, batch.slice(own)
         held.append(batch)
-        size += batch.nbytes
+        size += int(_windows(batch.column("place").to_numpy()).sum())
     if held:
         yield pa.Table.from_batches(held)
 
 
 def _repeated_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of repeated windows, as the spans of bytes that they cover."""
     for table in _sorted_together(batches):
         x, at = flat(table.column("context"))
         place = table.column("place").to_numpy()
-        windows, lead = ((place >> 8) & 255) + 1, place & 255
+        windows, lead = _windows(place), place & 255
         start = ranges(at[:-1], windows)
         row = np.repeat(np.arange(len(place)), windows)
         group = np.cumsum(np.concatenate([[0], np.diff(table.column("anchor").to_numpy()) != 0]))
         segment = group[row] * 512 + (start - at[row]) - lead[row] + 256
         hit = np.zeros(len(x) + 1, bool)
         hit[Suffixes(x).repeated(segment, start)] = True
-        own = hit[start] & (table.column("copies").to_numpy() == 1)[row]
-        rows = pa.array(row[own])
-        at_text = (place[row] >> 16) + start - at[row]
+        # the byte after the last window of a neighbourhood starts none, so runs never cross into the next one
+        own = np.zeros(len(x) + 1, bool)
+        own[start] = hit[start] & (table.column("copies").to_numpy() == 1)[row]
+        first, last = spans_of(own)
+        row = np.searchsorted(at, first, "right") - 1
+        rows = pa.array(row)
+        spans = ((place[row] >> 16) + first - at[row] << 10) + (last - first - 1 + WINDOW)
         yield pa.RecordBatch.from_arrays(
             [table.column("__id").take(rows).combine_chunks(), table.column("__th").take(rows).combine_chunks(),
-             pa.array(at_text[own])], schema=pa.schema([*KEY_FIELDS, ("window", pa.int64())]))
+             pa.array(spans)], schema=pa.schema([*KEY_FIELDS, ("span", pa.int64())]))
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,19 +276,20 @@ def repeated_spans(docs: DataFrame, sorted_together: int = SORTED_TOGETHER) -> D
 
     few = contexts.filter("NOT many")
     edges = (few.repartition("anchor").sortWithinPartitions("anchor")
-             .mapInArrow(_repeated_windows, f"{KEY}, window long"))
+             .mapInArrow(_repeated_windows, f"{KEY}, span long"))
     hashed = contexts.filter("many").mapInArrow(
         _window_hashes, f"{KEY}, window long, one long, two long, copies long")
     common = hashed.groupBy("one", "two").agg(F.count("*").alias("n")).filter("n > 1").select("one", "two")
-    edges = edges.unionByName(hashed.filter("copies = 1").join(common, ["one", "two"]).select("__id", "__th", "window"))
+    edges = edges.unionByName(hashed.filter("copies = 1").join(common, ["one", "two"]).select(
+        "__id", "__th", F.expr(f"shiftleft(window, 10) + {WINDOW}").alias("span")))
 
     whole = found.filter("alike").select("__id", "__th", "place").unionByName(
         mixed_ones.join(near.filter("copies > 1").select("anchor", "around"), ["anchor", "around"])
         .select("__id", "__th", "place"))
     spans = whole.select("__id", "__th", F.expr(
-        f"shiftleft(shiftright(place, 16), 10) + (shiftright(place, 8) & 255) + {WINDOW}").alias("span")).unionByName(
-        edges.select("__id", "__th", F.expr(f"shiftleft(window, 10) + {WINDOW}").alias("span")))
-    return spans.groupBy("__id", "__th").agg(F.collect_list("span").alias("spans"))
+        f"shiftleft(shiftright(place, 16), 10) + (shiftright(place, 8) & 255) + {WINDOW}").alias("span")).unionByName(edges)
+    # a set: rows that repeat both id and text name the same spans
+    return spans.groupBy("__id", "__th").agg(F.collect_set("span").alias("spans"))
 
 
 def covered(size: int, spans: np.ndarray) -> np.ndarray:
