@@ -189,6 +189,20 @@ PARTS |= {
     "sent_passes": """SELECT *, l3 > 0 AND (lb = 0 OR (abs(l3 - lb) / lb < 0.5 AND abs(o3 - ob) / ob < 0.5)) AS pass3
         FROM (SELECT *, CASE WHEN pass2 THEN l2 ELSE l1 END AS lb, CASE WHEN pass2 THEN o2 ELSE o1 END AS ob
               FROM sent_second)""",
+    "arrived": """SELECT sender, kind, day, file_name, count(*) AS lines, count(one) AS ready_lines,
+          count(DISTINCT one) AS ready_ocns, CAST(sum(one) AS BIGINT) AS ocn_sum
+        FROM (SELECT *, form IN (0, 1, 2, 3, 4, 12, 13) AND NOT too_wide AND header LIKE 'OCLC%' AS ok,
+                     CASE WHEN form = 3 THEN [n, n + 1] ELSE [n] END AS ocns FROM arriving_lines) a
+        LEFT JOIN LATERAL (SELECT unnest(CASE WHEN ok THEN ocns ELSE [] END) AS one) ON true
+        GROUP BY ALL""",
+    "arrived_second": """SELECT a.sender, a.kind, a.ready_lines AS l1, a.ready_ocns AS o1, b.ready_lines AS l2, b.ready_ocns AS o2,
+          abs(b.ready_lines - a.ready_lines) / a.ready_lines < 0.4 AND abs(b.ready_ocns - a.ready_ocns) / a.ready_ocns < 0.4
+            AS pass2, c.ready_lines AS l3, c.ready_ocns AS o3
+        FROM arrived a JOIN arrived b USING (sender, kind) JOIN arrived c USING (sender, kind)
+        WHERE a.day = '01' AND b.day = '02' AND c.day = '03'""",
+    "arrived_passes": """SELECT *, CASE WHEN pass2 THEN l2 ELSE l1 END AS lb, CASE WHEN pass2 THEN o2 ELSE o1 END AS ob,
+          l3 > 0 AND abs(l3 - lb) / lb < 0.4 AND abs(o3 - ob) / ob < 0.4 AS pass3
+        FROM arrived_second""",
     "judged_lines": """SELECT s.*, form IN (0, 1, 2, 3, 4, 12, 13) AS ok_ocn,
             CASE t WHEN 0 THEN 2 ELSE 3 END + too_wide::INT AS width, CASE t WHEN 0 THEN 2 ELSE 3 END AS asked,
             'org-' || letter AS organization,
@@ -495,6 +509,26 @@ _QUERIES = {
         LEFT JOIN sent_files h ON h.sender = f.sender AND h.kind = f.kind AND h.ready_lines > 0
           AND h.nr = CASE WHEN p.pass3 THEN 3 WHEN p.pass2 THEN 2 ELSE 1 END
         WHERE f.nr > 1""",
+    "submission_files": """SELECT file_name || CASE ascii(letter) % 4 WHEN 1 THEN '.gz' ELSE '' END AS file_name,
+        count(*) AS data_lines, count(*) FILTER (ascii(letter) % 4 = 3) AS accented,
+        min(value || CASE ascii(letter) % 4 WHEN 3 THEN 'é' ELSE '' END) AS first,
+        max(value || CASE ascii(letter) % 4 WHEN 3 THEN 'é' ELSE '' END) AS last,
+        CAST(nullif(sum(CASE WHEN NOT ok THEN 0 WHEN form = 3 THEN 2 ELSE 1 END), 0) AS BIGINT) AS holdings,
+        CAST(sum(CASE WHEN ok THEN CASE WHEN form = 3 THEN 2 * n + 1 ELSE n END END) AS BIGINT) AS ocn_sum,
+        nullif(count(*) FILTER (NOT ok), 0) AS refused
+        FROM (SELECT *, substr(sender, 5) AS letter, form IN (0, 1, 2, 3, 4, 12, 13) AND NOT too_wide AS ok
+              FROM submission_lines) GROUP BY letter, file_name""",
+    "submission_stream": """SELECT f.file_name, CASE WHEN f.kind = 'spm' THEN 'mismatch in item types'
+          WHEN f.ready_lines = 0 THEN 'nothing ready'
+          WHEN f.day = '03' THEN CASE WHEN p.pass3 THEN 'loaded' ELSE 'diff too big' END
+          WHEN f.day = '02' AND NOT p.pass2 THEN 'diff too big'
+          WHEN p.pass3 OR (f.day = '01' AND p.pass2) THEN 'superseded' ELSE 'loaded' END AS outcome,
+        f.ready_lines, f.ready_ocns, h.ready_lines AS held_lines, h.ocn_sum AS held_ocn_sum
+        FROM arrived f LEFT JOIN arrived_passes p ON p.sender = f.sender AND p.kind = f.kind
+        LEFT JOIN arrived h ON h.sender = f.sender AND h.kind = f.kind AND f.kind <> 'spm'
+          AND h.day = CASE WHEN p.pass3 THEN '03' WHEN p.pass2 THEN '02' ELSE '01' END""",
+    "filled_store_stream": """SELECT organization, mono_multi_serial, count(*) AS holdings, count(DISTINCT uuid) AS uuids,
+        count(*) AS loaded_lines, count(DISTINCT ocn) AS loaded_ocns FROM holding_rows GROUP BY 1, 2""",
     "scrub_rejects": """SELECT file_name, reason, count(*) AS n_lines FROM (
         SELECT organization || '_' || kind || '_full_20240101.tsv' AS file_name, concat_ws(' // ',
           CASE WHEN too_wide THEN 'Wrong number of cols (expected ' || asked || ', got ' || width || ')' END,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -17,7 +18,7 @@ from shelfcount.operators import (changes, clusters, concordance, counts, dimens
 from shelfcount.plans import (cost, deposit, estimate, load, lookups, non_current, overlap_report,
                               synthetic, trends)
 from shelfcount.session import shared_folder
-from shelfcount.sources import files, marcxml, sinks, submissions, tables
+from shelfcount.sources import files, marcxml, sinks, slices, submissions, tables
 from shelfcount.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -607,6 +608,78 @@ def scrub_and_load(t):
         "file_name", "outcome", "ready_lines", "ready_ocns", "old_count", "held_lines", "held_ocn_sum")
 
 
+#: How files come: suffix, encoding, what the header has around it, and the options of the writer.
+_STYLES = ((("", None, "", ""), {}), ((".gz", None, "", "\t\t"), {"compression": "gzip"}),
+           (("", None, "\ufeff", ""), {"lineSep": "\r\n"}), (("", "ISO-8859-1", "", "\t"), {}))
+
+
+def _style() -> F.Column:
+    return F.ascii(F.substring("file_name", 5, 1)) % len(_STYLES)
+
+
+def _write_files(lines: DataFrame, folder: str, styles: int = 1) -> None:
+    """Submissions as the files they come in, header first."""
+    for i, ((suffix, encoding, before, after), options) in enumerate(_STYLES[:styles]):
+        own = lines.filter(_style() == i) if styles > 1 else lines
+        heads = own.select("file_name", F.lit(-1).cast("long").alias("pos"),
+                           F.concat(F.lit(before), "header", F.lit(after)).alias("value")).distinct()
+        data = own.select("file_name", F.monotonically_increasing_id().alias("pos"), F.concat(
+            "value", F.lit("é" if encoding else "")).alias("value"))
+        sinks.write_named_files(heads.union(data), f"{folder}{i if styles > 1 else ''}", suffix, encoding, **options)
+
+
+@query
+def submission_files(t):
+    """Files as members send them (plain, gzip with empty names in the header, BOM and CRLF, Latin-1), read and scrubbed."""
+    place = _place(t, "sent")
+    _write_files(t["submission_lines"], place, len(_STYLES))
+    parts = [submissions.read_submissions(t.spark, f"{place}{i}", encoding)
+             for i, ((_, encoding, _, _), _) in enumerate(_STYLES)]
+    lines = functools.reduce(DataFrame.union, [p.lines for p in parts])
+    heads = functools.reduce(DataFrame.union, [p.heads for p in parts])
+    done = submissions.scrub_lines(submissions.Submissions(lines, heads), "2024-01-01", MAX_OCN)
+    counted = lines.groupBy("file_name").agg(
+        F.count("*").alias("data_lines"), F.count_if(F.col("value").endswith("é")).alias("accented"),
+        F.min("value").alias("first"), F.max("value").alias("last"))
+    held = done.valid.groupBy("file_name").agg(F.count("*").alias("holdings"), F.sum("ocn").alias("ocn_sum"))
+    refused = done.rejected.groupBy("file_name").agg(F.count("*").alias("refused"))
+    return counted.join(held, "file_name", "left").join(refused, "file_name", "left")
+
+
+@query
+def submission_stream(t):
+    """Deliveries of three months arrive on a stream, five files at a time, and are gated: what became of each file,
+    and what the store has of its slice."""
+    place = _place(t, "arriving")
+    arriving = t["arriving_lines"]
+    for day in ("01", "02", "03"):
+        _write_files(arriving.filter(F.col("day") == day), f"{place}/in")
+    ingest.scrub_and_replace(
+        ingest.submission_stream(t.spark, f"{place}/in", 5), f"{place}/store", f"{place}/ledger", f"{place}/staging",
+        f"{place}/checkpoint", "2024-04-01", MAX_OCN, load.Limits(0.4, 0.4)).awaitTermination()
+    outcomes = load.settled(t.spark.read.parquet(f"{place}/staging/batch=*/outcomes"))
+    held = t.spark.read.parquet(f"{place}/store").groupBy(*load.SLICE).agg(
+        F.count("*").alias("held_lines"), F.sum("ocn").alias("held_ocn_sum"))
+    return outcomes.join(held, load.SLICE, "left").select(
+        "file_name", "outcome", "ready_lines", "ready_ocns", "held_lines", "held_ocn_sum")
+
+
+@query
+def filled_store_stream(t):
+    """Holdings arrive in four batches, every one repeating rows of the store and of the batch before it."""
+    place = _place(t, "filled")
+    rows = t["holding_rows"]
+    part = F.pmod(F.xxhash64("uuid"), F.lit(5))
+    sinks.write_store(rows.filter(part == 0), f"{place}/store")
+    for i in range(1, 5):
+        rows.filter(part.isin(0, i, i - 1)).coalesce(1).write.mode("append").parquet(f"{place}/in")
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/in")
+    ingest.insert_new(stream, f"{place}/store", f"{place}/checkpoint").awaitTermination()
+    sizes = slices.sizes(slices.Kept.of(t.spark, f"{place}/store").summary())
+    return t.spark.read.parquet(f"{place}/store").groupBy(*load.SLICE).agg(
+        F.count("*").alias("holdings"), F.count_distinct("uuid").alias("uuids")).join(sizes, load.SLICE)
+
+
 @query
 def scrub_file(t):
     return _scrubbed(t).valid.groupBy(

@@ -166,6 +166,22 @@ VIEWS = {
                CASE WHEN sender = 'org-b' THEN substr(header, 6) ELSE header END AS header, value, sender,
                CASE WHEN sender = 'org-b' THEN 7 ELSE form END AS form, n, too_wide
         FROM {submission_lines} WHERE length(value) % 7 <> 0""",
+    "arriving_lines": """
+        SELECT s.sender || '_' || s.kind || '_full_2024' || d.day || '01.tsv' AS file_name, s.sender, s.kind, d.day,
+               CASE WHEN d.day = '03' AND s.sender = 'org-z' AND s.kind = 'ser' THEN 'local_id'
+                    ELSE 'OCLC' || chr(9) || 'local_id' END AS header,
+               CASE WHEN d.day = '03' AND s.sender = 'org-z' AND s.kind = 'ser' THEN raw_local_id
+                    ELSE raw_ocn || chr(9) || raw_local_id || CASE WHEN too_wide THEN chr(9) ELSE '' END END AS value,
+               form, n, too_wide
+        FROM (SELECT *, CASE WHEN letter < 'm' THEN 'org-a' ELSE 'org-z' END AS sender,
+                     CASE WHEN t = 4 THEN 'ser' ELSE 'mix' END AS kind FROM {submitted}) s,
+             (SELECT '01' AS day UNION ALL SELECT '02' UNION ALL SELECT '03') d
+        WHERE d.day = '01' OR (d.day = '02' AND l_orderkey % 10 < CASE sender WHEN 'org-a' THEN 4 ELSE 7 END)
+           OR (d.day = '03' AND l_orderkey % 10 < 9)
+        UNION ALL
+        SELECT 'org-a_spm_full_20240301.tsv', 'org-a', 'spm', '03', 'OCLC' || chr(9) || 'local_id',
+               raw_ocn || chr(9) || raw_local_id, form, n, false
+        FROM {submitted} WHERE t = 2""",
     "enum_texts": """
         SELECT l_orderkey % 40 AS shape, CASE l_orderkey % 40
                WHEN 0 THEN 'v.3' WHEN 1 THEN 'v.3 1987' WHEN 2 THEN 'vol 3, 1987' WHEN 3 THEN 'bd.2:t.4'

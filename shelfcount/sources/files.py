@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcount.functions.enum_chron import with_enum_chron
+from shelfcount.operators.concordance import require_well_formed
 from shelfcount.schemas import CONCORDANCE, FREQUENCY_JSON, HOLDING, LEGACY_ITEM_TYPES
-from shelfcount.session import materialize
 
 LEGACY_COLUMNS = ("ocn", "local_id", "organization", "status", "condition", "date_received",
                   "enum_chron", "mono_multi_serial", "issn", "n_enum", "n_chron", "gov_doc", "uuid")
@@ -37,18 +42,41 @@ def read_lines(spark: SparkSession, path: str | list[str], encoding: str | None
     return raw_lines(spark, path, encoding).select(file_name(), "value")
 
 
+def with_heads(lines: DataFrame) -> DataFrame:
+    """Lines (path, start, value, ...) as they were scanned, with ``head``: whether each is the first of its file.
+
+    A task reads the lines of a split in order, and may read several splits. The first line of the split at offset 0
+    is the header: where path or offset differ from the line before. Seen in passing, so nothing is numbered, sorted
+    or copied. Has to come before anything that moves lines.
+    """
+    names = lines.columns
+    at_path, at_start = names.index("path"), names.index("start")
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            path, start = batch.column(at_path), batch.column(at_start)
+            new = np.ones(batch.num_rows, bool)
+            new[1:] = (pc.not_equal(path[1:], path[:-1]).to_numpy(zero_copy_only=False)
+                       | pc.not_equal(start[1:], start[:-1]).to_numpy(zero_copy_only=False))
+            new[0] = (path[0].as_py(), start[0].as_py()) != before
+            before = path[-1].as_py(), start[-1].as_py()
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(new & (start.to_numpy(zero_copy_only=False) == 0))], names=[*names, "head"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in lines.schema.fields)
+    return lines.mapInArrow(mark, f"{fields}, head boolean")
+
+
 def read_data_lines(spark: SparkSession, path: str | list[str], pattern: str,
                     encoding: str | None = None) -> DataFrame:
     """(file_name, value) without the first line of each file where it matches; later ones that match are data."""
-    found = raw_lines(spark, path, encoding).select(
-        file_name(), F.col("_metadata.file_path").alias("__path"),
-        F.col("_metadata.file_block_start").alias("__start"), "value").withColumn(
-        "__pos", F.monotonically_increasing_id())
-    found = materialize(found, "lines")  # numbered once
-    heads = (found.filter("__start = 0").groupBy("__path").agg(F.min("__pos").alias("__pos"))
-             .join(found.select("__path", "__pos", "value"), ["__path", "__pos"])
-             .filter(F.col("value").rlike(pattern)).select("__path", "__pos"))
-    return found.join(heads, ["__path", "__pos"], "left_anti").select("file_name", "value")
+    found = with_heads(raw_lines(spark, path, encoding).select(
+        file_name(), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        "value"))
+    return found.filter(~(F.col("head") & F.col("value").rlike(pattern))).select("file_name", "value")
 
 
 def holdings_from_legacy(lines: DataFrame) -> DataFrame:
@@ -104,8 +132,11 @@ def read_holdings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_concordance(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    pairs = spark.read.schema(CONCORDANCE).csv(path, sep="\t")
-    return pairs.filter(F.col("variant").isNotNull() & F.col("canonical").isNotNull())
+    """Pairs of a file; one with a line that is not number, tab, number is refused."""
+    lines = spark.read.text(path)
+    require_well_formed(lines)
+    cells = F.split("value", "\t")
+    return lines.select(*[F.get(cells, F.lit(i)).cast(f.dataType).alias(f.name) for i, f in enumerate(CONCORDANCE.fields)])
 
 
 def read_keyed(spark: SparkSession, path: str, schema: T.StructType, delimiter: str = "\t") -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +48,29 @@ def write_text(lines: DataFrame, path: str) -> None:
     lines.write.mode("overwrite").text(path)
 
 
+def write_named_files(lines: DataFrame, folder: str, suffix: str = "", encoding: str | None = None, **options: str) -> None:
+    """(file_name, pos, value) as one file for each name, lines in order of pos, added to the folder.
+
+    For deliveries to others, who want a file of a certain name; each has to fit in one task. Files appear when they
+    are whole. ``options`` are those of the text writer.
+    """
+    spark, part = lines.sparkSession, f"{folder}_parts-{uuid.uuid4().hex}"
+    writer = (lines.repartition("file_name").sortWithinPartitions("file_name", "pos").select("file_name", "value")
+              .write.partitionBy("file_name").options(**options))
+    if encoding is None:
+        writer.text(part)
+    else:
+        writer.csv(part, encoding=encoding, sep="\u0001", quote="", escape="", emptyValue="", nullValue="",
+                   ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(part).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(folder))
+    for found in system.globStatus(path(f"{part}/file_name=*/part-*")):
+        name = unquote(found.getPath().getParent().getName()[len("file_name="):])
+        system.rename(found.getPath(), path(f"{folder}/{name}{suffix}"))
+    system.delete(path(part), True)
+
+
 def write_frequency_json(nested: DataFrame, path: str) -> None:
     """One JSON object in one file; see ``frequency.as_json``."""
     nested.select("value").write.mode("overwrite").text(path)

@@ -160,7 +160,7 @@ def test_stream_of_submissions(spark, tmp_path, per_batch):
     def run():
         stream = ingest.submission_stream(spark, str(folder), per_batch)
         ingest.scrub_and_replace(stream, store, ledger, str(tmp_path / "staging"), str(tmp_path / "checkpoint"),
-                                 "2024-01-01", 10**9).awaitTermination()
+                                 "2024-01-01", 10**9, load.Limits(float("inf"), float("inf"))).awaitTermination()
         found = spark.read.parquet(store).groupBy("organization", "mono_multi_serial").agg(F.count("*"), F.max("ocn"))
         return rows(found)
 

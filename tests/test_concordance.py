@@ -120,13 +120,16 @@ def test_apply_and_load(spark, frame, tmp_path):
     current = graph(frame, (1, 2), (3, 4))
     sinks.write_pairs(graph(frame, (5, 6), (1, 2)), str(tmp_path / "comm_diff_2024-05-01.txt.adds"))
     sinks.write_pairs(graph(frame, (3, 4)), str(tmp_path / "comm_diff_2024-05-01.txt.deletes"))
-    (tmp_path / "full.txt").write_text("8\t9\n\n")
+    (tmp_path / "full.txt").write_text("8\t9\n")
+    (tmp_path / "bad.txt").write_text("8\t9\n8\t9\t10\n\nx\t1\n")
 
     def read(path):
         return files.read_concordance(spark, path)
 
     assert rows(c.load(current, "20240501", read, str(tmp_path))) == [(1, 2), (5, 6)]
     assert rows(c.load(current, str(tmp_path / "full.txt"), read, str(tmp_path))) == [(8, 9)]
+    with pytest.raises(ValueError, match="3 line"):
+        read(str(tmp_path / "bad.txt"))
     assert c.is_delta("20240501") and not c.is_delta("2024050") and not c.is_delta("full.txt")
 
 
