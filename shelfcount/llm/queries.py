@@ -51,12 +51,13 @@ def captures_of(pages: DataFrame) -> DataFrame:
 
 
 def changes_of(pages: DataFrame) -> DataFrame:
-    """A dated change of a list for every page: its host, its domain, or its host and first path part."""
+    """A dated change of a list for every page: its host, its domain, or its host and up to six path parts."""
     n = F.col("page_id")
     name, parts = url_lists.host(F.col("url")), F.filter(F.split(url_lists.path(F.col("url")), "/"), lambda p: p != "")
     entry = (F.when(F.pmod(n, F.lit(3)) == 0, name)
              .when(F.pmod(n, F.lit(3)) == 1, F.regexp_replace(name, r"^[^.]+\.", ""))
-             .otherwise(F.concat(name, F.lit("/"), F.coalesce(F.get(parts, F.lit(0)), F.lit("")))))
+             .otherwise(F.concat(name, F.lit("/"), F.array_join(
+                 F.slice(parts, F.lit(1), (F.pmod(F.floor(n / 3), F.lit(6)) + 1).cast("int")), "/"))))
     return pages.select(
         F.concat(F.lit("list"), F.pmod(F.floor(n / 3), F.lit(4)).cast("string")).alias("list"), entry.alias("entry"),
         F.date_add(F.lit("2023-10-01").cast("date"), F.pmod(n * 104729, F.lit(800)).cast("int")).alias("day"),
@@ -124,7 +125,7 @@ WITH p AS (
 c AS (
   SELECT 'list' || CAST(page_id // 3 % 4 AS VARCHAR) AS list,
          CASE page_id % 3 WHEN 0 THEN host WHEN 1 THEN regexp_replace(host, '^[^.]+\.', '')
-              ELSE host || '/' || coalesce(parts[1], '') END AS entry,
+              ELSE host || '/' || array_to_string(parts[1:page_id // 3 % 6 + 1], '/') END AS entry,
          CAST(DATE '2023-10-01' + CAST(page_id * 104729 % 800 AS INTEGER) AS DATE) AS day,
          page_id // 7 % 3 <> 0 AS added
   FROM p),
@@ -134,7 +135,7 @@ n AS (
   SELECT page_id, fetched, unnest(list_distinct(
            list_transform(range(1, greatest(len(string_split(host, '.')), 2)),
                           lambda i: array_to_string(string_split(host, '.')[i:], '.'))
-           || list_transform(range(1, least(len(parts), 3) + 1), lambda i: host || '/' || array_to_string(parts[:i], '/'))
+           || list_transform(range(1, len(parts) + 1), lambda i: host || '/' || array_to_string(parts[:i], '/'))
          )) AS entry
   FROM p WHERE host <> ''),
 h AS (

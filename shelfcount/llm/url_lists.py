@@ -12,6 +12,8 @@ The counts that come out are aggregated by partial sums. No cross join, no windo
 
 Captures without URL or fetch time are listed nowhere. Changes without entry, list or day are left out; of
 several changes of an entry on one day, a removal counts. Repeated captures give equal rows.
+
+Empty captures give no rows; without changes nothing is listed.
 """
 
 from __future__ import annotations
@@ -19,8 +21,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Path parts of a URL that an entry may name.
-DEPTH = 3
 SALT = 8
 
 
@@ -34,12 +34,12 @@ def path(url: Column) -> Column:
 
 
 def names(url: Column) -> Column:
-    """Entries that could list the URL: its host, the domains above it, and host and leading path parts."""
+    """Entries that could list the URL: its host, the domains above it, and host and every leading part of its path."""
     labels = F.split(host(url), r"\.")
     parts = F.filter(F.split(path(url), "/"), lambda p: p != "")
     domains = F.transform(F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    prefixes = F.transform(F.filter(F.sequence(F.lit(1), F.lit(DEPTH)), lambda i: i <= F.size(parts)),
+    prefixes = F.transform(F.filter(F.sequence(F.lit(1), F.greatest(F.size(parts), F.lit(1))), lambda i: i <= F.size(parts)),
                            lambda i: F.concat(host(url), F.lit("/"), F.array_join(F.slice(parts, 1, i), "/")))
     return F.when(host(url) != "", F.array_distinct(F.concat(domains, prefixes)))
 

@@ -238,10 +238,10 @@ def test_every_known_sentence_is_found(documents):
 def test_url_lists_against_brute_force(spark):
     r = random.Random(3)
     day = lambda n: datetime.date(2024, 1, 1) + datetime.timedelta(n)
-    names = ["a.b.org", "b.org", "a.b.org/x", "a.b.org/x/y", "c.net", "org", "x.c.net/q"]
+    names = ["a.b.org", "b.org", "a.b.org/x", "a.b.org/x/y", "c.net", "org", "x.c.net/q", "a.b.org/x/y/z/1/2/3", "a.b.org/x/y/z/1"]
     changes = [(f"l{r.randint(0, 1)}", r.choice(names), day(r.randint(0, 200)), r.random() < .6) for _ in range(150)]
     changes += [(None, "b.org", day(1), True), ("l0", None, day(1), True), ("l0", "b.org", None, True)]
-    urls = ["http://a.b.org/x/y/z?q=/w", "https://u:p@A.B.org:80/x", "http://c.net", "ftp://x.c.net/q#f", "no url", "", None,
+    urls = ["http://a.b.org/x/y/z?q=/w", "http://a.b.org/x/y/z/1/2/3", "http://a.b.org/x//y/z/1/", "https://u:p@A.B.org:80/x", "http://c.net", "ftp://x.c.net/q#f", "no url", "", None,
             "http://d.com/x"]
     captures = [(i, r.choice(urls), day(r.randint(0, 240))) for i in range(300)] + [(None, urls[0], day(9)), (4, None, None),
                                                                                    (5, urls[0], None)]
@@ -260,7 +260,7 @@ def test_url_lists_against_brute_force(spark):
         host, path = m[1].lower(), re.match(r"[^:]+://[^/?#]*([^?#]*)", url)[1]
         labels, parts = host.split("."), [p for p in path.split("/") if p]
         return {".".join(labels[i:]) for i in range(max(len(labels) - 1, 1))} | {
-            host + "/" + "/".join(parts[:i]) for i in range(1, min(len(parts), 3) + 1)}
+            host + "/" + "/".join(parts[:i]) for i in range(1, len(parts) + 1)}
 
     want = []
     for key, url, at in captures:
@@ -271,6 +271,15 @@ def test_url_lists_against_brute_force(spark):
     assert by_id(got, "page_id", "url", "fetched", "n_entries", "lists") == sorted(want, key=str)
 
 
+def test_url_lists_of_nothing(spark):
+    captures = spark.createDataFrame([(1, "http://a.org/x", datetime.date(2024, 1, 1))], "page_id long, url string, fetched date")
+    changes = spark.createDataFrame([("l", "a.org", datetime.date(2023, 1, 1), True)],
+                                    "list string, entry string, day date, added boolean")
+    assert url_lists.evaluate(captures.filter("false"), changes).count() == 0
+    assert [tuple(r)[3:] for r in url_lists.evaluate(captures, changes.filter("false")).collect()] == [(0, "")]
+    assert [tuple(r)[3:] for r in url_lists.evaluate(captures, changes).collect()] == [(1, "l")]
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_queries_equal_their_sql(spark, name):
     folder = "/root/testdata/sf0.001"
