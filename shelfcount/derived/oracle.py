@@ -150,6 +150,9 @@ PARTS |= {
     "on_cycle": "SELECT ocn FROM reach WHERE ocn = seen",
     "cyclic": """SELECT c.ocn, c.component FROM comp c WHERE c.ocn IN (SELECT ocn FROM on_cycle
                  UNION SELECT r.seen FROM reach r JOIN on_cycle o ON o.ocn = r.ocn)""",
+    "ties": """SELECT a.ocn AS a, b.ocn AS b FROM bridge a JOIN bridge b USING (item_id)
+               UNION SELECT variant, canonical FROM concordance UNION SELECT canonical, variant FROM concordance""",
+    "tied_walk": "SELECT a AS ocn, a AS seen FROM ties UNION SELECT w.ocn, e.b FROM tied_walk w JOIN ties e ON e.a = w.seen",
     "terminal": "SELECT DISTINCT canonical AS ocn FROM edges WHERE canonical NOT IN (SELECT variant FROM edges)",
     "ends": """SELECT r.ocn AS variant, min(r.seen) AS lo, max(r.seen) AS hi FROM reach r
                WHERE r.seen IN (SELECT ocn FROM terminal) GROUP BY 1""",
@@ -225,7 +228,7 @@ PARTS |= {
             CASE WHEN us THEN '1' ELSE '0' END AS govdoc FROM marc_parts""",
 }
 
-_RECURSIVE = {"walk", "reach"}
+_RECURSIVE = {"walk", "reach", "tied_walk"}
 
 
 def _with(query: str) -> str:
@@ -338,7 +341,7 @@ _QUERIES = {
     "orgs_without_enum_match": "SELECT cluster_id, organization FROM r_nomatch",
     "empty_clusters": """SELECT cluster_id FROM (SELECT 'x.' || (ocn % 997) AS cluster_id, ocn * 3 AS ocn FROM ocn_list)
         GROUP BY 1 HAVING NOT bool_or(ocn IN (SELECT ocn FROM bridge UNION
-          SELECT ocn FROM h WHERE organization <> 'central' UNION SELECT variant FROM concordance
+          SELECT ocn FROM h UNION SELECT variant FROM concordance
           UNION SELECT canonical FROM concordance))""",
     "inspect_cluster": """SELECT cluster_id, part, count(*) AS members, min(key) AS first_key, max(key) AS last_key FROM (
         SELECT cluster_id, 'ocn' AS part, CAST(ocn AS VARCHAR) AS key FROM record_search
@@ -421,7 +424,7 @@ _QUERIES = {
     "item_held_by_brlm": _HELD_BY.format(extra="AND o.access_count > 0"),
     "record_held_by": """SELECT item_id, string_agg(organization, ',' ORDER BY organization) AS organizations
         FROM r_ov WHERE item_id IN (SELECT item_id FROM item_rows WHERE bib_key IN (SELECT bib_key FROM item_rows
-          JOIN requests USING (item_id) WHERE organization < 'NATION_2')) GROUP BY 1""",
+          JOIN requests USING (item_id))) GROUP BY 1""",
     "members": "SELECT inst_id FROM organizations WHERE status",
     "mapto_organizations": f"""SELECT organization, {_MAPTO.format(c='organization')} AS mapto
         FROM (SELECT DISTINCT organization FROM requests)""",
@@ -446,7 +449,7 @@ _QUERIES = {
     "insert_ignore": """SELECT uuid, ocn, organization FROM reloads
         WHERE uuid NOT IN (SELECT uuid FROM holding_rows)""",
     "delete_by_uuid": """SELECT organization, count(*) AS holdings FROM holding_rows
-        WHERE organization NOT IN ('NATION_2', 'NATION_11') OR ocn % 4 = 0 GROUP BY 1""",
+        WHERE ocn % 3 <> 0 OR ocn % 4 = 0 GROUP BY 1""",
     "dedupe_holdings": """SELECT min(uuid) AS uuid, ocn, organization FROM h GROUP BY ocn, organization, local_id, status,
         condition, enum_chron, mono_multi_serial, gov_doc_flag""",
     "migrate_item_types": "SELECT organization, mono_multi_serial, count(*) AS holdings FROM h GROUP BY ALL",
@@ -473,7 +476,12 @@ _QUERIES = {
     "new_files": """SELECT DISTINCT file_name AS name FROM submission_lines WHERE file_name NOT LIKE '%_mon_%'
         AND file_name NOT LIKE 'org-a%' AND file_name NOT LIKE 'org-b%' AND file_name NOT LIKE 'org-c%'
         AND file_name NOT LIKE 'org-d%'""",
-    "sorted_split": "SELECT ocn, count(*) AS holdings FROM holding_rows GROUP BY 1",
+    "sorted_split": """SELECT part, CAST(sum(n) AS BIGINT) AS holdings, min(ocn) AS low, max(ocn) AS high,
+        CAST(1 AS BIGINT) AS partitions FROM (
+          SELECT ocn, n, CAST(floor((sum(n) OVER (ORDER BY ocn) - n / 2) * 16 / (SELECT count(*) FROM holding_rows)) AS INTEGER)
+            AS part FROM (SELECT ocn, count(*) AS n FROM holding_rows GROUP BY 1)) GROUP BY 1""",
+    "transitive_clusters": """SELECT ocn, min(seen) AS component FROM tied_walk GROUP BY 1""",
+    "frequency_incremental": "SELECT * FROM freq",
     "scrub_ocn": """SELECT l_orderkey, l_linenumber, raw_ocn, CASE form WHEN 3 THEN raw_ocn WHEN 0 THEN raw_ocn
           WHEN 1 THEN CAST(n AS VARCHAR) WHEN 2 THEN CAST(n AS VARCHAR) WHEN 4 THEN CAST(n AS VARCHAR)
           WHEN 12 THEN CAST(n AS VARCHAR) WHEN 13 THEN CAST(n AS VARCHAR) ELSE '' END AS ocns,
@@ -509,6 +517,36 @@ _QUERIES = {
         LEFT JOIN sent_files h ON h.sender = f.sender AND h.kind = f.kind AND h.ready_lines > 0
           AND h.nr = CASE WHEN p.pass3 THEN 3 WHEN p.pass2 THEN 2 ELSE 1 END
         WHERE f.nr > 1""",
+    "item_table_rows": """SELECT item_id, CASE WHEN bib_key % 7 = 0 THEN 0 ELSE bib_key END AS bib_key, rights,
+        CASE WHEN bib_key % 2 = 0 THEN 'allow' ELSE 'deny' END AS access, bib_fmt, n_enum,
+        CASE bib_key % 4 WHEN 0 THEN '' WHEN 1 THEN '' || k WHEN 2 THEN k || ',' || (k + 1) ELSE '0' END AS ocns FROM ci""",
+    "headed_holdings_files": "SELECT uuid, ocn, organization, mono_multi_serial, date_received FROM holding_rows",
+    "loaded_types": "SELECT DISTINCT organization, mono_multi_serial FROM holding_rows",
+    "first_lines": "SELECT CAST(o_orderkey AS VARCHAR) AS value FROM orders ORDER BY o_orderkey LIMIT 10",
+    "newest_file": """SELECT max('nation4_mon_' || strftime(produced, '%Y%m%d') || '_' || filename || '.ndj') AS name
+        FROM loaded_files WHERE source = 'NATION_4' AND type = 'holding'""",
+    "concordance_reload": "SELECT DISTINCT variant, canonical FROM new_concordance",
+    "malformed_lines": """SELECT count(*) AS malformed FROM orders
+        WHERE o_orderkey % 5 = 0 OR o_orderkey % 7 = 0 OR o_custkey % 11 = 0""",
+    "concordance_adjacency": """SELECT variant, string_agg(CAST(canonical AS VARCHAR), ',' ORDER BY canonical) AS canonicals
+        FROM raw_concordance GROUP BY 1""",
+    "uuid_lines": """SELECT file_name, count(*) AS lines, count(*) AS uuids, count(*) AS well_formed
+        FROM submission_lines GROUP BY 1""",
+    "delete_listed_rows": """SELECT organization, count(*) AS holdings, CAST(sum(ocn) AS BIGINT) AS ocn_sum FROM holding_rows h
+        WHERE NOT EXISTS (SELECT 1 FROM ocn_list l WHERE l.ocn = h.ocn AND h.organization = 'NATION_' || (l.ocn % 25))
+        GROUP BY 1""",
+    "holding_dates": """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 4 < 3 THEN CAST(l_shipdate AS DATE) END
+        AS received FROM lineitem""",
+    "header_checks": """SELECT DISTINCT 'org-' || letter || '_' || kind || '_full_20240101.tsv' AS file_name,
+        'org-' || letter AS organization, kind AS mono_multi_serial, CASE v WHEN 0 THEN 2 WHEN 4 THEN 2 ELSE 3 END AS expected,
+        concat_ws(',', CASE WHEN v = 4 THEN 'oclc' END, CASE WHEN kind = 'mpm' AND v <> 2 THEN 'enum_chron' END) AS missing,
+        'Column not allowed: ' || CASE v WHEN 1 THEN CASE WHEN kind IN ('mix', 'ser') THEN 'status' END
+          WHEN 2 THEN CASE WHEN kind IN ('mix', 'spm', 'ser') THEN 'enum_chron' END
+          WHEN 3 THEN CASE WHEN kind <> 'ser' THEN 'issn' END END AS fault,
+        CASE v WHEN 1 THEN 2 WHEN 4 THEN NULL ELSE 0 END AS at_oclc, CASE v WHEN 1 THEN 0 WHEN 3 THEN 2 WHEN 4 THEN 0 ELSE 1 END
+          AS at_local_id
+        FROM (SELECT substr('abcdefghijklmnopqrstuvwxy', CAST(l_suppkey % 25 AS INT) + 1, 1) AS letter, l_suppkey % 5 AS v,
+                     ['mix', 'mon', 'spm', 'mpm', 'ser'][CAST(l_linenumber % 5 AS INT) + 1] AS kind FROM lineitem)""",
     "submission_files": """SELECT file_name || CASE ascii(letter) % 4 WHEN 1 THEN '.gz' ELSE '' END AS file_name,
         count(*) AS data_lines, count(*) FILTER (ascii(letter) % 4 = 3) AS accented,
         min(value || CASE ascii(letter) % 4 WHEN 3 THEN 'é' ELSE '' END) AS first,
@@ -622,4 +660,22 @@ PARTS["c2"] = re.sub(r"\bs1\b", "c1", PARTS["s2"])
 PARTS["c0"] = "SELECT ocn AS seed, ocn FROM ocn_list"
 PARTS = {n: PARTS[n] for n in (*[p for p in PARTS if p not in ("c0", "c1", "c2", "c3")], "c0", "c1", "c2", "c3")}
 
+_QUERIES["estimate_text"] = """SELECT printf('Total Estimated IC Cost: $%.2f', estimated_ic_cost) AS value FROM estimated
+    UNION ALL SELECT printf('In all, we received %d distinct OCLC numbers.', ocns_total) FROM estimated
+    UNION ALL SELECT printf('Of those distinct OCLC numbers, %d (%.1f%%) match items in', ocns_matched, pct_ocns_matched) FROM estimated
+    UNION ALL SELECT printf('the library, corresponding to %d the library items.', items_matched) FROM estimated
+    UNION ALL SELECT printf('Of those items, %d (%.1f%%) are in the public domain,', items_pd, pct_items_pd) FROM estimated
+    UNION ALL SELECT printf('%d (%.1f%%) are in copyright.', items_ic, pct_items_ic) FROM estimated"""
+PARTS["estimated"] = _QUERIES["estimate_new_member"]
+_QUERIES["cost_from_tables"] = _QUERIES["cost_by_member"]
+
 ORACLE: dict[str, str] = {name: _with(text) for name, text in _QUERIES.items()}
+
+# the whole table again, over what is held after the load
+_RELOADS = f"({PARTS['reloads']}) reloads"
+_LATER = f"""(SELECT * FROM holding_rows WHERE (organization, mono_multi_serial) NOT IN (
+                  SELECT (organization, mono_multi_serial) FROM {_RELOADS})
+             UNION ALL SELECT * FROM {_RELOADS} WHERE uuid NOT IN (SELECT uuid FROM holding_rows WHERE
+                  (organization, mono_multi_serial) NOT IN (SELECT (organization, mono_multi_serial) FROM {_RELOADS})))"""
+ORACLE["frequency_incremental"] = ORACLE["frequency_incremental"].replace(
+    PARTS["h"], PARTS["h"].replace("FROM holding_rows", f"FROM {_LATER}"))

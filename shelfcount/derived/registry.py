@@ -15,9 +15,9 @@ from shelfcount.functions import marc, rights, scrub
 from shelfcount.functions.enum_chron import with_enum_chron
 from shelfcount.operators import (changes, clusters, concordance, counts, dimensions, formats,
                                   frequency, overlap)
-from shelfcount.plans import (cost, deposit, estimate, load, lookups, non_current, overlap_report,
+from shelfcount.plans import (cost, deposit, estimate, incremental, load, lookups, non_current, overlap_report,
                               synthetic, trends)
-from shelfcount.session import shared_folder
+from shelfcount.session import materialize, shared_folder
 from shelfcount.sources import files, marcxml, sinks, slices, submissions, tables
 from shelfcount.streaming import ingest
 
@@ -160,6 +160,11 @@ def cluster_ocns(t):
     return home.join(ocns, "cluster_id").select(F.col("seed").cast("bigint").alias("seed"), "ocn")
 
 
+@query
+def transitive_clusters(t):
+    return clusters.transitive_clusters(t.bridge, t.concordance)
+
+
 @query
 def record_cluster_ocns(t):
     """OCNs of records written the way the catalogue exports them, then parsed back."""
@@ -224,8 +229,7 @@ def orgs_without_enum_match(t):
 def empty_clusters(t):
     listed = t["ocn_list"].select(F.concat(F.lit("x."), F.col("ocn") % 997).alias("cluster_id"),
                                   (F.col("ocn") * 3).alias("ocn"))
-    held = t.holdings.filter("organization != 'central'")
-    return clusters.empty_clusters(listed, t.bridge, t.concordance, held)
+    return clusters.empty_clusters(listed, t.bridge, t.concordance, t.holdings)
 
 
 @query
@@ -293,6 +297,17 @@ def frequency_table(t):
     return _frequencies(t)
 
 
+@query
+def frequency_incremental(t):
+    """The table of before, brought up to date after slices were replaced, from what changed."""
+    before = t.holdings
+    after = materialize(with_enum_chron(changes.replace_slice(t["holding_rows"], t["reloads"])), "after")
+    slices_of = t["reloads"].select(*load.SLICE).distinct()
+    changed = incremental.changed_ocns(*[h.join(slices_of, load.SLICE, "left_semi") for h in (before, after)])
+    return incremental.updated(_frequencies(t), incremental.frequency_change(
+        t.items, t.search, before, after, changed, t.organizations))
+
+
 @query
 def frequency_histogram(t):
     return frequency.histogram(_frequencies(t))
@@ -336,6 +351,12 @@ def estimate_new_member(t):
                              TARGET_COST).withColumn("h_share", F.round("h_share", 6))
 
 
+@query
+def estimate_text(t):
+    return estimate.as_text(estimate.estimate(t["ocn_list"], t.items, t.search, t.holdings, t.organizations, TARGET_COST),
+                            "the library")
+
+
 # --- reports and lookups -----------------------------------------------------
 
 @query
@@ -398,7 +419,7 @@ def item_held_by_brlm(t):
 
 @query
 def record_held_by(t):
-    asked = t.items.join(t["requests"].filter("organization < 'NATION_2'"), "item_id", "left_semi").select("cluster_id")
+    asked = t.items.join(t["requests"], "item_id", "left_semi").select("cluster_id")
     return _joined(lookups.record_held_by(asked, t.items, t.search, t.holdings))
 
 
@@ -483,7 +504,7 @@ def insert_ignore(t):
 
 @query
 def delete_by_uuid(t):
-    lines = t["holding_rows"].filter("organization in ('NATION_2', 'NATION_11')").select(
+    lines = t["holding_rows"].filter("ocn % 3 = 0").select(
         F.concat_ws("\t", F.when(F.col("ocn") % 4 == 0, F.lit("none")).otherwise(F.col("ocn").cast("string")),
                     "organization", "uuid").alias("value"))
     return changes.delete_by_uuid(t["holding_rows"], changes.valid_deletions(lines)).groupBy(
@@ -538,8 +559,11 @@ def new_files(t):
 
 @query
 def sorted_split(t):
+    """Sixteen parts: what each has, and that a partition is one part."""
     parts = sinks.sorted_split(t["holding_rows"].select("uuid", "ocn"), 16)
-    return parts.groupBy("ocn").agg(F.count("*").alias("holdings"))
+    return parts.withColumn("partition", F.spark_partition_id()).groupBy("part").agg(
+        F.count("*").alias("holdings"), F.min("ocn").alias("low"), F.max("ocn").alias("high"),
+        F.count_distinct("partition").alias("partitions"))
 
 
 # --- scrub -------------------------------------------------------------------
@@ -925,6 +949,128 @@ def what_if_organizations(t):
     return every.select("inst_id", "weight").join(wrong, "inst_id", "left")
 
 
+@query
+def item_table_rows(t):
+    """Rows of the flat item table to items."""
+    rows = t["item_rows"].select(
+        F.col("item_id").alias("htid"), F.when(F.col("bib_key") % 7 == 0, "none").otherwise(
+            F.col("bib_key").cast("string")).alias("bib_num"), F.col("rights").alias("rights_code"),
+        (F.col("bib_key") % 2 == 0).alias("access"), "bib_fmt", F.col("enum_chron").alias("description"), "collection_code",
+        F.expr("CASE bib_key % 4 WHEN 0 THEN '' WHEN 1 THEN '' || k WHEN 2 THEN k || ',' || (k + 1) || 'x' ELSE 'x' END")
+        .alias("oclc"))
+    return tables.items_from_rows(rows).select("item_id", "bib_key", "rights", "access", "bib_fmt", "n_enum", F.array_join(
+        F.col("ocns").cast("array<string>"), ",").alias("ocns"))
+
+
+@query
+def headed_holdings_files(t):
+    """Files in the old layout, by type, some with a header."""
+    place = _place(t, "headed.tsv")
+    cells = {"gov_doc": F.col("gov_doc_flag").cast("int")}
+    given, blank = t["holding_rows"].columns, F.lit("")
+    value = F.concat_ws("\t", *[F.coalesce(cells.get(c, F.col(c) if c in given else blank).cast("string"), blank)
+                                for c in files.LEGACY_COLUMNS])
+    name = F.concat(F.lit("old_"), F.col("mono_multi_serial"), F.lit(".tsv"))
+    data = t["holding_rows"].select(name.alias("file_name"), F.monotonically_increasing_id().alias("pos"), value.alias("value"))
+    heads = data.select("file_name").distinct().filter("file_name != 'old_mix.tsv'").select(
+        "file_name", F.lit(-1).cast("long").alias("pos"), F.lit("OCN\tBIB").alias("value"))
+    sinks.write_named_files(heads.union(data), place)
+    return files.read_holdings(t.spark, place).select("uuid", "ocn", "organization", "mono_multi_serial", "date_received")
+
+
+@query
+def loaded_types(t):
+    return counts.loaded_types(t["holding_rows"])
+
+
+@query
+def first_lines(t):
+    """The first ten lines of a file."""
+    place = _place(t, "numbers.txt")
+    t["orders"].orderBy("o_orderkey").select(F.col("o_orderkey").cast("string").alias("value")).coalesce(1).write.text(place)
+    return counts.first_lines(t.spark.read.text(place), 10)
+
+
+@query
+def newest_file(t):
+    listed = t["loaded_files"].select(F.concat_ws(
+        "_", F.lower("source"), F.when(F.col("type") == "holding", "mon").otherwise("ser"),
+        F.date_format("produced", "yyyyMMdd"), F.concat("filename", F.lit(".ndj"))).alias("name"))
+    return files.newest_file(listed.withColumn("name", F.regexp_replace("name", "^nation_", "nation")), "nation4", "mon")
+
+
+@query
+def concordance_reload(t):
+    """The table after a full file was loaded."""
+    place = _place(t, "full.txt")
+    sinks.write_pairs(t["new_concordance"].union(t["new_concordance"]), place)
+    return concordance.load(t.concordance, place, lambda p: files.read_concordance(t.spark, p), "")
+
+
+@query
+def malformed_lines(t):
+    lines = t["orders"].select(F.concat(F.col("o_orderkey").cast("string"), F.when(
+        F.col("o_orderkey") % 5 == 0, " ").when(F.col("o_orderkey") % 7 == 0, "\t\t").otherwise("\t"),
+        F.col("o_custkey").cast("string"), F.when(F.col("o_custkey") % 11 == 0, "x").otherwise("")).alias("value"))
+    return concordance.malformed_lines(lines)
+
+
+@query
+def concordance_adjacency(t):
+    return concordance.adjacency(t["raw_concordance"]).select(
+        "variant", F.array_join(F.col("canonicals").cast("array<string>"), ",").alias("canonicals"))
+
+
+@query
+def uuid_lines(t):
+    """Every line with a uuid of its own, written once."""
+    place = _place(t, "uuids")
+    changes.with_uuid(t["submission_lines"].select("file_name", "value")).write.json(place)
+    back = t.spark.read.schema("file_name string, value string, uuid string").json(place)
+    return back.groupBy("file_name").agg(F.count("*").alias("lines"), F.count_distinct("uuid").alias("uuids"),
+                                         F.count_if(F.col("uuid").rlike(changes.UUID)).alias("well_formed"))
+
+
+@query
+def delete_listed_rows(t):
+    listed = t["ocn_list"].select("ocn", (F.concat(F.lit("NATION_"), F.col("ocn") % 25)).alias("organization"))
+    return changes.delete_rows(t["holding_rows"], listed, ["ocn", "organization"]).groupBy("organization").agg(
+        F.count("*").alias("holdings"), F.sum("ocn").alias("ocn_sum"))
+
+
+@query
+def holding_dates(t):
+    """Dates in the forms that files have them in, and none."""
+    text = F.expr("CASE l_linenumber % 4 WHEN 0 THEN date_format(l_shipdate, 'yyyy-MM-dd') WHEN 1 THEN "
+                  "date_format(l_shipdate, 'yyyyMMdd') WHEN 2 THEN date_format(l_shipdate, 'yyyy-MM-dd 12:34:56') ELSE 'soon' END")
+    return t["lineitem"].select("l_orderkey", "l_linenumber", files.parse_date(text).alias("received"))
+
+
+@query
+def header_checks(t):
+    """Headers of every kind of file, each with columns that some kinds may not have."""
+    named = t["lineitem"].select(F.expr(
+        "'org-' || substr('abcdefghijklmnopqrstuvwxy', CAST(l_suppkey % 25 AS INT) + 1, 1) || '_' || "
+        "element_at(array('mix', 'mon', 'spm', 'mpm', 'ser'), l_linenumber % 5 + 1) || '_full_20240101.tsv'").alias("file_name"),
+        F.expr("CASE l_suppkey % 5 WHEN 0 THEN 'OCLC\tLocal_ID' WHEN 1 THEN 'local_id\tSTATUS\toclc' "
+               "WHEN 2 THEN 'oclc\tlocal _id\tenum_chron' WHEN 3 THEN 'oclc\tissn\tlocal_id' ELSE 'local_id\tgovdoc' END")
+        .alias("header")).distinct()
+    return submissions.analyse_headers(named).select(
+        "file_name", "organization", "mono_multi_serial", "expected", F.array_join("missing", ",").alias("missing"), "fault",
+        "at_oclc", "at_local_id")
+
+
+@query
+def cost_from_tables(t):
+    """The cost report from frequency tables in files and given counts."""
+    place = _place(t, "given")
+    sinks.write_frequency_json(frequency.as_json(_frequencies(t)), f"{place}/a.json")
+    table = frequency.merge(files.read_frequency_json(t.spark, file=f"{place}/a.json"))
+    report = cost.from_frequencies(table, counts.item_counts(t.items), t.organizations, TARGET_COST, CENTRAL).by_member
+    return report.select("member_id", "weight", *[
+        F.round(c, 6).alias(c) for c in ("spm", "mpm", "ser", "pd", "extra", "total")])
+
+
 # --- generated and streamed --------------------------------------------------
 
 @query

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcount.operators.concordance import components
 from shelfcount.session import materialize
 
 
@@ -158,6 +159,21 @@ def item_clusters(items: DataFrame, concordance: DataFrame,
     return placed.unionByName(by_record), ocns
 
 
+def transitive_clusters(bridge: DataFrame, concordance: DataFrame) -> DataFrame:
+    """(ocn, component): OCNs that any path over items and concordance entries connects, named by the least of them.
+
+    Unlike ``ocn_clusters``, which stops after three steps. An item gives a star, from its least OCN to its others, so
+    edges are as many as item OCNs, also for a very common OCN; components come in logarithmic rounds.
+    """
+    least = bridge.groupBy("item_id").agg(F.min("ocn").alias("canonical"))
+    stars = bridge.join(least, "item_id").select(F.col("ocn").alias("variant"), "canonical")
+    pairs = materialize(stars.union(concordance.select("variant", "canonical")).distinct(), "pairs")
+    joined = components(pairs)
+    alone = pairs.filter("variant = canonical").select(F.col("variant").alias("ocn")).distinct().join(
+        joined.select("ocn"), "ocn", "left_anti")
+    return joined.union(alone.select("ocn", F.col("ocn").alias("component")))
+
+
 def cluster_holdings(cluster_ocns: DataFrame, holdings: DataFrame) -> DataFrame:
     """(cluster_id, holding columns): every holding of a cluster."""
     return cluster_ocns.join(holdings, "ocn")

@@ -5,9 +5,11 @@ from __future__ import annotations
 import uuid
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfcount.session import materialize
+
 STORE_KEYS = ("organization", "mono_multi_serial")
 
 
@@ -101,10 +103,46 @@ def append_ledger(entry: DataFrame, path: str) -> None:
 
 
 def write_split(holdings: DataFrame, path: str, parts: int) -> None:
-    """Sorted by OCN and split into about equal ranges of it."""
-    (sorted_split(holdings, parts).write.mode("overwrite").json(path))
+    """Sorted by OCN and split into equal ranges of it, a file each."""
+    sorted_split(holdings, parts).drop("part").write.mode("overwrite").json(path)
 
 
 def sorted_split(holdings: DataFrame, parts: int) -> DataFrame:
-    """Ranges of about equal size; a much-held OCN may span several."""
-    return holdings.repartitionByRange(parts, "ocn", "uuid").sortWithinPartitions("ocn")
+    """Rows with their ``part``, sorted by OCN within it, a partition for each part.
+
+    Boundaries are exact, from the counts of all OCNs rather than a sample: a part ends where its share of the rows is
+    reached, and an OCN is never divided, so sizes differ by less than the most frequent OCN has rows.
+    """
+    return (holdings.join(ocn_parts(holdings, parts), "ocn")
+            .repartition(parts, F.element_at(F.array(*map(F.lit, _keys(holdings.sparkSession, parts))), F.col("part") + 1))
+            .sortWithinPartitions("ocn"))
+
+
+def _keys(spark: SparkSession, parts: int) -> list[int]:
+    """For each partition a number that hashes into it, so that every part gets one of its own."""
+    found: dict[int, int] = {}
+    tried = 0
+    while len(found) < parts:
+        some = spark.range(tried, tried + 40 * parts).select(F.col("id").cast("int").alias("key"))
+        for row in some.groupBy(F.pmod(F.hash("key"), F.lit(parts)).alias("at")).agg(F.min("key").alias("key")).collect():
+            found.setdefault(row["at"], row["key"])
+        tried += 40 * parts
+    return [found[i] for i in range(parts)]
+
+
+def ocn_parts(holdings: DataFrame, parts: int) -> DataFrame:
+    """(ocn, part): equal shares of the rows in the order of OCNs.
+
+    Counts are summed within ranges of OCNs and the totals of the ranges before are added; there are as many totals as
+    ranges. An OCN belongs to the part that its middle row falls into.
+    """
+    counts = materialize(holdings.groupBy("ocn").agg(F.count("*").alias("n")), "counts")
+    ordered = materialize(counts.repartitionByRange("ocn").withColumn("range", F.spark_partition_id()), "ordered")
+    totals = ordered.groupBy("range").agg(F.sum("n").alias("total"))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    starts = totals.withColumn("start", F.coalesce(F.sum("total").over(earlier), F.lit(0)))
+    whole = starts.agg(F.sum("total")).first()[0] or 1  # one number
+    within = Window.partitionBy("range").orderBy("ocn").rowsBetween(Window.unboundedPreceding, -1)
+    return ordered.join(starts, "range").select("ocn", F.floor(
+        (F.col("start") + F.coalesce(F.sum("n").over(within), F.lit(0)) + F.col("n") / 2) * parts / whole)
+        .cast("int").alias("part"))
