@@ -7,7 +7,9 @@ pages of the host support it and the elements above its tokens belong to valid c
 inside the slots of the one above, are the template. Of its slots that with the article is kept. Where pages
 mark none, the slot that holds most of the text is taken, and on each page the smallest element around it and
 all paragraphs, headings, lists, quotes, tables and preformatted blocks is kept. Menus, headers, footers,
-sidebars, notices, adverts, forms and comments are left out by element or by class name.
+sidebars, notices, adverts, forms and comments are left out by element or by class name. What a class name, or a
+form around it, would leave out is kept all the same where it is the article: a page's largest mark, or form, with more
+text than all that else is kept (labels and options are none).
 
 Texts of pages without an article mark are tokens too, told apart by their path. One that is on enough of the
 pages with its element, whatever share of the host these are, so that each layout is judged by itself, does not
@@ -62,6 +64,11 @@ LEFT_OUT_WORDS = frozenset("ad ads advert adverts advertisement advertising bann
                            "consent cookie cookies disqus footer login masthead menu modal nav navbar navigation newsletter "
                            "notice notices pager pagination popup promo promoted recommended related replies reply respond "
                            "share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+# Of them, those of comments and of other articles: no article is kept in spite of these.
+OTHERS = frozenset("ad ads advert adverts advertisement advertising comment comments disqus promo promoted recommended "
+                   "related replies reply respond sponsor sponsored".split())
+# Elements of a form whose text is no article.
+CONTROLS = frozenset("button label legend optgroup option".split())
 _QUALIFIED = frozenset("has with without no is not".split())
 
 _TOKEN = re.compile(
@@ -76,42 +83,50 @@ TEXT = 4  # kind of a text token
 
 
 class Element:
-    """An open element: its name, path, kind, whether it is in the article, or left out, and what it stands in."""
+    """An open element: its name, path, kind, whether it is in the article, or left out, and what it stands in.
 
-    __slots__ = ("name", "path", "kind", "within", "out", "above", "depth", "around")
+    ``soft``: if its kind leaves it out, it may be the article, or around it, all the same. ``article``: it says that
+    it is one, or is a form. ``order``: its place among the opening tags of the page.
+    """
+
+    __slots__ = ("name", "path", "kind", "within", "out", "above", "depth", "around", "soft", "article", "order")
 
-    def __init__(self, name: str, path: int, kind: int, within: bool, out: bool, above: Element | None = None):
+    def __init__(self, name: str, path: int, kind: int, within: bool, out: bool, above: Element | None = None,
+                 soft: bool = True, article: bool = False, order: int = 0):
         self.name, self.path, self.kind, self.within, self.out = name, path, kind, within, out
+        self.soft, self.article, self.order = soft, article, order
         self.above, self.depth = above, above.depth + 1 if above else 0
         #: container of the outermost text block that it is in
         self.around = None if above is None else above.around or (above if name in TEXTS else None)
 
 
-def _kind(name: str, said: str) -> tuple[str, int]:
-    """What tells the element apart from others of its name, and its kind."""
+def _kind(name: str, said: str) -> tuple[str, int, bool, bool]:
+    """What tells the element apart from others of its name, its kind, whether that is soft, whether it has a mark."""
     words = defaultdict(list)
     if said and "=" in said:
         for key, *values in _NAMED.findall(said):
             words[key.lower()] += "".join(values).lower().split()
     key = " ".join([name, *words["class"], *words["role"]])
     if name in ("html", "body"):
-        return key, PLAIN
+        return key, PLAIN, True, False
+    mark = name in ("article", "main") or "main" in words["role"] or "articlebody" in words["itemprop"]
+    kind, other = MARKED if mark else PLAIN, False
     for word in words["class"] + words["id"] + words["role"]:
         parts = re.split(r"[-_]+", word)
-        if parts[0] not in _QUALIFIED and len(parts) <= 3 and {word, parts[0], parts[-1]} & LEFT_OUT_WORDS:
-            return key, OUT
-        if word == "header" and name != "article":
-            return key, HEADER
-    if name == "header":
-        return key, HEADER
-    if name in LEFT_OUT:
-        return key, OUT
-    if name in ("article", "main") or "main" in words["role"] or "articlebody" in words["itemprop"]:
-        return key, MARKED
-    return key, PLAIN
-
-
-_kinds: dict[tuple[str, str], tuple[str, int]] = {}
+        said_out = {word, parts[0], parts[-1]} & LEFT_OUT_WORDS
+        if parts[0] not in _QUALIFIED and len(parts) <= 3 and said_out:
+            kind, other = OUT, other or bool(said_out & OTHERS)
+        elif word == "header" and name != "article" and kind != OUT:
+            kind = HEADER
+    if name == "header" and kind != OUT:
+        kind = HEADER
+    hard = name in LEFT_OUT and name != "form"
+    if name in LEFT_OUT and kind != HEADER:
+        kind = OUT
+    return key, kind, not (other or hard), mark
+
+
+_kinds: dict[tuple[str, str], tuple[str, int, bool, bool]] = {}
 _paths: dict[tuple[int, str], int] = {}
 
 
@@ -121,8 +136,12 @@ def _bounded(store: dict) -> dict:
     return store
 
 
-def walk(html: str) -> Iterator[tuple[str, Element, str]]:
-    """("open" | "close" | "text", innermost element, text) in page order; what is left open closes at the end."""
+def walk(html: str, spared: frozenset[int] = frozenset()) -> Iterator[tuple[str, Element, str]]:
+    """("open" | "close" | "text", innermost element, text) in page order; what is left open closes at the end.
+
+    The ``spared`` elements, by their order, are not left out for their own sake.
+    """
+    order = 0
     stack = [Element("", ROOT, PLAIN, False, False)]
     open_now: dict[str, int] = defaultdict(int)
 
@@ -152,8 +171,8 @@ def walk(html: str) -> Iterator[tuple[str, Element, str]]:
             while stack[-1].name != "p":
                 yield pop()
             yield pop()
-        elif name in ITSELF:
-            near = next((i for i in range(len(stack) - 1, max(0, len(stack) - 12), -1)
+        elif name in ITSELF and any(open_now[own] > 0 for own in ITSELF[name]):
+            near = next((i for i in range(len(stack) - 1, 0, -1)
                          if stack[i].name in ITSELF[name] or stack[i].name in SCOPES), 0)
             if near and stack[near].name in ITSELF[name]:
                 while len(stack) > near:
@@ -162,13 +181,17 @@ def walk(html: str) -> Iterator[tuple[str, Element, str]]:
         known = _kinds.get((name, m[5]))
         if known is None:
             known = _bounded(_kinds)[name, m[5]] = _kind(name, m[5])
-        key, kind = known
+        key, kind, soft, mark = known
+        order += 1
         path = _paths.get((above.path, key))
         if path is None:
             path = _bounded(_paths)[above.path, key] = xxhash.xxh64_intdigest(key, above.path) >> 1
         if kind == HEADER:
-            kind = PLAIN if above.within else OUT
-        element = Element(name, path, kind, above.within or kind == MARKED, above.out or kind == OUT, above)
+            kind = (MARKED if mark else PLAIN) if above.within else OUT
+        if order in spared:
+            kind = MARKED if mark else PLAIN
+        element = Element(name, path, kind, above.within or kind == MARKED, above.out or kind == OUT, above,
+                          soft, mark or name == "form", order)
         yield "open", element, str(above.path)
         if name not in VOID and not m[5].endswith("/"):
             stack.append(element)
@@ -177,6 +200,45 @@ def walk(html: str) -> Iterator[tuple[str, Element, str]]:
         yield pop()
 
 
+def _left_out(what: str, element: Element) -> bool:
+    """Whether an element opens that may be the article, but is left out."""
+    return what == "open" and element.out and element.article
+
+
+def spared(html: str) -> frozenset[int]:
+    """Elements that are, or are around, an article with more text than what is kept without them, by their order."""
+    found: frozenset[int] = frozenset()
+    while True:
+        kept, held = 0, defaultdict(int)
+        names: dict[int, Element] = {}
+        for what, element, text in walk(html, found):
+            if what != "text" or not text.strip() or element.name in CONTROLS:
+                continue
+            n = len(text.strip())
+            if not element.out:
+                kept += n
+                continue
+            above = element
+            chain = []
+            while above is not None and (above.kind != OUT or above.soft):
+                chain.append(above)
+                above = above.above
+            if above is None:  # in nothing that is always left out
+                for one in reversed(chain):
+                    if one.article and one.out:
+                        held[one.order] += n
+                        names[one.order] = one
+        best = max(held, key=held.get, default=None)
+        if best is None or held[best] <= kept:
+            return found
+        one, more = names[best], set()
+        while one is not None:
+            if one.kind == OUT:
+                more.add(one.order)
+            one = one.above
+        found |= more
+
+
 class Texts:
     """Blocks of text that are not left out, and the element that each begins in."""
 
@@ -219,10 +281,18 @@ def tokens_of(html: str) -> dict[int, list[int]]:
 
     The texts of a page without an article mark are in it as well, under the paths of what they stand in.
     """
+    found, marked, left = _tokens(html)
+    again = spared(html) if left and not marked else None
+    return _tokens(html, again)[0] if again else found
+
+
+def _tokens(html: str, spare: frozenset[int] = frozenset()) -> tuple[dict[int, list[int]], bool, bool]:
+    """The tokens, whether an article mark is kept, and whether one, or a form, is left out."""
     found: dict[int, list[int]] = {ROOT: [ROOT, PLAIN, 1, 0]}
     texts = Texts()
-    marked = False
-    for what, element, text in walk(html):
+    marked = left = False
+    for what, element, text in walk(html, spare):
+        left = left or _left_out(what, element)
         marked = marked or (element.within and not element.out)
         if not marked:
             texts.take(what, element, text)
@@ -236,7 +306,7 @@ def tokens_of(html: str) -> dict[int, list[int]]:
     texts.flush()
     for block, element in [] if marked else texts.found:
         found.setdefault(text_token(block, element), [element.path, TEXT, 0, 0])[2] += 1
-    return found
+    return found, marked, left
 
 
 def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,17 +443,19 @@ def _varying(found: list[tuple[str, Element]], shared: set[int]) -> tuple[list[b
     return own, [id(_container(element)) in around for _, element in found]
 
 
-def main_text(html: str, main: set[int], shared: set[int] = frozenset()) -> str:
+def main_text(html: str, main: set[int], shared: set[int] = frozenset(), spare: frozenset[int] = frozenset()) -> str:
     """Blocks of the slots in ``main``; of the page's own article, or of all of it, where it has none of them.
 
     A slot that no mark tells is widened to the smallest element around it and all text blocks of the page. Where
-    the page has no article of its own, elements with no text but the ``shared`` ones are left out.
+    the page has no article of its own, elements with no text but the ``shared`` ones are left out. What is in
+    ``spare`` is not left out (``spared``, where the page needs it and nothing is given).
     """
     texts = Texts()
     states: list[tuple[bool, bool]] = []  # of each text, whether it is in a slot, and in a mark
     deep = {"slot": 0, "mark": 0}
-    state = (False, False)
-    for what, element, text in walk(html):
+    state, left = (False, False), False
+    for what, element, text in walk(html, spare):
+        left = left or _left_out(what, element)
         if texts.take(what, element, text):
             states.append(state)
         if what == "text" or element.out or element.name in VOID:
@@ -398,6 +470,9 @@ def main_text(html: str, main: set[int], shared: set[int] = frozenset()) -> str:
     marked = [block for (block, _), (_, mark) in zip(texts.found, states) if mark]
     if marked:
         return "\n\n".join(slots or marked)
+    again = spared(html) if left and not spare else None
+    if again:
+        return main_text(html, main, shared, again)
     own, kept = _varying(texts.found, shared)
     container = None
     if any(slot and varies for (slot, _), varies in zip(states, own)):

@@ -375,3 +375,37 @@ def test_classes_nest_from_the_outside_in():
               (6, 99, 0, 3, (7, 7), 500)]
     paths, main = extract.deduce(tokens, 5)
     assert paths == [0, 1, 2, 3, 4] and main == [4]
+
+
+ARTICLE = "<h1>Head</h1>" + "".join(f"<p>Sentence {i} of the article.</p>" for i in range(6))
+ARTICLE_TEXT = ["Head", *(f"Sentence {i} of the article." for i in range(6))]
+
+
+@pytest.mark.parametrize("body", [
+    f'<main class="layout-sidebar">{ARTICLE}</main>',
+    f'<article class="social-policy">{ARTICLE}</article>',
+    f'<main class="layout-sidebar"><article class="notice">{ARTICLE}</article></main>',
+    f'<form id="aspnetForm"><article>{ARTICLE}</article></form>',
+    f'<form id="aspnetForm"><div id="text">{ARTICLE}</div><select><option>One</option></select></form>',
+    f'<div class="main-banner"><main>{ARTICLE}<div class="share">Share this</div></main></div>',
+    f'<div class="sidebar"><article class="teaser"><p>Other</p></article></div><article class="notice">{ARTICLE}</article>'])
+def test_an_article_is_not_left_out_by_its_class_or_a_form(spark, body):
+    html = page(f'<nav><p>Home</p></nav>{body}<footer><p>End</p></footer>')
+    frame = spark.createDataFrame([(i, f"https://one.example/{i}", html) for i in range(3)],
+                                  "page_id long, url string, html string")
+    assert extract.main_text(html, set()).split("\n\n") == ARTICLE_TEXT
+    assert {r.text for r in extract.extract(frame).collect()} == {"\n\n".join(ARTICLE_TEXT)}
+
+
+def test_comments_and_teasers_are_never_the_article():
+    long = "<p>Much text of somebody else, longer than the article of the page.</p>" * 9
+    text = "<div><p>The article.</p></div>"
+    for other in (f'<div class="comments"><article>{long}</article></div>', f'<article class="comment">{long}</article>',
+                  f"<aside><article>{long}</article></aside>", f'<div class="related"><main>{long}</main></div>',
+                  "<form><label>Name of the one who asks for it</label><button>Send</button></form>"):
+        assert extract.main_text(page(text + other), set()) == "The article."
+
+
+def test_list_items_close_across_many_inline_elements():
+    html = page("<article><ul><li>" + "<b>" * 20 + "one<li>two</ul></article>")
+    assert [e.depth for w, e, _ in extract.walk(html) if w == "open" and e.name == "li"] == [5, 5]
