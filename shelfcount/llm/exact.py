@@ -3,11 +3,12 @@
 Texts are equal when identical after replacing each run of white space by one space. Every partition builds a
 counting quotient filter of its 64-bit fingerprints: the upper bits (quotient) name a slot, the lower bits
 (remainder) are kept in sorted order within the slot's run, each with its count. Filters of the same quotient
-range merge without loss, by one pass over sorted remainders. Fingerprints with a count above one name the
+range merge without loss, by one pass over sorted remainders, those of about one size first. Fingerprints with a count above one name the
 candidates; only their texts move, and they are grouped by their bytes.
 
 Of equal texts the row with the least doc_id stays; among rows that repeat both doc_id and text, one. Rows
-without doc_id stay only if all equal ones lack it. Null texts are empty texts, and equal to each other.
+without doc_id stay only if all equal ones lack it. Null texts are empty texts, and equal to each other. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,11 +39,13 @@ class CountingQuotientFilter:
         self.remainders, self.counts = remainders, counts
 
     @classmethod
-    def build(cls, prints: np.ndarray, counts: np.ndarray | None = None) -> CountingQuotientFilter:
-        """Of fingerprints (uint64), each counted once or as often as ``counts`` says."""
-        weight = np.ones(len(prints), np.int64) if counts is None else counts
-        order = np.argsort(prints, kind="stable")
-        prints, weight = prints[order], weight[order]
+    def build(cls, prints: np.ndarray) -> CountingQuotientFilter:
+        """Of fingerprints (uint64) in any order, each counted once."""
+        return cls.of_sorted(np.sort(prints), np.ones(len(prints), np.int64))
+
+    @classmethod
+    def of_sorted(cls, prints: np.ndarray, weight: np.ndarray) -> CountingQuotientFilter:
+        """Of fingerprints in order, each counted as often as ``weight`` says."""
         new = np.concatenate([[True], prints[1:] != prints[:-1]]) if len(prints) else np.zeros(0, bool)
         first = np.flatnonzero(new)
         total = np.add.reduceat(weight, first) if len(first) else np.zeros(0, np.int64)
@@ -57,9 +60,34 @@ class CountingQuotientFilter:
         return (np.repeat(self.occupied, runs) << np.uint64(64 - self.bits)) | self.remainders
 
     def merge(self, other: CountingQuotientFilter) -> CountingQuotientFilter:
-        """Both multisets together, by sorted quotients and remainders; counts add up."""
-        return self.build(np.concatenate([self.fingerprints(), other.fingerprints()]),
-                          np.concatenate([self.counts, other.counts]))
+        """Both multisets together, in one pass over sorted quotients and remainders; counts add up."""
+        a, b = self.fingerprints(), other.fingerprints()
+        place = np.searchsorted(a, b) + np.arange(len(b))  # of the other's, in front of what is equal
+        theirs = np.zeros(len(a) + len(b), bool)
+        theirs[place] = True
+        prints, weight = np.empty(len(theirs), np.uint64), np.empty(len(theirs), np.int64)
+        prints[theirs], prints[~theirs] = b, a
+        weight[theirs], weight[~theirs] = other.counts, self.counts
+        return self.of_sorted(prints, weight)
+
+
+class Merger:
+    """Filters that arrive one by one, merged with those of about their size: each is merged a logarithmic number of times."""
+
+    def __init__(self):
+        self.held: list[CountingQuotientFilter] = []
+
+    def add(self, own: CountingQuotientFilter) -> None:
+        while self.held and len(self.held[-1].counts) <= 2 * len(own.counts):
+            own = self.held.pop().merge(own)
+        self.held.append(own)
+
+    def whole(self) -> CountingQuotientFilter | None:
+        """All together; None if nothing came."""
+        while len(self.held) > 1:
+            last = self.held.pop()
+            self.held.append(self.held.pop().merge(last))
+        return self.held[0] if self.held else None
 
 
 def normalised(column: str = "text") -> Column:
@@ -68,10 +96,10 @@ def normalised(column: str = "text") -> Column:
 
 def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One filter for the partition, in slices of the quotient range."""
-    held = None
+    merger = Merger()
     for batch in batches:
-        own = CountingQuotientFilter.build(batch.column(0).to_numpy().view(np.uint64))
-        held = own if held is None else held.merge(own)
+        merger.add(CountingQuotientFilter.build(batch.column(0).to_numpy().view(np.uint64)))
+    held = merger.whole()
     if held is None or not len(held.counts):
         return
     prints = held.fingerprints()
@@ -87,22 +115,21 @@ def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Fingerprints counted more than once, of slices that arrive in order."""
-    def above_one(held):
+    def above_one(merger):
+        held = merger.whole()
         found = held.fingerprints()[held.counts > 1]
         return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["print"])
 
-    now, held = None, None
+    now, merger = None, Merger()
     for batch in batches:
         for part, prints, counts in zip(*(c.to_pylist() for c in batch.columns)):
-            own = CountingQuotientFilter.build(np.frombuffer(prints, np.uint64), np.frombuffer(counts, np.int64))
-            if part == now:
-                held = held.merge(own)
-                continue
-            if held is not None:
-                yield above_one(held)
-            now, held = part, own
-    if held is not None:
-        yield above_one(held)
+            if part != now and merger.held:
+                yield above_one(merger)
+                merger = Merger()
+            now = part
+            merger.add(CountingQuotientFilter.of_sorted(np.frombuffer(prints, np.uint64), np.frombuffer(counts, np.int64)))
+    if merger.held:
+        yield above_one(merger)
 
 
 def repeated_prints(prints: DataFrame) -> DataFrame:

@@ -143,6 +143,16 @@ def test_filters_merge_without_loss(a, b):
     assert dict(zip(merged.fingerprints().tolist(), merged.counts.tolist())) == Counter(a + b)
 
 
+def test_filters_that_arrive_one_by_one():
+    r, merger, all_of = np.random.default_rng(3), exact.Merger(), []
+    assert merger.whole() is None
+    for size in [5, 0, 300, 1, 1, 40, 2000, 7, 0]:
+        all_of.append(r.integers(0, 1500, size, np.uint64) << np.uint64(50))
+        merger.add(exact.CountingQuotientFilter.build(all_of[-1]))
+    whole = merger.whole()
+    assert dict(zip(whole.fingerprints().tolist(), whole.counts.tolist())) == Counter(np.concatenate(all_of).tolist())
+
+
 # --- near copies -----------------------------------------------------------------------
 
 def brute_print(text):
