@@ -196,3 +196,47 @@ def test_replayed_batch_adds_nothing_twice(spark, frame, tmp_path, store):
     kept = Kept.of(spark, store)
     assert rows(slices.sizes(kept.summary())) == [("n1", "mon", 50, 50), ("n2", "mon", 20, 20)]
     assert kept.known(spark.read.parquet(store)).count() == 70
+
+
+def test_filters_are_those_of_the_uuids(spark, frame, store):
+    data = held(6000) + held(10, "n2") + held(10, "n2")
+    sinks.write_store(frame(data, HELD), store)
+    kept = Kept.of(spark, store)
+    (name, slots), = kept.segments()
+    want = (frame(data, HELD).select(slices._slot(F.lit(slots)).alias("slot"), F.explode(slices._probes()).alias("bit"))
+            .groupBy("slot").agg(F.bitmap_construct_agg("bit").alias("bits")))
+    assert rows(spark.read.parquet(f"{store}_uuids/filters/{name}").select("slot", "bits")) == rows(want)
+
+
+def test_many_uuids_are_looked_up_without_filters(spark, frame, store, monkeypatch):
+    data = held(3000) + held(300, "n2", "ser")
+    sinks.write_store(frame(data, HELD), store)
+    kept = Kept.of(spark, store)
+    asked = frame([(f"new-{i}",) for i in range(500)] + [(r[0],) for r in data[::3]] * 2 + [(None,)], "uuid string")
+    want = sorted((r[0], r[2], r[3]) for r in data[::3])
+    monkeypatch.setattr(slices, "ONE_PASSES", 10 ** 9)
+    assert rows(kept.known(asked)) == want
+    monkeypatch.setattr(slices, "ONE_PASSES", 1)
+    monkeypatch.setattr(Kept, "candidates", lambda *a: 1 / 0)
+    assert rows(kept.known(asked)) == want
+
+
+def test_files_are_judged_from_one_pass_over_lines_and_holdings(spark, frame):
+    """What judging goes on with is counted already: its plan reads neither lines nor holdings again."""
+    lines = frame([("org-a_mon_full_20240101.tsv",)] * 3, "file_name string")
+    ready = frame([("org-a_mon_full_20240101.tsv", 1)], "file_name string, ocn long")
+    none = [frame([], s) for s in ("organization string, mono_multi_serial string, loaded_lines long, loaded_ocns long",
+                                   "organization string, mono_multi_serial string", "organization string, first date",
+                                   load.LEDGER)]
+    judged = load.judge_files(lines.distinct(), lines, ready, *none)
+    assert rows(judged, "ready_lines", "outcome") == [(1, load.LOADED)]
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert "count(distinct" not in plan and "counted-" in "".join(judged.inputFiles())
+
+
+def test_scrubbed_holdings_are_read_without_a_join(spark, tmp_path):
+    path = str(tmp_path / "s")
+    spark.sql("SELECT 'f' file_name, 'u' uuid, 7L ocn, 'v.3' enum_chron, true gov_doc_flag").write.json(path)
+    found = load.scrubbed_holdings(spark, path)
+    assert rows(found, "file_name", "uuid", "ocn", "n_enum", "gov_doc_flag") == [("f", "u", 7, "3", True)]
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
