@@ -194,3 +194,14 @@ def test_synthetic(spark):
     pairs = synthetic.concordance(ids, 100_000)
     assert 300 < pairs.count() < 700 and pairs.filter("canonical <= variant or canonical > 100000").count() == 0
     assert synthetic.items(ids, 1000, ("PU", "MIU")).select("collection_code").distinct().count() == 2
+
+
+def test_rows_are_grouped_after_they_are_dealt_out(table):
+    """Neither query sorts a whole split of its input before the shuffle, nor moves attributes twice."""
+    some = table(("a", 1, "n1", "mon"), ("a", 1, "n1", "mon"), ("b", 1, "n1", "mon"))
+    for made in (changes.insert_ignore(some.limit(0), some), changes.dedupe(some)):
+        lines = made._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        grouped = [i for i, line in enumerate(lines) if "Aggregate" in line and "min(" in line]
+        assert grouped and all("RepartitionByExpression" in "".join(lines[i + 1:i + 3]) for i in grouped)
+    assert rows(changes.insert_ignore(some.limit(0), some)) == [("a", 1, "n1", "mon"), ("b", 1, "n1", "mon")]
+    assert rows(changes.dedupe(some), "uuid") == [("a",)]
