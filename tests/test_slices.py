@@ -240,3 +240,21 @@ def test_scrubbed_holdings_are_read_without_a_join(spark, tmp_path):
     found = load.scrubbed_holdings(spark, path)
     assert rows(found, "file_name", "uuid", "ocn", "n_enum", "gov_doc_flag") == [("f", "u", 7, "3", True)]
     assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_appended_rows_do_not_become_a_file_of_each_task(spark, frame, store):
+    data = [row for n in range(6) for row in held(40, f"n{n}")]
+    many = str(store) + "_rows"
+    frame(data, HELD).repartition(12).write.option("maxRecordsPerFile", 20).parquet(many)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        new = spark.read.parquet(many)
+        assert new.rdd.getNumPartitions() > 6
+        sinks.append_store(new, store)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    back = spark.read.parquet(store)
+    assert rows(back, "uuid", "ocn", "organization") == sorted((r[0], r[1], r[2]) for r in data)
+    assert len(back.inputFiles()) <= 2 * 6 + 8  # six slices, of which a range may cut some
