@@ -6,8 +6,9 @@ each group; what is similar is joined into components. A group all in one compon
 than ``CROWD`` texts are compared with a further one of them, as long as this leaves a quarter fewer components in
 them. Groups of up to CROWD texts are then compared pair by pair between components. Texts of larger ones meet again
 under finer bands, of eight and then of twelve least hashes, as many as give such a pair a chance of 0.9998 and 0.9989
-to meet. What agrees in twelve and is still more than CROWD has been compared with the texts of those rounds only. No
-group is gathered beyond CROWD texts, and a text gives one row a band, whatever the size of its groups. Only pairs
+to meet. What agrees in twelve and is still more than CROWD is dealt into blocks, and every two blocks of a group are
+compared pair by pair, so that none is left out: there a text gives one row for each block of its group. No group is
+gathered much beyond CROWD texts, and before that a text gives one row a band, whatever the size of its groups. Only pairs
 whose numbers of shingles can give 0.8 are kept, and these are verified on the whole sets of shingle hashes.
 
 Texts without words have no candidates. Texts of fewer than five words are one shingle. Repeated and null texts
@@ -16,7 +17,7 @@ Texts without words have no candidates. Texts of fewer than five words are one s
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -127,12 +128,28 @@ def _with_another(rows: DataFrame, turn: int = 0) -> DataFrame:
     return _pairs(rows.select("key", _own().alias("a")).join(one, "key"))
 
 
-def _between_components(rows: DataFrame) -> DataFrame:
-    """Pairs within groups, all of which are small."""
-    members = rows.groupBy("key").agg(F.collect_list(_own()).alias("of"))
+def _between_components(rows: DataFrame, *more: str, meet: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """Pairs within groups, all of which are small; of those only that ``meet`` by their columns ``more``."""
+    members = rows.groupBy("key").agg(F.collect_list(F.struct("raw", "n", "root", *more)).alias("of"))
+
+    def paired(a: Column, b: Column) -> Column:
+        pair = (b["raw"] > a["raw"]) & _possible(a, b)
+        return pair if meet is None else pair & meet(a, b)
+
     both = F.flatten(F.transform("of", lambda a: F.transform(
-        F.filter("of", lambda b: (b["raw"] > a["raw"]) & _possible(a, b)), lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    return _pairs(members.select(F.explode(both).alias("pair")).select("pair.a", "pair.b"))
+        F.filter("of", lambda b: paired(a, b)), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    return _pairs(members.select("key", F.explode(both).alias("pair")).select("pair.a", "pair.b"))
+
+
+def _between_blocks(rows: DataFrame) -> DataFrame:
+    """Pairs within groups of any size: each group is dealt into blocks, and any two of them are a small group."""
+    blocks_of = F.ceil(F.col("size") / max(CROWD // 2, 1))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("raw", "key"), blocks_of))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks_of - 1)))
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    met = met.select("raw", "n", "root", "block", (low == high).alias("same"),
+                     F.struct("key", low.alias("low"), high.alias("high")).alias("key"))
+    return _between_components(met, "block", "same", meet=lambda a, b: (a["block"] != b["block"]) | a["same"])
 
 
 def _unsettled(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -190,6 +207,9 @@ def links(texts: DataFrame, prints: DataFrame) -> DataFrame:
         if not parts:
             break
         rows = _unsettled(rows.filter(F.col("size") > CROWD), found)
+        if level == len(LEVELS) - 1:
+            out = out if rows.isEmpty() else out.unionByName(_verified(texts, _between_blocks(rows)))
+            break
         named = written(rows.select("raw", "root").distinct(), "crowded")
         if named.isEmpty():
             break

@@ -77,3 +77,19 @@ def test_crowds_that_are_split_to_the_end(spark, monkeypatch):
     got = roots(spark, texts)
     assert np.mean([got.get(a, a) == got.get(b, b) for a, b in want.tolist()]) >= 0.95
     assert roots(spark, []) == {} and roots(spark, ["", " "]) == {}
+
+
+def test_what_no_level_splits_is_compared_in_full(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "CROWD", 4)
+    monkeypatch.setattr(minhash, "LEVELS", ((4, 16),))
+    texts = crowd(60, 2, 15, 6, 7)
+    got = roots(spark, texts)
+    assert np.mean([got.get(a, a) == got.get(b, b) for a, b in similar_pairs(texts).tolist()]) >= 0.99
+
+
+def test_blocks_meet_once(spark):
+    rows = spark.createDataFrame([(i, 10, i, k, 41) for k in (1, 2) for i in range(k * 100, k * 100 + 41)],
+                                 "raw long, n long, root long, key long, size long")
+    found = [tuple(sorted((r.a.raw, r.b.raw))) for r in minhash._between_blocks(
+        rows.withColumn("size", F.lit(200).cast("long"))).collect()]
+    assert len(found) == len(set(found)) == 2 * 41 * 40 // 2
