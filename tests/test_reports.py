@@ -164,3 +164,12 @@ def test_sheets(frame, organizations):
 def test_percent_from_zero_is_missing(frame):
     long = frame([("a", "x", "0"), ("a", "y", "5")], "key string, report string, value string")
     assert rows(trends.percent_differences(long, ["x", "y"]).na.fill("?"), "report", "value") == [("x", "?"), ("y", "")]
+
+
+def test_report_goes_on_from_one_pass_over_holdings(holdings, items, frame, organizations):
+    held = holdings((1, "n1", "", "CH"), (9, "n1", "", "CH"), (1, "n1", "", "CH"))
+    placed = items(("c", "i1", 1, "BK", ""))
+    report = overlap_report.overlap_report(placed, frame([("c", 1)], "cluster_id string, ocn long"), held, organizations)
+    assert sorted((r.ocn, r.volume_id) for r in report.collect()) == [(1, "i1"), (9, "")]
+    read = "".join(report.inputFiles())
+    assert "/own-" not in read and "/told-" in read
