@@ -67,3 +67,10 @@ def test_runs_without_python_workers_or_shuffle(spark):
     plan = with_enum_chron(spark.range(3).selectExpr("cast(id as string) enum_chron"))._jdf \
         .queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_rows_are_not_copied_from_step_to_step(spark):
+    """All of the parsing is one expression under a condition, so plain rows pass without its steps."""
+    df = with_enum_chron(spark.range(3).selectExpr("concat('v.', id, if(id = 1, ' (1990)', '')) AS enum_chron"))
+    assert str(df._jdf.queryExecution().executedPlan()).count("Project") <= 5
+    assert sorted((r.n_enum, r.n_chron) for r in df.collect()) == [("0", ""), ("1", "1990"), ("2", "")]
