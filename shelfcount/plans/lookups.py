@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfcount.operators.clusters import item_clusters
 from shelfcount.operators.dimensions import mapped_organizations, resolve_mapto
 from shelfcount.operators.overlap import overlap, overlap_of, prepare
-from shelfcount.session import checked_broadcast
+from shelfcount.session import checked_broadcast, materialize
 
 MISSING = "missing required param: "
 UNKNOWN = "no matching data"
@@ -34,7 +34,7 @@ def item_access(requests: DataFrame, overlap_rows: DataFrame, items: DataFrame,
                 organizations: DataFrame, formats: DataFrame) -> DataFrame:
     """Can the organisation access the item? Counts are summed over all
     organisations with the same parent id. ``formats`` is (item_id, cluster_format)."""
-    good = check_requests(requests, items, organizations).filter("error is null").drop("error")
+    good = materialize(check_requests(requests, items, organizations).filter("error is null").drop("error"), "good")
     facts = items.select("item_id", F.col("billing_entity").alias("organization"), "n_enum",
                          F.sort_array("ocns").alias("ocns"))
     owners = resolve_mapto(facts, organizations).select(
@@ -54,6 +54,11 @@ def item_access(requests: DataFrame, overlap_rows: DataFrame, items: DataFrame,
                     F.col("cluster_format").alias("format"), "n_enum", "ocns"))
 
 
+def _asked(requests: DataFrame) -> DataFrame:
+    """(item_id) of the requests, each once; written, since clusters and answers are both made from it."""
+    return materialize(requests.select("item_id").distinct(), "asked")
+
+
 def item_held_by(requests: DataFrame, overlap_rows: DataFrame,
                  constraint: str | None = None) -> DataFrame:
     """(item_id, organizations); ``brlm`` keeps holders with access copies only.
@@ -62,12 +67,13 @@ def item_held_by(requests: DataFrame, overlap_rows: DataFrame,
     """
     if constraint not in (None, "brlm"):
         raise ValueError("Invalid constraint.")
-    rows = overlap_rows.join(requests.select("item_id").distinct(), "item_id", "left_semi")
+    asked = _asked(requests)
+    rows = overlap_rows.join(asked, "item_id", "left_semi")
     held = F.lit(True) if constraint is None else F.col("access_count") > 0
     listed = rows.groupBy("item_id").agg(F.sort_array(
         F.collect_list(F.when(held, F.col("organization")))).alias("organizations"))
     empty = F.array().cast("array<string>")
-    return (requests.select("item_id").distinct().join(listed, "item_id", "left")
+    return (asked.join(listed, "item_id", "left")
             .select("item_id", F.coalesce("organizations", empty).alias("organizations")))
 
 
@@ -90,6 +96,6 @@ def lookup_model(requests: DataFrame, items: DataFrame, concordance: DataFrame,
     The work follows the requests: clusters grow from their items, and only holdings on the OCNs of these
     clusters are counted.
     """
-    placed, ocns = item_clusters(items.drop("cluster_id"), concordance, requests)
+    placed, ocns = item_clusters(items.drop("cluster_id"), concordance, _asked(requests))
     parts = prepare(placed, ocns, holdings, narrowed=True)
     return parts.home, overlap_of(parts)

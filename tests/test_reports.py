@@ -1,9 +1,15 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from shelfcount.derived import registry
+from shelfcount.functions.enum_chron import with_enum_chron
+from shelfcount.operators import changes
 from shelfcount.operators.overlap import overlap, overlap_of, prepare
 from shelfcount.plans import deposit, lookups, non_current, overlap_report, trends
+from shelfcount.session import ROWS_PER_TASK, dealt
 
 OCNS = "cluster_id string, ocn long"
 
@@ -173,3 +179,36 @@ def test_report_goes_on_from_one_pass_over_holdings(holdings, items, frame, orga
     assert sorted((r.ocn, r.volume_id) for r in report.collect()) == [(1, "i1"), (9, "")]
     read = "".join(report.inputFiles())
     assert "/own-" not in read and "/told-" in read
+
+
+def test_requests_are_read_once(model, frame, spark, organizations):
+    """Requests may be costly to make: answers are made from a copy of them."""
+    asked = spark.range(2).selectExpr("concat('i', id) AS item_id", "'n1' AS organization")
+    _, rows_ = model
+    plan = lookups.item_held_by(asked, rows_)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range (0, 2" not in plan
+
+
+def test_dealt_rows_are_bounded_in_a_task(spark):
+    df = spark.range(10).withColumnRenamed("id", "k")
+    parts = [dealt(df, n * ROWS_PER_TASK, "k")._jdf.queryExecution().optimizedPlan().toString() for n in (1, 50)]
+    assert "50" in parts[1].split("\n")[0] and "50" not in parts[0].split("\n")[0]
+
+
+def test_inspected_rows_are_sorted_after_they_are_dealt_out(items, frame, holdings):
+    """A join's task that also sorted all its rows, to find least and greatest texts, took memory by its input."""
+    t = SimpleNamespace(search=frame([("r", 1)], OCNS), items=items(("r", "i", 1, "BK", "", "ic", "n4", [1])),
+                        bridge=frame([("i", 1)], "item_id string, ocn long"), holdings=holdings((1, "n1")),
+                        concordance=frame([(9, 8)], "variant long, canonical long"))
+    plan = registry.inspect_cluster(t)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_min(") < plan.index("REPARTITION_BY")
+
+
+def test_replaced_rows_may_be_parsed_before(holdings):
+    """Parsed when they come in, rows are the same as when the whole table is parsed after a load."""
+    before = holdings((1, "n1", "v.1 1990"), (2, "n1", "v.2"), (3, "n2", "v.3 (1990)"))
+    raw = before.drop("n_enum", "n_chron", "n_enum_chron")
+    new = raw.filter("organization = 'n1'").withColumn("enum_chron", F.lit("v.9, Jan 1999"))
+    whole = with_enum_chron(changes.replace_slice(raw, new))
+    once = changes.replace_slice(before, with_enum_chron(new)).select(whole.columns)
+    assert rows(whole, *whole.columns) == rows(once, *whole.columns) and whole.count() == 3
