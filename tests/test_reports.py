@@ -184,7 +184,7 @@ def test_report_goes_on_from_one_pass_over_holdings(holdings, items, frame, orga
 def test_requests_are_read_once(model, frame, spark, organizations):
     """Requests may be costly to make: answers are made from a copy of them."""
     asked = spark.range(2).selectExpr("concat('i', id) AS item_id", "'n1' AS organization")
-    _, rows_ = model
+    rows_ = model[1]
     plan = lookups.item_held_by(asked, rows_)._jdf.queryExecution().optimizedPlan().toString()
     assert "Range (0, 2" not in plan
 
