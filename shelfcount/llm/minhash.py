@@ -74,23 +74,20 @@ def _key_rows(level: int):
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(raw, sorted different shingle hashes as bytes)"""
+    """(raw, different shingle hashes)"""
     for batch in blocks(batches):
         number, parts = shingles(*flat(batch.column("text")), SHINGLE)
         h = np.concatenate([np.zeros(0, np.uint64), *(h for _, h in parts)])
-        sets = [np.unique(own).astype("<u8").tobytes() for own in np.split(h, np.cumsum(number)[:-1])]
-        yield pa.RecordBatch.from_arrays([batch.column("raw"), pa.array(sets, pa.binary())], names=["raw", "hashes"])
+        sets = [np.unique(own) for own in np.split(h, np.cumsum(number)[:-1])]
+        at = np.concatenate([[0], np.cumsum([len(own) for own in sets])]).astype(np.int32)
+        hashes = pa.ListArray.from_arrays(at, np.concatenate(sets).view(np.int64))
+        yield pa.RecordBatch.from_arrays([batch.column("raw"), hashes], names=["raw", "hashes"])
 
 
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for one, two in zip(batch.column("one"), batch.column("two")):
-            a, b = np.frombuffer(one.as_buffer(), "<u8"), np.frombuffer(two.as_buffer(), "<u8")
-            both = len(np.intersect1d(a, b, assume_unique=True))
-            keep.append(both >= SIMILARITY * (len(a) + len(b) - both))
-        kept = batch.select(["variant", "canonical"]).filter(pa.array(keep, pa.bool_()))
-        yield kept
+def _similar(one: Column, two: Column) -> Column:
+    """Whether sets are similar. Computed where they are: pairs of sets in Arrow batches would be many times their texts."""
+    both = F.size(F.array_intersect(one, two))
+    return both >= SIMILARITY * (F.size(one) + F.size(two) - both)
 
 
 def _possible(a: Column, b: Column) -> Column:
@@ -111,11 +108,10 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
                             F.col("b.raw").alias("b"), F.col("b.root").alias("canonical")), "near")
     asked = pairs.select(F.explode(F.array("a", "b")).alias("raw")).distinct()
     sets = written(texts.join(asked, "raw", "left_semi").select("raw", "text").dropDuplicates(["raw"])
-                   .mapInArrow(_set_rows, "raw long, hashes binary"), "sets")
+                   .mapInArrow(_set_rows, "raw long, hashes array<long>"), "sets")
     return written(pairs.join(sets.select(F.col("raw").alias("a"), F.col("hashes").alias("one")), "a")
                    .join(sets.select(F.col("raw").alias("b"), F.col("hashes").alias("two")), "b")
-                   .select("variant", "canonical", "one", "two")
-                   .mapInArrow(_similar, "variant long, canonical long").distinct(), "similar")
+                   .filter(_similar(F.col("one"), F.col("two"))).select("variant", "canonical").distinct(), "similar")
 
 
 def _own() -> Column:

@@ -93,3 +93,21 @@ def test_blocks_meet_once(spark):
     found = [tuple(sorted((r.a.raw, r.b.raw))) for r in minhash._between_blocks(
         rows.withColumn("size", F.lit(200).cast("long"))).collect()]
     assert len(found) == len(set(found)) == 2 * 41 * 40 // 2
+
+
+def test_sets_are_compared_where_they_are(spark):
+    sets = [(4, 1, 4), (5, 0, 4), (4, 1, 3), (400, 100, 400), (400, 101, 400), (1, 0, 1), (1, 1, 0)]  # both, one's, two's own
+    rows = spark.createDataFrame([(i, list(range(both + one)), [*range(both), *range(-two, 0)]) for i, (both, one, two) in
+                                  enumerate((b, o, t - b if t > b else 0) for b, o, t in sets)],
+                                 "i long, one array<long>, two array<long>")
+    asked = rows.select("i", minhash._similar(F.col("one"), F.col("two")).alias("similar"))
+    assert "Python" not in asked._jdf.queryExecution().toString() and "InArrow" not in asked._jdf.queryExecution().toString()
+    assert [r.similar for r in asked.orderBy("i").collect()] == [True, True, True, True, False, True, False]
+
+
+def test_sets_hold_each_shingle_once(spark):
+    texts = ["a b c d e a b c d e a", "one two", "", "A b c d e"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "raw long, text string").coalesce(1)
+    found = {r.raw: r.hashes for r in rows.mapInArrow(minhash._set_rows, "raw long, hashes array<long>").collect()}
+    assert [len(found[i]) for i in range(4)] == [5, 1, 0, 1] and found[3][0] in found[0]
+    assert all(len(set(own)) == len(own) for own in found.values())
