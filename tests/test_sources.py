@@ -1,3 +1,4 @@
+import gzip
 import json
 
 import pytest
@@ -239,3 +240,31 @@ def test_store_spreads_a_hot_ocn(spark, tmp_path):
             spark.conf.set(key, value)
     per_file = spark.read.parquet(str(tmp_path / "store")).groupBy(F.input_file_name()).count()
     assert max(r[1] for r in rows(per_file)) < 2000 and spark.read.parquet(str(tmp_path / "store")).count() == 9000
+
+
+@pytest.mark.parametrize("in_order", [True, False])
+@pytest.mark.parametrize("suffix, encoding, options", [
+    ("", None, {}), (".gz", None, {"compression": "gzip"}), ("", "ISO-8859-1", {})])
+def test_long_files_are_sorted_in_ranges(spark, tmp_path, monkeypatch, in_order, suffix, encoding, options):
+    monkeypatch.setattr(sinks, "ROWS_PER_TASK", 300)
+    if not in_order:  # a task that takes its partitions in another order
+        monkeypatch.setattr(sinks, "sorted", lambda found: sorted(found, reverse=True), raising=False)
+    given = {"a b.tsv": 2000, "c+d.tsv": 901, "e.tsv": 300, "f.tsv": 1}
+    lines = spark.createDataFrame([(name, i * 1237 % 4001, f"{name}\té {i * 1237 % 4001:04}") for name, n in given.items()
+                                   for i in range(n)], "file_name string, pos long, value string").repartition(5)
+    sinks.write_named_files(lines, f"{tmp_path}/out", suffix, encoding, **options)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["out"]
+    found = {p.name: p.read_bytes() for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")}
+    assert sorted(found) == [name + suffix for name in given]
+    for name, n in given.items():
+        text = found[name + suffix]
+        text = (gzip.decompress(text) if suffix else text).decode(encoding or "utf-8")
+        assert text.split("\n") == [*(f"{name}\té {pos:04}" for pos in sorted(i * 1237 % 4001 for i in range(n))), ""]
+
+
+def test_no_task_sorts_a_long_file(spark, monkeypatch):
+    monkeypatch.setattr(sinks, "ROWS_PER_TASK", 500)
+    lines = spark.range(6000, numPartitions=4).select(F.lit("a").alias("file_name"), (-F.col("id")).alias("pos"),
+                                                      F.lit("x").alias("value"))
+    sizes = sinks.sorted_ranges(lines, 6000).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 6000 and max(r["count"] for r in sizes) <= 1000
