@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import threading
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import chain
 
 import ahocorasick
@@ -25,16 +27,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcount.llm.pieces import KEPT_CHARS, Store, cut
-from shelfcount.llm.textbytes import blocks, ranges
+from shelfcount.llm.textbytes import blocks, give_back, ranges
 
 #: Pairs of tokens whose answer is kept in a worker.
 KEPT_PAIRS = 400_000
 #: Bytes of text whose pieces are numbered together.
-AT_A_TIME = 4 << 20
+AT_A_TIME = 2 << 20
 #: Stands for the last token of the empty prefix.
 START = -1
 #: Words whose ids are kept in a worker.
 KEPT_WORDS = 150_000
+#: Characters of the pieces whose ids are kept in a worker, besides those of their words.
+KEPT_PIECES = 4 << 20
+#: Seconds after a task in which the worker may get another one that has use of what is kept.
+IDLE = 2.0
 
 
 class Vocabulary:
@@ -114,12 +120,21 @@ class Vocabulary:
         """The same, kept for the next time."""
         self._pairs += 1
         if self._pairs > KEPT_PAIRS:
-            self._pairs = 0
-            for each in self._known:
-                each.clear()
+            self._forget_pairs()
         known[left] = fits = self.may_follow(left, right)
         return fits
 
+    def _forget_pairs(self) -> None:
+        self._pairs = 0
+        for each in self._known:
+            each.clear()
+
+    def forget(self) -> None:
+        """What was worked out so far goes; the ranks stay."""
+        self._forget_pairs()
+        self._spines.clear()
+        self._sound.clear()
+
     def sound(self, token: int) -> bool:
         """Whether the merges can make this token of its own bytes."""
         known = self._sound.get(token)
@@ -194,7 +209,8 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.vocabulary, self.split = Vocabulary.read(path), regex.compile(pattern)
         self.words: dict[str, tuple[int, ...]] = {}
-        self.store = Store(self._of_pieces)
+        self._tasks, self._lock, self._idle = 0, threading.Lock(), None
+        self.store = Store(self._of_pieces, KEPT_PIECES)
         most = max(self.vocabulary.tokens) + 1
         self.bytes_of = pa.array([self.vocabulary.tokens.get(n, b"") for n in range(most)], pa.binary())
         self.names = pa.array([str(n) for n in range(most)], pa.string())
@@ -215,6 +231,33 @@ class Encoder:
             out.append(ids)
         return out
 
+    @contextmanager
+    def task(self) -> Iterator[None]:
+        """While a task uses it. What is kept of the texts goes if none does so again soon: the worker may serve other
+        operators next."""
+        with self._lock:
+            self._tasks += 1
+            if self._idle is not None:
+                self._idle.cancel()
+        try:
+            yield
+        finally:
+            with self._lock:
+                self._tasks -= 1
+                self._idle = threading.Timer(IDLE, self.forget)
+                self._idle.daemon = True
+                self._idle.start()
+
+    def forget(self) -> None:
+        """What is kept of the texts so far goes, if no task uses it."""
+        with self._lock:
+            if self._tasks:
+                return
+            self.words.clear()
+            self.store.clear()
+            self.vocabulary.forget()
+        give_back()
+
     def encode(self, texts: pa.Array) -> pa.ListArray:
         """The ids of each text; no nulls."""
         count, kept = np.zeros(len(texts), np.int64), []
@@ -256,11 +299,12 @@ def _sha256(column: pa.Array) -> pa.Array:
 def _rows(path: str, pattern: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = _encoder(path, pattern)
-        for batch in blocks(batches, size=AT_A_TIME):
-            ids = run.encode(pc.fill_null(batch.column("text"), ""))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pc.list_value_length(ids).cast(pa.int64()), _sha256(run.joined(ids)),
-                 _sha256(run.decode(ids))], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        with run.task():
+            for batch in blocks(batches, size=AT_A_TIME):
+                ids = run.encode(pc.fill_null(batch.column("text"), ""))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pc.list_value_length(ids).cast(pa.int64()), _sha256(run.joined(ids)),
+                     _sha256(run.decode(ids))], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return encode
 
 
@@ -273,9 +317,10 @@ def encode_decode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 def _id_rows(path: str, pattern: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = _encoder(path, pattern)
-        for batch in blocks(batches, size=AT_A_TIME):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), run.encode(pc.fill_null(batch.column("text"), ""))], names=["doc_id", "ids"])
+        with run.task():
+            for batch in blocks(batches, size=AT_A_TIME):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), run.encode(pc.fill_null(batch.column("text"), ""))], names=["doc_id", "ids"])
     return encode
 
 

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from shelfcount.llm.simhash import shingles
 from shelfcount.llm.textbytes import blocks, flat, written
 from shelfcount.operators.concordance import components
+from shelfcount.session import discard
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: (least hashes of a band, bands) of all texts, of those in crowds, and of those in crowds of the second.
@@ -106,12 +107,14 @@ def _verified(texts: DataFrame, pairs: DataFrame) -> DataFrame:
     pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
                     .select(F.col("a.raw").alias("a"), F.col("a.root").alias("variant"),
                             F.col("b.raw").alias("b"), F.col("b.root").alias("canonical")), "near")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("raw")).distinct()
+    asked = pairs.select(F.col("a").alias("raw")).distinct().union(pairs.select("b").distinct()).distinct()
     sets = written(texts.join(asked, "raw", "left_semi").select("raw", "text").dropDuplicates(["raw"])
                    .mapInArrow(_set_rows, "raw long, hashes array<long>"), "sets")
-    return written(pairs.join(sets.select(F.col("raw").alias("a"), F.col("hashes").alias("one")), "a")
-                   .join(sets.select(F.col("raw").alias("b"), F.col("hashes").alias("two")), "b")
-                   .filter(_similar(F.col("one"), F.col("two"))).select("variant", "canonical").distinct(), "similar")
+    similar = written(pairs.join(sets.select(F.col("raw").alias("a"), F.col("hashes").alias("one")), "a")
+                      .join(sets.select(F.col("raw").alias("b"), F.col("hashes").alias("two")), "b")
+                      .filter(_similar(F.col("one"), F.col("two"))).select("variant", "canonical").distinct(), "similar")
+    discard(pairs, sets)
+    return similar
 
 
 def _own() -> Column:
@@ -174,7 +177,9 @@ def _met(texts: DataFrame, named: DataFrame, level: int) -> DataFrame:
     keys = keys.groupBy("raw").agg(F.first("n").alias("n"), F.first("bands").alias("bands")).join(named, "raw")
     band = written(keys.select("raw", "n", "root", F.explode("bands").alias("key")), "bands")
     shared = band.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    return written(band.join(shared.select("key"), "key"), "met")
+    met = written(band.join(shared.select("key"), "key"), "met")
+    discard(band)
+    return met
 
 
 def links(texts: DataFrame, prints: DataFrame) -> DataFrame:

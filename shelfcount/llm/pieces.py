@@ -57,15 +57,19 @@ def cut(texts: pa.Array) -> Iterator[Pieces]:
 class Store:
     """Values of pieces; ``work`` gives those of a list of pieces that are not in the store."""
 
-    def __init__(self, work: Callable[[list[str]], list]):
-        self.work, self.known, self.chars = work, {}, 0
+    def __init__(self, work: Callable[[list[str]], list], chars: int = STORE_CHARS):
+        self.work, self.most, self.known, self.chars = work, chars, {}, 0
+
+    def clear(self) -> None:
+        self.known.clear()
+        self.chars = 0
 
     def values(self, pieces: list[str]) -> list:
         known = self.known
         new = [p for p in dict.fromkeys(pieces) if p not in known]
-        if self.chars > STORE_CHARS:
-            known.clear()
-            self.chars, new = 0, list(dict.fromkeys(pieces))
+        if self.chars > self.most:
+            self.clear()
+            new = list(dict.fromkeys(pieces))
         known.update(zip(new, self.work(new)))
         out = [known[p] for p in pieces]
         for piece in new:

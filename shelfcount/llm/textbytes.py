@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +52,16 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             last = max(first + 1, int(np.searchsorted(at, at[first] + size, "right")) - 1)
             yield batch.slice(first, last - first)
             first = last
+    give_back()
+
+
+def give_back() -> None:
+    """Memory that is no longer used goes from this process to the system: a worker waits for its next task, of whatever
+    operator, and its executor has no other use of what it holds meanwhile."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim is not None:
+        trim(0)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
