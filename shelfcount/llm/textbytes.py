@@ -52,6 +52,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             last = max(first + 1, int(np.searchsorted(at, at[first] + size, "right")) - 1)
             yield batch.slice(first, last - first)
             first = last
+    _powers.clear()
     give_back()
 
 
@@ -65,7 +66,7 @@ def give_back() -> None:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and its inverse for i up to n, kept for the next call."""
+    """BASE**i and its inverse for i up to n, kept for the next call of a task."""
     if len(_powers.get("up", ())) <= n:
         size = 1 << max(16, int(n).bit_length())
         for name, base in (("up", BASE), ("down", UNBASE)):

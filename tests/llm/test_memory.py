@@ -54,6 +54,9 @@ def test_memory_is_given_back_when_the_texts_of_a_task_end(monkeypatch):
     monkeypatch.setattr(textbytes, "give_back", lambda: given.append(1))
     assert sum(b.num_rows for b in textbytes.blocks(iter(batches(2)), size=100)) == 43
     assert given == [1]
+    textbytes.prefixes(textbytes.flat(next(textbytes.blocks(iter(batches(3)))).column("text"))[0])
+    assert textbytes._powers
+    assert list(textbytes.blocks(iter(batches(3)))) and not textbytes._powers
     monkeypatch.undo()
     textbytes.give_back()
 
