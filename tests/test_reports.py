@@ -1,3 +1,4 @@
+import re
 from types import SimpleNamespace
 
 import pytest
@@ -212,3 +213,13 @@ def test_replaced_rows_may_be_parsed_before(holdings):
     whole = with_enum_chron(changes.replace_slice(raw, new))
     once = changes.replace_slice(before, with_enum_chron(new)).select(whole.columns)
     assert rows(whole, *whole.columns) == rows(once, *whole.columns) and whole.count() == 3
+
+
+def test_holdings_go_to_their_clusters_in_one_join(items, frame, holdings):
+    """Joined by OCN and then by cluster and organisation, every holding was moved twice, and a hot OCN to one task."""
+    held = holdings((1, "n1", "v.1", "CH"), (1, "n2", "", "CH"), (2, "n1", "v.3", "CH"))
+    parts = prepare(items(("c", "i1", 1, "BK", "v.1"), ("c", "i2", 1, "BK", "v.2")), frame([("c", 1), ("c", 2)], OCNS), held)
+    found = overlap_report.matched(parts, overlap_report._rows(held))
+    assert rows(found, "organization", "ocn", "item_id") == [("n1", 1, "i1"), ("n2", 1, "i1"), ("n2", 1, "i2")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join Inner, \(\(ocn#\d+L? = ocn#\d+L?\) AND \(organization#\d+ = organization#\d+\)\)", plan)
