@@ -136,3 +136,31 @@ def test_judging_a_line_is_whole(spark, frame):
     heads = frame([("a_mon_full_20200101.tsv", "oclc\tlocal_id")], "file_name string, header string")
     done = sub.scrub_lines(sub.Submissions(lines, heads), "2024-01-01", MAX)
     assert (done.valid.count(), done.valid.select("uuid").distinct().count()) == (3000, 3000)
+
+
+def test_lines_are_judged_without_the_counters_texts(frame):
+    """A load asks for holdings and rejected lines only; counters are worked out for those who ask for them."""
+    name = "org_mon_full_20240101.tsv"
+    lines = frame([(name, "ocn007\tb1"), (name, "foo1\tb2"), (name, "2,3\tb3")], "file_name string, value string")
+    done = sub.scrub_lines(sub.Submissions(lines, frame([(name, "oclc\tlocal_id")], "file_name string, header string")),
+                           "2024-01-01", 10**9)
+    assert "messages" not in done.judged.columns
+    assert rows(done.judged, "ocns", "reason") == [([], "No valid OCN"), ([2, 3], ""), ([7], "")]
+    assert ("multi_ocn_record", 1) in rows(done.stats) and ("ocn prefix: foo", 1) in rows(done.stats)
+
+
+@pytest.mark.parametrize("text, expected", [
+    ("ocm0012", [(12, None)]), ("(OCoLC)7;on8", [(7, None), (8, None)]), ("ocm0", [(None, "numeric part is zero")]),
+    ("ocn99999999999999999999999", [(None, "too large for an ocn")]), ("9223372036854775807", [(None, "too large for an ocn")]),
+    ("9223372036854775808", [(None, "too large for an ocn")]), ("ocn", [(None, "numeric part is nil")]), (" ,;", []), ("\t", [
+        (None, "ocn is empty")])])
+def test_short_cut_gives_what_all_checks_give(frame, text, expected):
+    found = frame([(text,)], "t string").select(scrub.ocn_candidates(F.col("t"), 10**9).alias("c")).first()["c"]
+    assert [(c["ocn"], c["reason"]) for c in found] == expected
+
+
+def test_no_number_is_cast_that_cannot_be_one(frame):
+    """A cast that fails raises an error inside, for every such line."""
+    plan = frame([("x",)], "t string").select(
+        scrub.ocn_candidates(F.col("t"), 10**9))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("cast(") and plan.count("length(") >= plan.count("as bigint)")
