@@ -258,3 +258,29 @@ def test_appended_rows_do_not_become_a_file_of_each_task(spark, frame, store):
     back = spark.read.parquet(store)
     assert rows(back, "uuid", "ocn", "organization") == sorted((r[0], r[1], r[2]) for r in data)
     assert len(back.inputFiles()) <= 2 * 6 + 8  # six slices, of which a range may cut some
+
+
+def test_uuids_are_not_copied_where_all_entries_are_read(spark, frame, store, monkeypatch):
+    monkeypatch.setattr(slices, "PER_SLOT", 50)
+    monkeypatch.setattr(slices, "ONE_PASSES", 1)
+    sinks.write_store(frame(held(400), HELD), store)
+    kept, made = Kept.of(spark, store), []
+    monkeypatch.setattr(slices, "materialize", lambda df, name="part": made.append(name) or df)
+    asked = frame([r[:1] for r in held(40, first=380)] * 2, "uuid string")
+    assert rows(kept.known(asked), "uuid") == [(f"n1-mon-{i}",) for i in range(380, 400)]
+    assert "asked" not in made
+
+
+def test_load_reads_its_scrubbed_copy_once(spark, frame, store, tmp_path, monkeypatch):
+    """Holdings are counted as they were judged, and those that are loaded go on from a copy in columns."""
+    read, judged, scrubbed_holdings, judge_files = [], [], load.scrubbed_holdings, load.judge_files
+    monkeypatch.setattr(load, "scrubbed_holdings", lambda *a: read.append(a) or scrubbed_holdings(*a))
+    monkeypatch.setattr(load, "judge_files", lambda files, lines, ready, *a: judged.append(
+        lines.inputFiles() + ready.inputFiles()) or judge_files(files, lines, ready, *a))
+    name = "org_mon_full_20240101.tsv"
+    lines = frame([(name, "1\tb1"), (name, "2,3\tb2"), (name, "x\tb3")], "file_name string, value string")
+    done = load.load_files(spark, lines.select("file_name").distinct(), load.Submissions(lines, frame(
+        [(name, "oclc\tlocal_id")], "file_name string, header string")), store, f"{store}_ledger", str(tmp_path / "work"),
+        "2024-01-01", 10**9)
+    assert rows(done, "outcome", "ready_lines", "ready_ocns") == [("loaded", 3, 3)] and len(read) == 1
+    assert judged[0] and all("/judged-" in path for path in judged[0])
